@@ -2,53 +2,134 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def _chars(*codes: int) -> str:
+    return "".join(map(chr, codes))
+
+
 # Characters the normaliser looks for.
-INVISIBLE = "".join(map(chr, [
-    0xAD, 0x200B, 0x200E, 0x200F, 0x202A, 0x202B, 0x202C, 0x202D, 0x202E, 0x2060, 0xFEFF,
-]))
-JOINERS = chr(0x200C) + chr(0x200D)
-JOINER_SCRIPTS = {"rus": r"\p{IsCyrillic}", "ara": r"\p{IsArabic}"}
-LATIN_LETTERS = "[a-zA-Z\u00c0-\u024f]"
+INVISIBLE = _chars(
+    0xAD, 0x200B, 0x200E, 0x200F, 0x202A, 0x202B, 0x202C, 0x202D, 0x202E, 0x2060, 0xFEFF
+)
+JOINERS = _chars(0x200C, 0x200D)
+JOINER_SCRIPTS = "".join(rf"\p{{Is{name}}}" for name in (
+    "Arabic", "Devanagari", "Bengali", "Gurmukhi", "Gujarati", "Oriya", "Tamil", "Telugu",
+    "Kannada", "Malayalam", "Sinhala",
+))
+DASHES = _chars(0x2010, 0x2011, 0x2012, 0x2013, 0x2014, 0x2015, 0x2212, 0xFE58, 0xFE63, 0xFF0D)
+SINGLE_QUOTES = _chars(0x2018, 0x2019, 0x201A, 0x201B)
+DOUBLE_QUOTES = _chars(0x201C, 0x201D, 0x201E, 0x201F)
+
+NEEDS_NORMALISING = f"[{INVISIBLE}{JOINERS}{DASHES}{SINGLE_QUOTES}{DOUBLE_QUOTES}]|\\s,"
+
+
+def normalize_text(text: Column) -> Column:
+    """Drop invisible formatting characters, tidy comma spacing, plain quotes and dashes.
+
+    Zero-width joiners stay next to letters of scripts that need them. One scan decides whether a
+    text needs any change, so clean text is passed through as it is.
+    """
+    seen = F.regexp_replace(text, f"[{INVISIBLE}]", "")
+    seen = F.regexp_replace(
+        seen, f"(?<![{JOINER_SCRIPTS}{JOINERS}])[{JOINERS}]+|[{JOINERS}]+(?![{JOINER_SCRIPTS}{JOINERS}])", ""
+    )
+    seen = F.translate(
+        seen,
+        DASHES + SINGLE_QUOTES + DOUBLE_QUOTES,
+        "-" * len(DASHES) + "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES),
+    )
+    seen = F.regexp_replace(seen, r"\s+,", ",")
+    return F.when(text.rlike(NEEDS_NORMALISING), seen).otherwise(text)
+
+
+# Frequent short words of each language written in Latin letters.
+STOP_WORDS = {
+    "eng": ["the", "and", "of", "to", "in", "is", "that", "it", "was", "for", "with", "as", "on",
+            "are", "this", "by", "be", "not", "have", "from", "an", "he", "or", "they", "has",
+            "which", "you", "were", "had", "their", "been", "will", "would", "there"],
+    "spa": ["el", "los", "las", "del", "y", "en", "que", "se", "por", "con", "para", "una", "su",
+            "al", "lo", "como", "más", "pero", "sus", "le", "ya", "este", "sí", "porque", "esta",
+            "muy", "sin", "sobre", "también", "nuestro", "mostrar", "gracias", "buen", "claro",
+            "un", "la", "es", "quienes", "ir"],
+    "por": ["o", "os", "as", "da", "do", "das", "dos", "e", "em", "no", "na", "nos", "nas", "que",
+            "não", "uma", "um", "com", "para", "por", "mais", "ao", "aos", "pelo", "pela", "é",
+            "este", "obrigado", "são", "muito", "você", "também", "isso", "foi", "ser"],
+    "fra": ["le", "la", "les", "des", "du", "de", "et", "est", "un", "une", "dans", "que", "qui",
+            "en", "pour", "par", "sur", "au", "aux", "ce", "cette", "il", "elle", "ne", "pas",
+            "plus", "avec", "son", "sont", "nous", "vous", "mais", "ou"],
+    "deu": ["der", "die", "das", "und", "ist", "in", "den", "dem", "des", "ein", "eine", "einen",
+            "nicht", "von", "zu", "mit", "auf", "für", "sich", "im", "auch", "es", "an", "als",
+            "werden", "aus", "er", "hat", "dass", "sie", "nach", "wird", "bei"],
+}
+# Letters that mark one language among those above.
+MARK_LETTERS = {
+    "spa": "ñ¿¡",
+    "por": "ãõ",
+    "fra": "œùûëîè",
+    "deu": "äöüß",
+}
+SCRIPTS = {"rus": r"\p{IsCyrillic}", "ara": r"\p{IsArabic}"}
+LATIN = r"\p{IsLatin}"
 
 LANGUAGES = [*STOP_WORDS, *SCRIPTS]
 UNKNOWN = "und"
 
 
+def _among(words: Column, wanted: list[str]) -> Column:
+    return F.filter(words, lambda w: w.isin(wanted))
+
+
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated a single time per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def language_scores(text: Column) -> Column:
     """Array of ``(score, -rank, lang)``, one entry per language.
 
-    Scripts of their own score by their share of the letters; languages in Latin letters score by
-    stop words, a marked letter counting as one. Scores are whole numbers so that every engine
-    agrees on them.
+    A language with a script of its own scores when that script has more letters in the text than
+    the Latin one; languages in Latin letters score by stop words, a marked letter counting as one.
+    Scores are whole numbers so that every engine agrees on them.
     """
     lowered = F.lower(text)
     known = sorted({word for words in STOP_WORDS.values() for word in words})
-    hits = F.filter(F.split(lowered, r"[^\p{L}]+"), lambda w: w.isin(known))
-    scores = []
-    for rank, lang in enumerate(LANGUAGES):
-        if lang in STOP_WORDS:
-            words = STOP_WORDS[lang]
-            score = F.size(F.filter(hits, lambda w, words=words: w.isin(words)))
-            if lang in MARK_LETTERS:
-                score = score + F.regexp_count(lowered, F.lit(f"[{MARK_LETTERS[lang]}]"))
-        else:
-            own = F.regexp_count(text, F.lit(SCRIPTS[lang]))
-            score = F.when(own > F.regexp_count(text, F.lit(LATIN_LETTERS)), own + F.length(text)).otherwise(0)
-        scores.append(F.struct(
-            score.cast("bigint").alias("score"), F.lit(-rank).alias("rank"), F.lit(lang).alias("lang")
-        ))
-    return F.array(*scores)
+    marks = "".join(MARK_LETTERS.values())
+    evidence = F.struct(
+        _among(F.split(lowered, r"[^\p{L}]+"), known).alias("hits"),
+        F.regexp_replace(lowered, f"[^{marks}]+", "").alias("marks"),
+        F.length(text).alias("length"),
+        F.length(F.regexp_replace(text, rf"{LATIN}+", "")).alias("not_latin"),
+        *[F.length(F.regexp_replace(text, f"{letters}+", "")).alias(lang) for lang, letters in SCRIPTS.items()],
+    )
+
+    def scores(e: Column) -> Column:
+        entries = []
+        for rank, lang in enumerate(LANGUAGES):
+            if lang in STOP_WORDS:
+                score = F.size(_among(e["hits"], STOP_WORDS[lang]))
+                if lang in MARK_LETTERS:
+                    others = F.translate(e["marks"], MARK_LETTERS[lang], "")
+                    score = score + F.length(e["marks"]) - F.length(others)
+            else:
+                own, latin = e["length"] - e[lang], e["length"] - e["not_latin"]
+                score = F.when(own > latin, own + e["length"]).otherwise(0)
+            entries.append(F.struct(
+                score.cast("bigint").alias("score"), F.lit(-rank).alias("rank"), F.lit(lang).alias("lang")
+            ))
+        return F.array(*entries)
+
+    return _once(evidence, scores)
 
 
 def detect_language(text: Column) -> Column:
     """ISO 639-3 code of the language a text is written in; "und" without any evidence."""
-    best = F.array_max(language_scores(text))
-    return F.when(best.getField("score") > 0, best.getField("lang")).otherwise(UNKNOWN)
+    return _once(
+        F.array_max(language_scores(text)),
+        lambda best: F.when(best["score"] > 0, best["lang"]).otherwise(UNKNOWN),
+    )
 
 
 def always_english(text: Column) -> Column:
@@ -57,8 +138,3 @@ def always_english(text: Column) -> Column:
 
 
 DETECTORS = {"detect": detect_language, "always_english": always_english}
-
-
-def chain(text: Column, *steps) -> Column:
-    """Apply text steps one after the other."""
-    return reduce(lambda so_far, step: step(so_far), steps, text)

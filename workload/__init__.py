@@ -1,0 +1 @@
+"""Queries over the test tables: one per operator, with their SQL counterparts."""
