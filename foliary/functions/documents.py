@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,38 +14,21 @@ from foliary.schemas import (
     CANONICAL_JSON,
     CANONICAL_METADATA_KEYS,
     DOCUMENT,
+    DOCUMENT_FIELDS,
     FACET,
     GENEALOGY,
     METADATA,
+    METADATA_FIELDS,
     OFFSET_TAG,
 )
 
 
-def _record(schema: str, fields: dict[str, Column], names: list[str]) -> Column:
+def _record(schema: str, fields: dict[str, Column], names: Iterable[str]) -> Column:
     return F.struct(*[
         fields.get(name, F.lit(None)).alias(name) for name in names
     ]).cast(schema)
 
 
-def _field_names(schema: str) -> list[str]:
-    """Top-level field names of a STRUCT<...> DDL."""
-    names, depth, start = [], 0, len("STRUCT<")
-    for at in range(start, len(schema)):
-        char = schema[at]
-        if char == "<":
-            depth += 1
-        elif char == ">" and at < len(schema) - 1:
-            depth -= 1
-        if (char == "," and depth == 0) or at == len(schema) - 1:
-            names.append(schema[start:at].split(":")[0].strip())
-            start = at + 1
-    return names
-
-
-DOCUMENT_FIELDS = _field_names(DOCUMENT)
-METADATA_FIELDS = _field_names(METADATA)
-
-
 def document_record(metadata: dict[str, Column], **fields: Column) -> Column:
     """A whole document struct from the given fields; all others are null or empty."""
     no_numeric = F.lit(None).cast("map<string,string>")

@@ -60,11 +60,12 @@ class Lexicon:
 
 def _seams(tokens: Column) -> Column:
     """Word pair (left, right), lower case, around every space between two tokens."""
-    return F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - 1),
-        lambda i: F.struct(
-            F.lower(F.regexp_replace(F.element_at(tokens, i), LEADING_NONLETTERS, "")).alias("left"),
-            F.lower(F.regexp_replace(F.element_at(tokens, i + 1), TRAILING_AFTER_LETTERS, "")).alias("right"),
+    pairs = F.size(tokens) - 1
+    return F.zip_with(
+        F.slice(tokens, F.lit(1), pairs), F.slice(tokens, F.lit(2), pairs),
+        lambda left, right: F.struct(
+            F.lower(F.regexp_replace(left, LEADING_NONLETTERS, "")).alias("left"),
+            F.lower(F.regexp_replace(right, TRAILING_AFTER_LETTERS, "")).alias("right"),
         ),
     )
 
@@ -73,9 +74,8 @@ def split_spots(texts: DataFrame) -> DataFrame:
     """Distinct ``(id, left, right)`` of the spots in ``(id, text)`` that look like a split word."""
     return (
         texts.where(F.col("text").rlike(MAYBE_SPLIT))
-        .withColumn("_tokens", F.split("text", " "))
         .select("id", F.inline(F.array_distinct(F.filter(
-            _seams(F.col("_tokens")),
+            _seams(F.split("text", " ")),
             lambda p: p["left"].rlike(SPLIT_WORD) & p["right"].rlike(WORD),
         ))))
     )
@@ -110,22 +110,18 @@ def repair_ligatures(
         spots.join(confirmed, ["left", "right"])
         .groupBy("id").agg(F.collect_set(F.struct("left", "right")).alias("_merge"))
     )
-    tokens = F.col("_tokens")
-    rebuilt = F.array_join(F.transform(
-        F.sequence(F.lit(1), F.size(tokens)),
-        lambda i: F.concat(
-            F.element_at(tokens, i),
-            F.when(
-                (i == F.size(tokens)) | F.array_contains(F.col("_merge"), F.get(F.col("_seams"), i - 1)), ""
-            ).otherwise(" "),
+    tokens = F.split(text_col, " ")
+    # The last token meets no seam (null) and gets no space behind it.
+    rebuilt = F.array_join(F.zip_with(
+        tokens, _seams(tokens),
+        lambda token, seam: F.concat(
+            token, F.when(seam.isNull() | F.array_contains(F.col("_merge"), seam), "").otherwise(" ")
         ),
     ), "")
     repaired = F.when(F.col("_merge").isNotNull(), rebuilt).otherwise(F.col(text_col))
     outer, _, field = text_col.partition(".")
     fixed = (
         doubtful.join(merges.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left")
-        .withColumn("_tokens", F.split(text_col, " "))
-        .withColumn("_seams", _seams(tokens))
         .withColumn(outer, F.col(outer).withField(field, repaired) if field else repaired)
         .select(*docs.columns)
     )

@@ -83,7 +83,7 @@ def shingle_sets(docs: DataFrame, settings: NearDupSettings) -> DataFrame:
         listed
         .select(
             "seq", "doc_id",
-            F.array_sort(F.array_distinct(
+            F.sort_array(F.array_distinct(
                 F.transform(at, lambda i: F.xxhash64(F.slice("_words", i, w)))
             )).alias("shingles"),
         )
@@ -147,7 +147,7 @@ def class_tokens(classes: DataFrame, settings: NearDupSettings, asked: DataFrame
     ordered = (
         each.join(frequency, "shingle")
         .groupBy("cls", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("rare_first"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("rare_first"))
         .where(F.size("rare_first") >= _needed(F.col("n"), percent))
     )
     ordered = cut(ordered)
@@ -165,7 +165,7 @@ def class_tokens(classes: DataFrame, settings: NearDupSettings, asked: DataFrame
             (F.col("unshared") + F.col("pos") + 1 <= F.col("short_reach")).alias("short"),
         )
     )
-    sets = ordered.select("cls", "n", F.array_sort(F.col("rare_first.shingle")).alias("shared"))
+    sets = ordered.select("cls", "n", F.sort_array(F.col("rare_first.shingle")).alias("shared"))
     return ClassTokens(sets, tokens)
 
 
@@ -219,6 +219,36 @@ def _as_entries(two: DataFrame, key: str) -> DataFrame:
     return two.select(key, F.inline(both)).where("seq is not null")
 
 
+def _beyond_leading(
+    asks: DataFrame, askers: DataFrame, asking: DataFrame, found_by: DataFrame, rest_from: DataFrame,
+    best: DataFrame, percent: int,
+) -> DataFrame:
+    """Candidate pairs past the leading classes of a list, for askers that could still improve there.
+
+    Nothing from ``seq1`` on can improve an asker, unless it is that document itself asking again;
+    then it is ``seq2``. Lists without anything earlier than that are done for this asker.
+    """
+    returning = (
+        asks.join(best, F.col("cls") == F.col("asker"))
+        .where((F.col("doc_id") == F.col("id1")) & (F.col("seq") > F.col("seq1")))
+        .select("asker").distinct().withColumn("returning", F.lit(True))
+    )
+    bound = F.when(F.col("returning"), F.col("seq2")).otherwise(F.col("seq1"))
+    limits = (
+        askers.join(best, "asker", "left").join(returning, "asker", "left")
+        .select("asker", F.least("last_ask", F.coalesce(bound, F.col("last_ask"))).alias("until"))
+    )
+    open_tokens = (
+        asking.drop("last_ask").join(rest_from, ["shingle", "lane"]).join(limits, "asker")
+        .where(F.col("rest_seq") < F.col("until"))
+    )
+    return (
+        open_tokens.join(found_by.drop("short"), ["shingle", "lane"])
+        .where(_fits(percent) & (F.col("seq1") >= F.col("rest_seq")) & (F.col("seq1") < F.col("until")))
+        .select("asker", "cls").distinct()
+    )
+
+
 def earliest_hits(
     tokens: ClassTokens, entries: DataFrame, asks: DataFrame, settings: NearDupSettings
 ) -> DataFrame:
@@ -264,30 +294,9 @@ def earliest_hits(
         )
 
     best = nearest(found)
-    # Which askers could still improve, and from which point of a list on?
-    returning = (
-        asks.join(best, F.col("cls") == F.col("asker"))
-        .where((F.col("doc_id") == F.col("id1")) & (F.col("seq") > F.col("seq1")))
-        .select("asker").distinct().withColumn("returning", F.lit(True))
-    )
-    bound = F.when(F.col("returning"), F.col("seq2")).otherwise(F.col("seq1"))
-    limits = (
-        askers.join(best, "asker", "left").join(returning, "asker", "left")
-        .select("asker", F.least("last_ask", F.coalesce(bound, F.col("last_ask"))).alias("until"))
-    )
-    open_tokens = cut(
-        asking.join(rest_from, ["shingle", "lane"]).join(limits, "asker")
-        .where(F.col("rest_seq") < F.col("until"))
-        .select("shingle", "lane", "asker", "asker_n", "rest_seq", "until")
-    )
-    if not open_tokens.isEmpty():
-        more = (
-            open_tokens.join(found_by.drop("short"), ["shingle", "lane"])
-            .where(
-                _fits(percent) & (F.col("seq1") >= F.col("rest_seq")) & (F.col("seq1") < F.col("until"))
-            )
-            .select("asker", "cls").distinct()
-        )
+    if not rest_from.isEmpty():
+        best = cut(best)
+        more = _beyond_leading(asks, askers, asking, found_by, rest_from, best, percent)
         best = nearest(found.unionByName(_verified(more, tokens, percent)))
 
     other = F.col("doc_id") == F.col("id1")

@@ -7,11 +7,6 @@ ENVELOPE_METADATA = (
     "genre: STRING, ingestion_system: STRING, reannotate: BOOLEAN>"
 )
 
-OVERRIDES = (
-    "STRUCT<labels: ARRAY<STRING>, source_uri: STRING, tenants: ARRAY<STRING>, "
-    "genre: STRING, run_annotators: BOOLEAN>"
-)
-
 OFFSET_TAG = (
     "STRUCT<offset_start: INT, offset_end: INT, value: STRING, tag: STRING, score: DOUBLE>"
 )
@@ -27,22 +22,50 @@ ANNOTATION = (
     f"facets: ARRAY<{FACET}>, genealogy: {GENEALOGY}, translation: STRING>"
 )
 
-METADATA = (
-    "STRUCT<creation_date: DATE, modification_date: DATE, author: STRING, doc_type: STRING, "
-    "description: STRING, original_language: STRING, classification: STRING, title: STRING, "
-    "publisher: STRING, url: STRING, pages: INT, subject: STRING, creator: STRING, "
-    "producer: STRING, stated_genre: STRING, predicted_genre: STRING>"
-)
+METADATA_FIELDS = {
+    "creation_date": "DATE",
+    "modification_date": "DATE",
+    "author": "STRING",
+    "doc_type": "STRING",
+    "description": "STRING",
+    "original_language": "STRING",
+    "classification": "STRING",
+    "title": "STRING",
+    "publisher": "STRING",
+    "url": "STRING",
+    "pages": "INT",
+    "subject": "STRING",
+    "creator": "STRING",
+    "producer": "STRING",
+    "stated_genre": "STRING",
+    "predicted_genre": "STRING",
+}
 
-DOCUMENT = (
-    "STRUCT<document_id: STRING, capture_source: STRING, content_type: STRING, "
-    "extracted_text: STRING, uri: STRING, source_uri: STRING, extracted_ntriples: STRING, "
-    "timestamp: TIMESTAMP, extracted_numeric: MAP<STRING, STRING>, labels: ARRAY<STRING>, "
-    f"extracted_metadata: {METADATA}, annotations: ARRAY<{ANNOTATION}>>"
-)
 
-# Same fields as top-level columns: the row type of the corpus table.
-CORPUS = DOCUMENT[len("STRUCT<"):-1]
+def _struct(fields: dict[str, str]) -> str:
+    return "STRUCT<" + ", ".join(f"{name}: {kind}" for name, kind in fields.items()) + ">"
+
+
+METADATA = _struct(METADATA_FIELDS)
+
+DOCUMENT_FIELDS = {
+    "document_id": "STRING",
+    "capture_source": "STRING",
+    "content_type": "STRING",
+    "extracted_text": "STRING",
+    "uri": "STRING",
+    "source_uri": "STRING",
+    "extracted_ntriples": "STRING",
+    "timestamp": "TIMESTAMP",
+    "extracted_numeric": "MAP<STRING, STRING>",
+    "labels": "ARRAY<STRING>",
+    "extracted_metadata": METADATA,
+    "annotations": f"ARRAY<{ANNOTATION}>",
+}
+DOCUMENT = _struct(DOCUMENT_FIELDS)
+
+# The same fields as top-level columns: the row type of the corpus table.
+CORPUS = ", ".join(f"{name} {kind}" for name, kind in DOCUMENT_FIELDS.items())
 
 TENANT_DOCS = "tenant STRING, doc_id STRING"
 ONTOLOGIES = "tenant STRING, id STRING, version INT"
@@ -77,13 +100,12 @@ CANONICAL_METADATA_KEYS = {
     "stated_genre": "StatedGenre",
     "predicted_genre": "PredictedGenre",
 }
-_WIRE_TYPES = {"creation_date": "DATE", "modification_date": "DATE", "pages": "INT"}
-CANONICAL_JSON = (
-    "STRUCT<document_id: STRING, capture_source: STRING, content_type: STRING, "
-    "extracted_text: STRING, uri: STRING, source_uri: STRING, extracted_ntriples: STRING, "
-    "timestamp: TIMESTAMP, extracted_numeric: MAP<STRING, STRING>, labels: ARRAY<STRING>, "
-    "extracted_metadata: STRUCT<"
-    + ", ".join(f"{k}: {_WIRE_TYPES.get(c, 'STRING')}" for c, k in CANONICAL_METADATA_KEYS.items())
-    + ">, annotations: ARRAY<STRUCT<type: STRING, label: STRING, version: STRING, "
-    "class: STRING, content: VARIANT>>>"
-)
+CANONICAL_JSON = _struct({
+    **DOCUMENT_FIELDS,
+    "extracted_metadata": _struct({
+        key: METADATA_FIELDS[column] for column, key in CANONICAL_METADATA_KEYS.items()
+    }),
+    "annotations": (
+        "ARRAY<STRUCT<type: STRING, label: STRING, version: STRING, class: STRING, content: VARIANT>>"
+    ),
+})

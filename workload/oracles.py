@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from foliary.functions.news import NEWS_KEYS  # noqa: F401  (used through IS_NEWS)
 from foliary.operators.ligatures import DEFAULT_WORDS
 
 from workload import sql as S
@@ -110,7 +109,6 @@ CLEANED = r"regexp_replace(extracted_text, '\s+,', ',', 'g') AS extracted_text"
 _DAMAGE = " dash － , soft­hyphen “and” a confl ict of staff ices, di ff erent"
 DAMAGED = f"""WITH damaged AS (SELECT d.doc_id, CASE WHEN l.quality IS NOT NULL THEN d.text || '{_DAMAGE}' ELSE d.text END AS text
   FROM documents d LEFT JOIN labels l USING (doc_id))"""
-_CUT = {c: ord(c) for c in ""}
 
 
 def _char_class(*codes: int) -> str:
@@ -226,16 +224,14 @@ ORACLES = {
         SELECT doc_id, 'subject' AS kind, subjects AS list FROM raw UNION ALL SELECT doc_id, 'region', regions FROM raw
         UNION ALL SELECT doc_id, 'industry', industries FROM raw),
         kept AS (SELECT doc_id, kind, list_filter(string_split(list, ','), lambda c: c <> '') AS c FROM lists)
-        SELECT doc_id, kind, i - 1 AS pos, c[i] AS code, label
-        FROM kept, unnest(range(1, len(c) + 1)) u(i) LEFT JOIN codes USING (kind) WHERE false
-        UNION ALL SELECT e.doc_id, e.kind, e.pos, e.code, codes.label FROM (
+        SELECT e.doc_id, e.kind, e.pos, e.code, codes.label FROM (
           SELECT doc_id, kind, i - 1 AS pos, c[i] AS code FROM kept, unnest(range(1, len(c) + 1)) u(i)) e
         LEFT JOIN codes ON codes.kind = e.kind AND codes.code = e.code""",
     "text_normalize": f"{DAMAGED} SELECT doc_id, {normalized('text')} AS text FROM damaged",
     "ligature_repair": LIGATURES,
     "language_id": f"SELECT doc_id, {S.language('text')} AS language FROM documents",
     "language_gate": f"{ROUTED} SELECT seq, target_id, lang3 AS lang, error FROM accepted",
-    "preprocess_chain": f"{STORED} SELECT id AS doc_id, upper(text) AS text, {joined('''['stored', 'quality' || quality, 'seen']''')} AS labels FROM stored",
+    "preprocess_chain": f"{STORED} SELECT id AS doc_id, lower(text) AS text, {joined('''['stored', 'quality' || quality, 'seen']''')} AS labels FROM stored",
     "corpus_lookup": f"""{STORED} SELECT 'D' || d.doc_id AS doc_id, s.text AS text, CASE WHEN s.id IS NOT NULL THEN 'archive' END AS genre
         FROM documents d LEFT JOIN stored s ON s.id = 'D' || d.doc_id""",
     "corpus_exists": f"""{STORED} SELECT 'D' || doc_id AS doc_id, {flag("'D' || doc_id IN (SELECT id FROM stored)")} AS stored FROM documents""",

@@ -79,7 +79,7 @@ def tenants(spark, sf):
 
 def decisions(spark, sf) -> Decisions:
     def build():
-        index = shingle_sets(W.stored_texts(spark, sf), NearDupSettings())
+        index = cut(shingle_sets(W.stored_texts(spark, sf), NearDupSettings()))
         return decide(
             accepted(spark, sf), corpus(spark, sf), tenants(spark, sf), index, IngestSettings(detector="detect")
         )
@@ -277,7 +277,7 @@ def language_gate(spark, sf):
 
 def preprocess_chain(spark, sf):
     steps = [
-        lambda d: d.withColumn("doc", F.col("doc").withField("extracted_text", F.upper("doc.extracted_text"))),
+        lambda d: d.withColumn("doc", F.col("doc").withField("extracted_text", F.lower("doc.extracted_text"))),
         lambda d: d.withColumn("doc", F.col("doc").withField("labels", F.array_append("doc.labels", F.lit("seen")))),
     ]
     done = C.preprocess(stored_docs(spark, sf), steps)
