@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foliary.functions import news as N
 from foliary.functions import pulse as P
+from foliary.functions.once import once
 from foliary.schemas import (
     ANNOTATION,
     CANONICAL_JSON,
@@ -191,7 +192,7 @@ def annotation_from_json(text: Column) -> Column:
         F.try_parse_json(text), "$",
         "struct<type string, label string, version string, class string, content variant>",
     )
-    return F.when(wire.getField("type").isNotNull(), annotation_from_wire(wire))
+    return once(wire, lambda w: F.when(w.getField("type").isNotNull(), annotation_from_wire(w)))
 
 
 def document_to_json(document: Column) -> Column:
@@ -211,7 +212,7 @@ def document_to_json(document: Column) -> Column:
 def document_from_json(text: Column) -> Column:
     """Document from canonical JSON; null unless it is an object with a string ``document_id``."""
     wire = F.try_variant_get(F.try_parse_json(text), "$", CANONICAL_JSON)
-    return F.when(wire.getField("document_id").isNotNull(), document_from_wire(wire))
+    return once(wire, lambda w: F.when(w.getField("document_id").isNotNull(), document_from_wire(w)))
 
 
 # --- projections and predicates on documents and annotations ------------------------------------
@@ -248,30 +249,39 @@ def relabel(annotation: Column, label: Column) -> Column:
     return annotation.withField("label", label)
 
 
-def utf16_slice(text: Column, start: Column, end: Column) -> Column:
-    """Text between two UTF-16 offsets; null when they do not fit the text."""
-    encoded = F.encode(text, "UTF-16BE")
-    units = F.length(encoded) / 2
-    simple = F.length(text) == units
-    fits = (start >= 0) & (start <= end) & (end <= units)
-    wide = F.decode(F.substring(encoded, 2 * start + 1, 2 * (end - start)), "UTF-16BE")
-    return F.when(fits, F.when(simple, F.substring(text, start + 1, end - start)).otherwise(wide))
+ASTRAL = r"[\x{10000}-\x{10FFFF}]"
+
+
+def _utf16_text(text: Column) -> Column:
+    """A text made ready for UTF-16 offsets. Only texts with characters outside the basic plane
+    need their encoded form; in all others offsets count characters."""
+    wide = F.when(text.rlike(ASTRAL), F.encode(text, "UTF-16BE"))
+    return F.struct(
+        text.alias("text"), wide.alias("wide"),
+        F.coalesce((F.length(wide) / 2).cast("int"), F.length(text)).alias("units"),
+    )
+
+
+def _utf16_slice(ready: Column, start: Column, end: Column) -> Column:
+    """Text between two offsets; null when they do not fit the text."""
+    fits = (start >= 0) & (start <= end) & (end <= ready["units"])
+    wide = F.decode(F.substring(ready["wide"], 2 * start + 1, 2 * (end - start)), "UTF-16BE")
+    plain = F.substring(ready["text"], start + 1, end - start)
+    return F.when(fits, F.when(ready["wide"].isNull(), plain).otherwise(wide))
 
 
 def fill_tag_values(tags: Column, text: Column) -> Column:
     """Every tag with the stretch of text it covers as its value."""
-    return F.transform(
-        tags,
-        lambda t: t.withField("value", utf16_slice(text, t.getField("offset_start"), t.getField("offset_end"))),
-    )
+    return once(_utf16_text(text), lambda ready: F.transform(
+        tags, lambda t: t.withField("value", _utf16_slice(ready, t["offset_start"], t["offset_end"]))
+    ))
 
 
 def tags_fit(tags: Column, text: Column) -> Column:
     """True when all offsets lie inside the text."""
-    return F.forall(
-        tags,
-        lambda t: utf16_slice(text, t.getField("offset_start"), t.getField("offset_end")).isNotNull(),
-    )
+    return once(_utf16_text(text), lambda ready: F.forall(
+        tags, lambda t: _utf16_slice(ready, t["offset_start"], t["offset_end"]).isNotNull()
+    ))
 
 
 # --- overrides ----------------------------------------------------------------------------------

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from foliary.functions.once import once
+
 
 def _chars(*codes: int) -> str:
     return "".join(map(chr, codes))
@@ -23,7 +25,8 @@ DASHES = _chars(0x2010, 0x2011, 0x2012, 0x2013, 0x2014, 0x2015, 0x2212, 0xFE58,
 SINGLE_QUOTES = _chars(0x2018, 0x2019, 0x201A, 0x201B)
 DOUBLE_QUOTES = _chars(0x201C, 0x201D, 0x201E, 0x201F)
 
-NEEDS_NORMALISING = f"[{INVISIBLE}{JOINERS}{DASHES}{SINGLE_QUOTES}{DOUBLE_QUOTES}]|\\s,"
+# Quick test whether a text may need any change: it covers all of the above, and a little more.
+NEEDS_NORMALISING = r"[\u00ad\u200b-\u206f\u2212\ufe58\ufe63\ufeff\uff0d]|\s,"
 
 
 def normalize_text(text: Column) -> Column:
@@ -32,15 +35,18 @@ def normalize_text(text: Column) -> Column:
     Zero-width joiners stay next to letters of scripts that need them. One scan decides whether a
     text needs any change, so clean text is passed through as it is.
     """
-    seen = F.regexp_replace(text, f"[{INVISIBLE}]", "")
-    seen = F.regexp_replace(
-        seen, f"(?<![{JOINER_SCRIPTS}{JOINERS}])[{JOINERS}]+|[{JOINERS}]+(?![{JOINER_SCRIPTS}{JOINERS}])", ""
-    )
+    # Characters without a counterpart in the second list are removed.
     seen = F.translate(
-        seen,
-        DASHES + SINGLE_QUOTES + DOUBLE_QUOTES,
+        text,
+        DASHES + SINGLE_QUOTES + DOUBLE_QUOTES + INVISIBLE,
         "-" * len(DASHES) + "'" * len(SINGLE_QUOTES) + '"' * len(DOUBLE_QUOTES),
     )
+    # The look-ahead keeps the costly script tests to places that have a joiner at all.
+    seen = F.regexp_replace(
+        seen,
+        f"(?=[{JOINERS}])((?<![{JOINER_SCRIPTS}{JOINERS}])[{JOINERS}]+|[{JOINERS}]+(?![{JOINER_SCRIPTS}{JOINERS}]))",
+        "",
+    )
     seen = F.regexp_replace(seen, r"\s+,", ",")
     return F.when(text.rlike(NEEDS_NORMALISING), seen).otherwise(text)
 
@@ -71,62 +77,58 @@ MARK_LETTERS = {
     "fra": "œùûëîè",
     "deu": "äöüß",
 }
-SCRIPTS = {"rus": r"\p{IsCyrillic}", "ara": r"\p{IsArabic}"}
+SCRIPTS = {"rus": r"\u0400-\u052f", "ara": r"\u0600-\u06ff\u0750-\u077f\ufb50-\ufdff\ufe70-\ufefc"}
 LATIN = r"\p{IsLatin}"
 
 LANGUAGES = [*STOP_WORDS, *SCRIPTS]
 UNKNOWN = "und"
 
 
-def _among(words: Column, wanted: list[str]) -> Column:
-    return F.filter(words, lambda w: w.isin(wanted))
-
-
-def _once(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated a single time per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def language_scores(text: Column) -> Column:
     """Array of ``(score, -rank, lang)``, one entry per language.
 
-    A language with a script of its own scores when that script has more letters in the text than
-    the Latin one; languages in Latin letters score by stop words, a marked letter counting as one.
-    Scores are whole numbers so that every engine agrees on them.
+    Languages in Latin letters score one for every stop word and every marked letter that occurs. A
+    language with a script of its own scores when that script has more letters in the text than the
+    Latin one. Scores are whole numbers so that every engine agrees on them.
     """
     lowered = F.lower(text)
     known = sorted({word for words in STOP_WORDS.values() for word in words})
-    marks = "".join(MARK_LETTERS.values())
+    foreign = text.rlike("[" + "".join(SCRIPTS.values()) + "]")
+
+    def letters(pattern: str) -> Column:
+        count = F.length(text) - F.length(F.regexp_replace(text, f"{pattern}+", ""))
+        return F.when(foreign, count).otherwise(0)
+
+    def listed(words: list[str]) -> Column:
+        return F.array(*[F.lit(word) for word in words])
+
     evidence = F.struct(
-        _among(F.split(lowered, r"[^\p{L}]+"), known).alias("hits"),
-        F.regexp_replace(lowered, f"[^{marks}]+", "").alias("marks"),
-        F.length(text).alias("length"),
-        F.length(F.regexp_replace(text, rf"{LATIN}+", "")).alias("not_latin"),
-        *[F.length(F.regexp_replace(text, f"{letters}+", "")).alias(lang) for lang, letters in SCRIPTS.items()],
+        F.array_intersect(F.split(lowered, r"[^\p{L}]+"), listed(known)).alias("words"),
+        lowered.alias("lowered"),
+        letters(LATIN).alias("latin"),
+        *[letters(f"[{ranges}]").alias(lang) for lang, ranges in SCRIPTS.items()],
     )
 
     def scores(e: Column) -> Column:
         entries = []
         for rank, lang in enumerate(LANGUAGES):
             if lang in STOP_WORDS:
-                score = F.size(_among(e["hits"], STOP_WORDS[lang]))
-                if lang in MARK_LETTERS:
-                    others = F.translate(e["marks"], MARK_LETTERS[lang], "")
-                    score = score + F.length(e["marks"]) - F.length(others)
+                score = F.size(F.array_intersect(e["words"], listed(STOP_WORDS[lang])))
+                for letter in MARK_LETTERS.get(lang, ""):
+                    score = score + F.contains(e["lowered"], F.lit(letter)).cast("int")
             else:
-                own, latin = e["length"] - e[lang], e["length"] - e["not_latin"]
-                score = F.when(own > latin, own + e["length"]).otherwise(0)
+                score = F.when(e[lang] > e["latin"], e[lang] + 1000).otherwise(0)
             entries.append(F.struct(
                 score.cast("bigint").alias("score"), F.lit(-rank).alias("rank"), F.lit(lang).alias("lang")
             ))
         return F.array(*entries)
 
-    return _once(evidence, scores)
+    return once(evidence, scores)
 
 
 def detect_language(text: Column) -> Column:
     """ISO 639-3 code of the language a text is written in; "und" without any evidence."""
-    return _once(
+    return once(
         F.array_max(language_scores(text)),
         lambda best: F.when(best["score"] > 0, best["lang"]).otherwise(UNKNOWN),
     )

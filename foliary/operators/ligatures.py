@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliary.session import cut
+
 # A left part ends in ff, fi, fl, ffi or ffl.
 WORD = r"^\p{L}+$"
 SPLIT_WORD = r"^\p{L}*(ff|fi|fl)$"
@@ -59,26 +61,35 @@ class Lexicon:
 
 
 def _seams(tokens: Column) -> Column:
-    """Word pair (left, right), lower case, around every space between two tokens."""
+    """The two tokens around every space."""
     pairs = F.size(tokens) - 1
     return F.zip_with(
         F.slice(tokens, F.lit(1), pairs), F.slice(tokens, F.lit(2), pairs),
-        lambda left, right: F.struct(
-            F.lower(F.regexp_replace(left, LEADING_NONLETTERS, "")).alias("left"),
-            F.lower(F.regexp_replace(right, TRAILING_AFTER_LETTERS, "")).alias("right"),
-        ),
+        lambda left, right: F.struct(left.alias("left"), right.alias("right")),
+    )
+
+
+def _suspect(seam: Column) -> Column:
+    """Cheap first test: the left token ends in a ligature."""
+    end = F.lower(F.substring(seam["left"], -2, 2))
+    return end.isin("ff", "fi", "fl")
+
+
+def _word_pair(seam: Column) -> Column:
+    """Words (lower case) that touch the space, without leading or trailing marks."""
+    return F.struct(
+        F.lower(F.regexp_replace(seam["left"], LEADING_NONLETTERS, "")).alias("left"),
+        F.lower(F.regexp_replace(seam["right"], TRAILING_AFTER_LETTERS, "")).alias("right"),
     )
 
 
 def split_spots(texts: DataFrame) -> DataFrame:
     """Distinct ``(id, left, right)`` of the spots in ``(id, text)`` that look like a split word."""
-    return (
-        texts.where(F.col("text").rlike(MAYBE_SPLIT))
-        .select("id", F.inline(F.array_distinct(F.filter(
-            _seams(F.split("text", " ")),
-            lambda p: p["left"].rlike(SPLIT_WORD) & p["right"].rlike(WORD),
-        ))))
+    suspects = F.filter(_seams(F.split("text", " ")), _suspect)
+    pairs = F.filter(
+        F.transform(suspects, _word_pair), lambda p: p["left"].rlike(SPLIT_WORD) & p["right"].rlike(WORD)
     )
+    return texts.where(F.col("text").rlike(MAYBE_SPLIT)).select("id", F.inline(F.array_distinct(pairs)))
 
 
 def mergeable_pairs(pairs: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -100,7 +111,7 @@ def repair_ligatures(
     suspected = F.coalesce(F.col(text_col).rlike(MAYBE_SPLIT), F.lit(False))
     clean, doubtful = docs.where(~suspected), docs.where(suspected)
 
-    spots = split_spots(doubtful.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    spots = cut(split_spots(doubtful.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))))
     pairs = spots.select("left", "right").distinct()
     candidates = pairs.select(
         F.explode(F.array("left", F.concat("left", "right"))).alias("word")
@@ -115,7 +126,9 @@ def repair_ligatures(
     rebuilt = F.array_join(F.zip_with(
         tokens, _seams(tokens),
         lambda token, seam: F.concat(
-            token, F.when(seam.isNull() | F.array_contains(F.col("_merge"), seam), "").otherwise(" ")
+            token,
+            F.when(seam.isNull(), "").when(~_suspect(seam), " ")
+            .when(F.array_contains(F.col("_merge"), _word_pair(seam)), "").otherwise(" "),
         ),
     ), "")
     repaired = F.when(F.col("_merge").isNotNull(), rebuilt).otherwise(F.col(text_col))

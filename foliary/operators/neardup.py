@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from foliary.functions.once import once
 from foliary.session import cut
 
 
@@ -63,8 +64,11 @@ class NearDupSettings:
 # --- shingle sets -------------------------------------------------------------------------------
 
 def words(text: Column, max_words: int | None) -> Column:
-    split = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    return split if max_words is None else F.slice(split, 1, max_words)
+    """Words between white space. Only as much of the text is split as is looked at."""
+    if max_words is None:
+        return F.array_remove(F.split(text, r"\s+"), "")
+    # One more piece for an empty one in front, one for the unsplit rest.
+    return F.slice(F.array_remove(F.split(text, r"\s+", max_words + 2), ""), 1, max_words)
 
 
 def shingle_sets(docs: DataFrame, settings: NearDupSettings) -> DataFrame:
@@ -74,18 +78,15 @@ def shingle_sets(docs: DataFrame, settings: NearDupSettings) -> DataFrame:
     of the set. A text shorter than the window is one shingle. Rows without text are dropped.
     """
     w = settings.window
-    listed = docs.select(
-        F.col("seq").cast("bigint").alias("seq"), "doc_id",
-        words(F.col("text"), settings.max_words).alias("_words"),
-    ).where(F.size("_words") > 0)
-    at = F.sequence(F.lit(1), F.greatest(F.size("_words") - w + 1, F.lit(1)))
+    hashed = F.transform(words(F.col("text"), settings.max_words), lambda word: F.xxhash64(word))
+    runs = once(hashed, lambda h: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(h) - w + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(h, i, w))
+    ))
     return (
-        listed
+        docs.where(F.col("text").rlike(r"\S"))
         .select(
-            "seq", "doc_id",
-            F.sort_array(F.array_distinct(
-                F.transform(at, lambda i: F.xxhash64(F.slice("_words", i, w)))
-            )).alias("shingles"),
+            F.col("seq").cast("bigint").alias("seq"), "doc_id",
+            F.sort_array(F.array_distinct(runs)).alias("shingles"),
         )
         .select(
             "seq", "doc_id", F.size("shingles").alias("n"),

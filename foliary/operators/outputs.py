@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliary.functions.documents import document_to_json, thin_document
+from foliary.functions.once import once
 from foliary.operators.tables import tenants_by_document
 from foliary.schemas import DUPLICATE_RESPONSE
 
@@ -65,11 +66,11 @@ def duplicate_response_json(hits: Column) -> Column:
 
 def duplicate_response_from_json(text: Column) -> Column:
     """Hits of a duplicate response; null for text that is no JSON object."""
-    parsed = F.try_variant_get(F.try_parse_json(text), "$", DUPLICATE_RESPONSE)
-    return F.when(
-        F.call_function("schema_of_variant", F.try_parse_json(text)).startswith("OBJECT"),
-        F.coalesce(parsed.getField("duplicated_docs"), F.array().cast("array<struct<doc_id:string,score:decimal(3,2)>>")),
-    )
+    nothing = F.array().cast("array<struct<doc_id:string,score:decimal(3,2)>>")
+    return once(F.try_parse_json(text), lambda given: F.when(
+        F.call_function("schema_of_variant", given).startswith("OBJECT"),
+        F.coalesce(F.try_variant_get(given, "$", DUPLICATE_RESPONSE).getField("duplicated_docs"), nothing),
+    ))
 
 
 # --- errors and status ------------------------------------------------------------------------

@@ -7,10 +7,13 @@ time with other overrides. Documents labelled toxic are stored beforehand.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.functions.documents import document_record
+from foliary.schemas import ANNOTATION
 from foliary.session import cut
 from foliary.sources.codes import LabelLookup, code_table
 
@@ -65,8 +68,6 @@ _COLUMNS = {
 
 
 def _spark_sql(expression: str) -> str:
-    import re
-
     return re.sub(r"VARCHAR\(\d+\)", "STRING", expression)
 
 
@@ -74,9 +75,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table that comes in fewer pieces than there are cores to every core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their labels and the field values of their feed message."""
-    docs = read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = spread(read(spark, sf_dir, "documents")).join(read(spark, sf_dir, "labels"), "doc_id", "left")
     return docs.select("*", *[F.expr(_spark_sql(sql)).alias(name) for name, sql in _COLUMNS.items()])
 
 
@@ -211,8 +218,6 @@ def stored_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _note(cls: str) -> Column:
     """A text annotation naming the document's language."""
-    from foliary.schemas import ANNOTATION
-
     wire = F.struct(
         F.lit("text").alias("type"), F.lit(f"note-{cls}").alias("label"), F.lit("1").alias("version"),
         F.lit(cls).alias("class"), F.col("lang").alias("text"),

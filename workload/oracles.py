@@ -64,7 +64,7 @@ def _news_row(labels="''", source=t("an"), genre="NULL") -> str:
   CAST({S.MODIFIED} AS VARCHAR) AS modification_date, {S.AUTHOR.format(t('byline'))} AS author,
   {t('document_type')} AS doc_type, {t('snippet')} AS description, {t('language_code')} AS original_language,
   'UNCLASSIFIED' AS classification, {t('title')} AS title, {t('publisher_name')} AS publisher, '' AS url,
-  CAST(NULL AS BIGINT) AS pages, 'Dow Jones' AS producer, {genre} AS stated_genre, {notes} AS annotations"""
+  CAST(NULL AS VARCHAR) AS pages, 'Dow Jones' AS producer, {genre} AS stated_genre, {notes} AS annotations"""
 
 
 def _pulse_row(labels="''", source=f"coalesce({t('norm.url')}, '')", genre="NULL") -> str:
@@ -72,7 +72,7 @@ def _pulse_row(labels="''", source=f"coalesce({t('norm.url')}, '')", genre="NULL
   text AS extracted_text, {source} AS source_uri, {labels} AS labels, substr({t('norm.timestamp')}, 1, 10) AS creation_date,
   NULL AS modification_date, '' AS author, {_KIND} AS doc_type, '' AS description, 'en' AS original_language,
   'UNCLASSIFIED' AS classification, coalesce({t('meta.title[0].results[0]')}, '') AS title, {t('norm.author')} AS publisher,
-  {t('norm.url')} AS url, CAST(NULL AS BIGINT) AS pages, 'Pulse' AS producer, {genre} AS stated_genre, '' AS annotations"""
+  {t('norm.url')} AS url, CAST(NULL AS VARCHAR) AS pages, 'Pulse' AS producer, {genre} AS stated_genre, '' AS annotations"""
 
 
 def _canonical_row(labels=t("labels[0]"), source=t("source_uri"), genre=t("extracted_metadata.StatedGenre")) -> str:
@@ -80,7 +80,7 @@ def _canonical_row(labels=t("labels[0]"), source=t("source_uri"), genre=t("extra
     return f"""seq, {t('document_id')} AS document_id, {t('capture_source')} AS capture_source, {t('content_type')} AS content_type,
   text AS extracted_text, {source} AS source_uri, {labels} AS labels, {t(m + 'CreationDate')} AS creation_date,
   NULL AS modification_date, NULL AS author, NULL AS doc_type, NULL AS description, {t(m + 'OriginalLanguage')} AS original_language,
-  NULL AS classification, {t(m + 'Title')} AS title, NULL AS publisher, NULL AS url, CAST({t(m + 'Pages')} AS BIGINT) AS pages,
+  NULL AS classification, {t(m + 'Title')} AS title, NULL AS publisher, NULL AS url, {t(m + 'Pages')} AS pages,
   NULL AS producer, {genre} AS stated_genre, 't1|f1' AS annotations"""
 
 

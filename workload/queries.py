@@ -88,7 +88,7 @@ def decisions(spark, sf) -> Decisions:
 
 
 def documents(spark, sf):
-    return W.read(spark, sf, "documents")
+    return W.spread(W.read(spark, sf, "documents"))
 
 
 def all_ids(spark, sf):
@@ -179,7 +179,7 @@ def _flat_document(rows: DataFrame) -> DataFrame:
         m["author"].alias("author"), m["doc_type"].alias("doc_type"), m["description"].alias("description"),
         m["original_language"].alias("original_language"), m["classification"].alias("classification"),
         m["title"].alias("title"), m["publisher"].alias("publisher"), m["url"].alias("url"),
-        m["pages"].cast("bigint").alias("pages"), m["producer"].alias("producer"),
+        text(m["pages"]).alias("pages"), m["producer"].alias("producer"),
         m["stated_genre"].alias("stated_genre"),
         F.array_join(F.transform(d["annotations"], lambda a: a["label"]), "|").alias("annotations"),
     )

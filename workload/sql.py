@@ -18,24 +18,27 @@ def text_of(path: str, json: str = "body") -> str:
 
 def language(text: str) -> str:
     """Language code of a text, by the scoring rule of the detector."""
-    scripts = {"rus": r"\p{Cyrillic}", "ara": r"\p{Arabic}"}
+    scripts = {
+        "rus": r"[\x{400}-\x{52f}]",
+        "ara": r"[\x{600}-\x{6ff}\x{750}-\x{77f}\x{fb50}-\x{fdff}\x{fe70}-\x{fefc}]",
+    }
     known = in_list(sorted({w for words in STOP_WORDS.values() for w in words}))
     scores = []
     for lang in LANGUAGES:
         if lang in STOP_WORDS:
             score = f"len(list_filter(hits, lambda w: w IN {in_list(STOP_WORDS[lang])}))"
-            if lang in MARK_LETTERS:
-                score += f" + length(regexp_replace(low, '[^{MARK_LETTERS[lang]}]+', '', 'g'))"
+            for letter in MARK_LETTERS.get(lang, ""):
+                score += f" + CAST(contains(low, '{letter}') AS INT)"
         else:
             own = f"(length(t) - length(regexp_replace(t, '{scripts[lang]}+', '', 'g')))"
             latin = r"(length(t) - length(regexp_replace(t, '\p{Latin}+', '', 'g')))"
-            score = f"CASE WHEN {own} > {latin} THEN {own} + length(t) ELSE 0 END"
+            score = f"CASE WHEN {own} > {latin} THEN {own} + 1000 ELSE 0 END"
         scores.append(f"({score})")
     best = "greatest(" + ", ".join(f"s[{i + 1}]" for i in range(len(scores))) + ")"
     pick = " ".join(f"WHEN s[{i + 1}] = {best} THEN '{lang}'" for i, lang in enumerate(LANGUAGES))
     return f"""(SELECT CASE WHEN {best} = 0 THEN 'und' {pick} END FROM (
         SELECT [{', '.join(scores)}] AS s FROM (
-          SELECT t, low, list_filter(regexp_split_to_array(low, '[^\\p{{L}}]+'), lambda w: w IN {known}) AS hits
+          SELECT t, low, list_filter(list_distinct(regexp_split_to_array(low, '[^\\p{{L}}]+')), lambda w: w IN {known}) AS hits
           FROM (SELECT {text} AS t, lower({text}) AS low))))"""
 
 
