@@ -65,7 +65,7 @@ class LabelLookup:
 
     def getItem(self, key: Column) -> Column:  # noqa: N802 - same name as Column.getItem
         """Label of a ``kind/code`` key; null when unknown."""
-        return F.get(self._buckets, F.pmod(F.hash(key), F.lit(_BUCKETS))).getItem(key)
+        return F.get(self._buckets, F.pmod(F.hash(key), F.lit(_BUCKETS)))[key]
 
 
 def join_labels(coded: DataFrame, codes: DataFrame) -> DataFrame:
