@@ -51,8 +51,10 @@ class Lexicon:
         if self.texts is None:
             return given if given is not None else candidates.where(F.lit(False))
         heard = F.regexp_replace("text", r"\p{L}*(ff|fi|fl) (\p{L})", " $2")
+        # Every candidate contains a ligature, so most words need not leave their document.
+        ligated = F.filter(F.split(F.lower(heard), r"[^\p{L}]+"), lambda w: w.rlike("ff|fi|fl"))
         counted = (
-            self.texts.select(F.explode(F.array_distinct(F.split(F.lower(heard), r"[^\p{L}]+"))).alias("word"))
+            self.texts.select(F.explode(F.array_distinct(ligated)).alias("word"))
             .join(candidates, "word", "left_semi")
             .groupBy("word").agg(F.count("*").alias("docs")).where(F.col("docs") >= self.min_docs)
             .select("word")

@@ -27,7 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from foliary.functions.once import once
-from foliary.session import cut
+from foliary.session import cut, land
+
+# Shingles multiply rows in a way size estimates do not see, so no side of these joins may be
+# broadcast on an estimate. Merge joins also let adaptive execution split a hot shingle.
+MERGE = "merge"
 
 
 @dataclass(frozen=True)
@@ -143,10 +147,10 @@ def class_tokens(classes: DataFrame, settings: NearDupSettings, asked: DataFrame
     counted = each
     if asked is not None:
         wanted = each.join(asked, "cls", "left_semi").select("shingle").distinct()
-        counted = each.join(wanted, "shingle", "left_semi")
+        counted = each.join(wanted.hint(MERGE), "shingle", "left_semi")
     frequency = counted.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     ordered = (
-        each.join(frequency, "shingle")
+        each.join(frequency.hint(MERGE), "shingle")
         .groupBy("cls", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("rare_first"))
         .where(F.size("rare_first") >= _needed(F.col("n"), percent))
@@ -178,7 +182,7 @@ def _verified(pairs: DataFrame, tokens: ClassTokens, percent: int) -> DataFrame:
     right = tokens.sets.select("cls", F.col("n").alias("_n2"), F.col("shared").alias("_s2"))
     common = F.size(F.array_intersect("_s1", "_s2"))
     return (
-        pairs.join(left, "asker").join(right, "cls")
+        pairs.join(left.hint(MERGE), "asker").join(right.hint(MERGE), "cls")
         .where(100 * common >= percent * (F.col("_n1") + F.col("_n2") - common))
         .select("asker", "cls")
     )
@@ -240,11 +244,11 @@ def _beyond_leading(
         .select("asker", F.least("last_ask", F.coalesce(bound, F.col("last_ask"))).alias("until"))
     )
     open_tokens = (
-        asking.drop("last_ask").join(rest_from, ["shingle", "lane"]).join(limits, "asker")
+        asking.drop("last_ask").join(rest_from.hint(MERGE), ["shingle", "lane"]).join(limits, "asker")
         .where(F.col("rest_seq") < F.col("until"))
     )
     return (
-        open_tokens.join(found_by.drop("short"), ["shingle", "lane"])
+        open_tokens.join(found_by.drop("short").hint(MERGE), ["shingle", "lane"])
         .where(_fits(percent) & (F.col("seq1") >= F.col("rest_seq")) & (F.col("seq1") < F.col("until")))
         .select("asker", "cls").distinct()
     )
@@ -278,7 +282,7 @@ def earliest_hits(
         "shingle", "lane", F.col("seq1").alias("rest_seq")
     )
     pairs = (
-        asking.join(leading, ["shingle", "lane"])
+        asking.join(leading.hint(MERGE), ["shingle", "lane"])
         .where(_fits(percent) & (F.col("seq1") < F.col("last_ask")))
         .select("asker", "cls").distinct()
     )
@@ -318,7 +322,7 @@ def near_duplicates(docs: DataFrame, settings: NearDupSettings | None = None) ->
     Columns: doc_id, seq, first_duplicate (id of the earliest near copy), score (always 1.00).
     """
     settings = settings or NearDupSettings()
-    sets = cut(shingle_sets(docs, settings))
+    sets = land(shingle_sets(docs, settings))
     members, classes = text_classes(sets)
     members = cut(members)
     tokens = class_tokens(classes, settings)
@@ -338,7 +342,7 @@ def copies_of(asked: DataFrame, docs: DataFrame, settings: NearDupSettings | Non
     """
     settings = settings or NearDupSettings()
     percent = settings.threshold
-    sets = cut(shingle_sets(docs, settings))
+    sets = land(shingle_sets(docs, settings))
     members, classes = text_classes(sets)
     wanted = members.join(asked, "doc_id", "left_semi")
     askers = wanted.select("cls").distinct()
@@ -349,7 +353,7 @@ def copies_of(asked: DataFrame, docs: DataFrame, settings: NearDupSettings | Non
         asking=True,
     ).drop("short")
     pairs = (
-        asking.join(_lanes(tokens.tokens, asking=False).drop("short"), ["shingle", "lane"])
+        asking.join(_lanes(tokens.tokens, asking=False).drop("short").hint(MERGE), ["shingle", "lane"])
         .where(_fits(percent)).select("asker", "cls").distinct()
     )
     same = askers.select(F.col("cls").alias("asker"), "cls")

@@ -11,7 +11,7 @@ from foliary.functions import news as N
 from foliary.functions import pulse as P
 from foliary.functions.text import DETECTORS
 from foliary.schemas import ANNOTATION
-from foliary.session import cut
+from foliary.session import land
 
 UNRECOGNISED = "unrecognised format"
 UNCONVERTIBLE = "conversion failed"
@@ -85,7 +85,7 @@ def read_events(
     )
     gated = gate_language(route_formats(parsed, processed_at, labels), detector)
     # Materialise before splitting: a filter on ``parsed`` would be pushed down and parse again.
-    done = cut(gated.select(
+    done = land(gated.select(
         "seq", "doc_id", "target_id", "format", "lang", "overrides", "doc", "error", "parsed",
         F.when(~F.col("parsed"), F.col("value")).when(F.col("error").isNotNull(), F.to_json("document")).alias("raw"),
     ))

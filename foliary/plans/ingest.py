@@ -27,7 +27,7 @@ from foliary.operators.neardup import (
 )
 from foliary.operators.routing import INGESTION
 from foliary.operators.tables import tenants_by_document
-from foliary.session import cut
+from foliary.session import cut, land
 
 DEDUPLICATION = "deduplication"
 NO_TEXT = "deduplication failed - no text"
@@ -70,7 +70,7 @@ def check_duplicates(
     event is checked and one pass decides all. Otherwise the passes repeat with the events known to
     be checked until nothing changes; each pass settles at least the next undecided event.
     """
-    sets = cut(shingle_sets(candidates, settings))
+    sets = land(shingle_sets(candidates, settings))
     known = sets
     if index is not None:
         known = sets.unionByName(index.select(
@@ -178,10 +178,14 @@ def decide(
         .join(placed.where(duplicate).select("hit_id").distinct(), "hit_id", "left_semi")
         .unionByName(first_new.select(F.col("target_id").alias("hit_id"), F.col("new_seq").alias("since")))
     )
-    routed = placed.join(originals, "hit_id", "left").withColumn(
-        "_applies_to",
-        F.when(F.col("outcome") == "EXISTING", F.col("target_id"))
-        .when(duplicate & (F.col("since") < F.col("seq")), F.col("hit_id")),
+    # Only duplicates take part in the join: the others have no match to look up.
+    nowhere = F.lit(None).cast("string")
+    routed = (
+        placed.where(duplicate).join(originals, "hit_id", "left")
+        .withColumn("_applies_to", F.when(F.col("since") < F.col("seq"), F.col("hit_id"))).drop("since")
+        .unionByName(placed.where(~duplicate).withColumn(
+            "_applies_to", F.when(F.col("outcome") == "EXISTING", F.col("target_id")).otherwise(nowhere)
+        ))
     )
     messages = routed.where("_applies_to is not null").select(
         F.col("_applies_to").alias("target_id"), "seq", "overrides"

@@ -1,8 +1,13 @@
-"""Lineage cuts that survive the loss of an executor."""
+"""Lineage cuts that survive the loss of an executor.
+
+Both kinds write below ``spark.checkpoint.dir`` and leave their files there, like any reliable
+checkpoint; whoever owns the folder clears it when the job is done.
+"""
 
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,3 +36,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so it is computed once and its lineage ends here."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def land(df: DataFrame) -> DataFrame:
+    """Write ``df`` down as a Parquet table and go on from there.
+
+    For wide rows of which later steps read a few columns each: unlike a checkpoint, the table is
+    pruned and filtered at the scan.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from foliary.functions.documents import document_record
 from foliary.schemas import ANNOTATION
-from foliary.session import cut
+from foliary.session import land
 from foliary.sources.codes import LabelLookup, code_table
 
 RESEND = 1_000_000_000_000
@@ -176,7 +176,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("shape") == "broken", F.concat(F.lit('{"document": '), F.col("text")))
         .otherwise(envelope(again)).alias("value"),
     )
-    return cut(first.unionByName(second))
+    return land(first.unionByName(second))
 
 
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
