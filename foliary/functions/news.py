@@ -70,10 +70,14 @@ def author(byline: Column) -> Column:
     return F.when(F.length(byline) > 0, cleaned).otherwise("")
 
 
+DAY_MS = 86_400_000
+
+
 def epoch_date(millis: Column) -> Column:
-    """UTC date of an epoch-milliseconds string; null when it is no whole number."""
+    """UTC date of an epoch-milliseconds string; null when it is no whole number or out of range."""
     whole = F.when(millis.rlike(r"^[+-]?\d+$"), millis.try_cast("bigint"))
-    return F.to_date(F.timestamp_millis(whole))
+    days = (whole - F.pmod(whole, F.lit(DAY_MS))) / DAY_MS
+    return F.date_from_unix_date(days.try_cast("int"))
 
 
 def creation_date(publication_date: Column, publication_datetime: Column) -> Column:

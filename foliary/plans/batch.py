@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +61,9 @@ def run_batch(
     """
     settings = settings or BatchSettings()
     accepted, rejected = read_events(events, processed_at, labels, settings.ingest.detector)
-    corpus = store.corpus(batch)
-    tenants = store.tenant_docs(batch)
+    corpus = store.stored(batch)
+    # Repeated memberships are harmless here: all uses collect sets of the documents at hand.
+    tenants = store.read("tenant_docs", batch).drop("batch")
     index = store.shingle_index(batch) if batch > 0 and settings.ingest.dedup is not None else None
     decisions = decide(accepted, corpus, tenants, index, settings.ingest)
 
@@ -75,9 +76,9 @@ def run_batch(
     now_ms = F.unix_millis(processed_at)
 
     documents = changed.select(F.col("document_id").alias("doc_id"), F.struct(*changed.columns).alias("doc"))
-    # A duplicate that changed its original, or a NOOP, must not announce documents nothing happened to.
+    # Documents that got nothing but NOOP messages are not announced.
     announced = documents.join(_touched(decisions), "doc_id", "left_semi")
-    all_tenants = tenants.unionByName(memberships).distinct()
+    all_tenants = tenants.unionByName(memberships)
     if ontologies is None:
         ontologies = store.spark.createDataFrame([], "tenant STRING, id STRING, version INT")
     notices = _topic(O.update_notices(announced, all_tenants, ontologies), UPDATE_TOPIC).unionByName(
@@ -109,7 +110,7 @@ def run_batch(
     if decisions.index_rows is not None:
         store.append("shingle_index", decisions.index_rows, batch)
     store.append("corpus", changed, batch)
-    return BatchResult(replace(decisions), changed, rejected)
+    return BatchResult(decisions, changed, rejected)
 
 
 def _topic(messages: DataFrame, topic: str) -> DataFrame:

@@ -13,7 +13,7 @@ from foliary.functions.text import normalize_text
 from foliary.operators.fold import fold_overrides
 from foliary.operators.ligatures import Lexicon, repair_ligatures
 from foliary.operators.tables import upsert
-from foliary.plans.ingest import Decisions
+from foliary.plans.ingest import Corpus, Decisions, stored_documents
 
 Preprocessor = Callable[[DataFrame], DataFrame]
 
@@ -62,17 +62,15 @@ def core_update(documents: DataFrame, folded: DataFrame) -> DataFrame:
 
 
 def apply_decisions(
-    decisions: Decisions, corpus: DataFrame, lexicon: Lexicon, steps: Sequence[Preprocessor] = ()
+    decisions: Decisions, corpus: Corpus, lexicon: Lexicon, steps: Sequence[Preprocessor] = ()
 ) -> DataFrame:
     """Rows of the corpus table a batch adds or replaces, in the corpus schema.
 
     A NEW document that receives overrides later in the batch gets them, too.
     """
     folded = fold_overrides(decisions.messages)
-    stored = (
-        corpus.join(folded.select(F.col("target_id").alias("document_id")), "document_id", "left_semi")
-        .select(F.col("document_id").alias("doc_id"), F.struct(*corpus.columns).alias("doc"))
-    )
+    rows = stored_documents(corpus, folded.select("target_id"))
+    stored = rows.select(F.col("document_id").alias("doc_id"), F.struct(*rows.columns).alias("doc"))
     fresh = core_new(decisions.new_documents.select("doc_id", "doc"), lexicon, steps)
     return core_update(stored.unionByName(fresh), folded).select("doc.*")
 

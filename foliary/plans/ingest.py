@@ -11,6 +11,7 @@ Rules, in arrival order (``seq``):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,17 @@ ORIGINAL_NOT_STORED = "original not stored"
 _INDEX_SHIFT = 1 << 62
 
 
+# The stored documents: a corpus frame, or a function that gives those with the asked ids
+# (``document_id``) and can so look up a large table without ranking all of its versions.
+Corpus = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def stored_documents(corpus: Corpus, ids: DataFrame) -> DataFrame:
+    """Rows of the corpus whose ``document_id`` is the first column of ``ids``."""
+    asked = ids.toDF("document_id").distinct()
+    return corpus(asked) if callable(corpus) else corpus.join(asked, "document_id", "left_semi")
+
+
 @dataclass(frozen=True)
 class IngestSettings:
     """``dedup=None`` switches duplicate detection off."""
@@ -133,15 +145,15 @@ class Decisions:
 
 def decide(
     accepted: DataFrame,
-    corpus: DataFrame,
+    corpus: Corpus,
     tenant_docs: DataFrame,
     index: DataFrame | None = None,
     settings: IngestSettings | None = None,
 ) -> Decisions:
     """Decide all events of a batch (see :func:`foliary.operators.routing.read_events`)."""
     settings = settings or IngestSettings()
-    stored_ids = corpus.select(F.col("document_id").alias("target_id")).join(
-        accepted.select("target_id").distinct(), "target_id", "left_semi"
+    stored_ids = cut(
+        stored_documents(corpus, accepted.select("target_id")).select(F.col("document_id").alias("target_id"))
     )
     slim = accepted.select("seq", "doc_id", "target_id", "overrides", "error", F.col("raw"))
     events = slim.join(stored_ids.withColumn("_stored", F.lit(True)), "target_id", "left").withColumn(
@@ -174,8 +186,8 @@ def decide(
     # A duplicate's overrides go to its earliest match when that one is stored by then.
     duplicate = F.col("outcome") == "DUPLICATE"
     originals = (
-        corpus.select(F.col("document_id").alias("hit_id"), F.lit(-1).cast("bigint").alias("since"))
-        .join(placed.where(duplicate).select("hit_id").distinct(), "hit_id", "left_semi")
+        stored_documents(corpus, placed.where(duplicate).select("hit_id"))
+        .select(F.col("document_id").alias("hit_id"), F.lit(-1).cast("bigint").alias("since"))
         .unionByName(first_new.select(F.col("target_id").alias("hit_id"), F.col("new_seq").alias("since")))
     )
     # Only duplicates take part in the join: the others have no match to look up.
@@ -222,7 +234,7 @@ def decide(
 
 
 def target_state(
-    messages: DataFrame, corpus: DataFrame, tenant_docs: DataFrame, new_documents: DataFrame
+    messages: DataFrame, corpus: Corpus, tenant_docs: DataFrame, new_documents: DataFrame
 ) -> DataFrame:
     """State of every message target before the batch's first message: labels, tenants, source URI, genre."""
     targets = messages.select("target_id").distinct()
@@ -231,7 +243,7 @@ def target_state(
     def or_none(column: str) -> Column:
         return F.coalesce(F.col(column), names)
 
-    stored = corpus.select(
+    stored = stored_documents(corpus, targets).select(
         F.col("document_id").alias("target_id"), "labels", "source_uri",
         F.col("extracted_metadata.stated_genre").alias("genre"), names.alias("given"),
     )
@@ -243,7 +255,7 @@ def target_state(
         tenant_docs.join(targets.withColumnRenamed("target_id", "doc_id"), "doc_id", "left_semi")
     ).withColumnRenamed("doc_id", "target_id")
     return (
-        stored.unionByName(fresh).join(targets, "target_id", "left_semi")
+        stored.unionByName(fresh.join(targets, "target_id", "left_semi"))
         .join(memberships, "target_id", "left")
         .select(
             "target_id", or_none("labels").alias("labels"), "source_uri", "genre",

@@ -7,6 +7,8 @@ after a failure replaces exactly its own rows, and no folder is read while it is
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,13 +60,20 @@ class CorpusStore:
         return rows if before is None else rows.where(F.col("batch") < before)
 
     def corpus(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
-        """Newest version of every stored document; with ``ids`` (document_id) of those only."""
+        """Newest version of every stored document; with ``ids`` (document_id) of those only.
+
+        The ids are matched before versions are ranked, so only the asked documents are shuffled.
+        """
         rows = self.read("corpus", before)
         if ids is not None:
-            rows = rows.join(ids.distinct(), "document_id", "left_semi")
+            rows = rows.join(ids, "document_id", "left_semi")
         newest = W.partitionBy("document_id").orderBy(F.col("batch").desc())
         return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", "batch")
 
+    def stored(self, before: int | None = None) -> Callable[[DataFrame], DataFrame]:
+        """Lookup of stored documents by id, as of a batch."""
+        return lambda ids: self.corpus(before, ids)
+
     def tenant_docs(self, before: int | None = None) -> DataFrame:
         return self.read("tenant_docs", before).drop("batch").distinct()
 

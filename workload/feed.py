@@ -18,7 +18,7 @@ from foliary.session import land
 from foliary.sources.codes import LabelLookup, code_table
 
 RESEND = 1_000_000_000_000
-PROCESSED_AT = "2024-01-01 00:00:00"
+PROCESSED_MS = 1704067200000
 
 SHAPE = """
     CASE WHEN n_chars < 60 THEN 'broken'
@@ -200,7 +200,7 @@ def lookup(spark: SparkSession, sf_dir: str) -> LabelLookup:
 
 
 def processed_at() -> Column:
-    return F.lit(PROCESSED_AT).cast("timestamp")
+    return F.timestamp_millis(F.lit(PROCESSED_MS))
 
 
 def stored_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

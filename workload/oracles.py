@@ -5,14 +5,13 @@ from __future__ import annotations
 from foliary.operators.ligatures import DEFAULT_WORDS
 
 from workload import sql as S
-from workload.feed import RAW_SQL, RESEND
+from workload.feed import PROCESSED_MS, RAW_SQL, RESEND
 
 FEED = "WITH " + S.FEED_SQL
 RAW = "WITH " + RAW_SQL
 ROUTED = "WITH " + S.ROUTED_SQL
 STORED = "WITH " + RAW_SQL + "," + S.STORED_SQL
 DECIDED = "WITH " + S.DECIDED_SQL
-PROCESSED_MS = 1704067200000
 t = S.text_of
 
 
