@@ -32,11 +32,10 @@ def _record(schema: str, fields: dict[str, Column], names: Iterable[str]) -> Col
 
 def document_record(metadata: dict[str, Column], **fields: Column) -> Column:
     """A whole document struct from the given fields; all others are null or empty."""
-    no_numeric = F.lit(None).cast("map<string,string>")
     filled = {
         "labels": F.array().cast("array<string>"),
         "annotations": F.array().cast(f"array<{ANNOTATION}>"),
-        "extracted_numeric": F.coalesce(no_numeric, F.create_map().cast("map<string,string>")),
+        "extracted_numeric": F.create_map().cast("map<string,string>"),
         **fields,
         "extracted_metadata": _record(METADATA, metadata, METADATA_FIELDS),
     }
@@ -115,9 +114,7 @@ def annotation_from_wire(wire: Column) -> Column:
     content, kind = wire.getField("content"), wire.getField("type")
 
     def when(name: str, schema: str) -> Column:
-        return F.when(kind == name, F.try_variant_get(content, "$", schema)).alias(
-            "dictionary" if name == "dictionary" else name
-        )
+        return F.when(kind == name, F.try_variant_get(content, "$", schema)).alias(name)
 
     return F.struct(
         kind.alias("type"),

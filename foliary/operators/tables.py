@@ -8,11 +8,9 @@ from pyspark.sql.window import Window as W
 
 from foliary.schemas import ANNOTATION
 
-NO_NAMES = "array<string>"
-
 
 def _empty_names() -> Column:
-    return F.array().cast(NO_NAMES)
+    return F.array().cast("array<string>")
 
 
 # --- lookups ------------------------------------------------------------------------------------

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # The lookup is a plan literal, so it is only built for tables up to this size (checked).
 LOOKUP_LIMIT = 50_000
 _BUCKETS = 1024
+# What bytes that are no UTF-8 decode to; no code or label contains it.
+REPLACEMENT = chr(0xFFFD)
 
 
 def code_table(rows: DataFrame) -> DataFrame:
@@ -25,12 +27,11 @@ def read_code_tables(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Read ``{kind: path}`` CSV files (UTF-8; malformed bytes are ignored) into one code table."""
     tables = []
     for kind, path in paths.items():
-        # Bytes that are no UTF-8 decode to U+FFFD, which no code or label contains.
         rows = spark.read.schema("code STRING, label STRING").option("encoding", "UTF-8").csv(path)
         clean = rows.select(
             F.lit(kind).alias("kind"),
-            F.regexp_replace("code", "�", "").alias("code"),
-            F.regexp_replace("label", "�", "").alias("label"),
+            F.translate("code", REPLACEMENT, "").alias("code"),
+            F.translate("label", REPLACEMENT, "").alias("label"),
         )
         tables.append(clean)
     merged = tables[0]

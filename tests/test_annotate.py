@@ -37,9 +37,9 @@ def results(spark, texts, *annotators):
 def test_tag_values_are_filled_in(spark):
     filling = A.Annotator("fill", function=lambda d: tags((0, 4), (8, 11)), post_process=True)
     plain = A.Annotator("plain", function=lambda d: tags((0, 4), (8, 11)))
-    got = results(spark, ["akka is fun", "", None], filling, plain)
+    got = results(spark, ["code is fun", "", None], filling, plain)
     assert set(got) == {("d0", "fill"), ("d0", "plain")}
-    assert [t.value for t in got["d0", "fill"].annotation.tags] == ["akka", "fun"]
+    assert [t.value for t in got["d0", "fill"].annotation.tags] == ["code", "fun"]
     assert [t.value for t in got["d0", "plain"].annotation.tags] == [None, None]
     assert got["d0", "fill"].annotation.label == "fill"
 
