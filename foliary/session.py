@@ -6,7 +6,9 @@ checkpoint; whoever owns the folder clears it when the job is done.
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +50,26 @@ def land(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/landed-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors, once per application.
+
+    Functions that run in Python workers are pickled by reference, so the workers must be able to
+    import the package; on a cluster it need not be installed there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="foliary-package-"), "foliary-package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in sorted(os.walk(home)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                file = os.path.join(folder, name)
+                archive.write(file, os.path.relpath(file, os.path.dirname(home)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
