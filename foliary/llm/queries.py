@@ -92,6 +92,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_termprint, op9_pieces, op10_chat, pipeline)
 }
 
-#: Only what SQL can tell without the operators' own arithmetic is compared here; tests hold the rest
-#: against brute force, round trips, the tokenizers' libraries and held-out labels.
-ORACLES: dict[str, str] = {}
+#: What SQL can tell without the operators' own arithmetic; tests hold the rest against brute force, round
+#: trips, the tokenizers' libraries and held-out labels.
+ORACLES: dict[str, str] = {
+    "op10_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(length(role) + 15 + length(replace(replace(text, '\', '\b'), '<', '\l'))) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id
+    """,
+    # the given pages have no redirects or canonical links; tests hold aliases against brute force
+    "op7_redirects": r"""
+        WITH u AS (
+            SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+        p AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        r(verdict, rhost, rpath, rule) AS (VALUES ('allow', 'org', '/', 'org/'), ('block', 'example.org', '/es/', 'example.org/es/'),
+            ('block', 'example.org', '/en/1', 'example.org/en/1'), ('allow', 'com', '/fr/', 'com/fr/'), ('block', 'com', '/de/', 'com/de/')),
+        best AS (
+            SELECT page_id, p.host, p.path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+            FROM p LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY ALL)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
+    """,
+}
