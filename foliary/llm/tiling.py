@@ -176,12 +176,16 @@ def _row_seeds(words: list[bytes], size: int) -> list[int]:
 
 
 def _filter(spark: SparkSession, seeds: DataFrame) -> tuple[int, np.ndarray]:
-    """A bitmap of the seeds' top bits, at most 16 MB whatever the number of seeds."""
+    """A bitmap with two places per seed, at most 16 MB whatever the number of seeds.
+
+    It only spares the join below: 2^16 bits a seed, where they fit, let a few windows in a thousand million pass.
+    """
     count = seeds.count()
-    bits = min(max(int(count * 64).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
-    place = F.shiftrightunsigned("seed", 64 - bits)
-    words = seeds.groupBy(F.shiftright(place, 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))).alias("bits")).collect()
+    bits = min(max(int(count << 16).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+    places = [F.shiftrightunsigned("seed", 64 - bits), F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))]
+    spread = seeds.select(F.explode(F.array(*places)).alias("place"))
+    words = spread.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))).alias("bits")).collect()
     bitmap = np.zeros(1 << (bits - 6), np.uint64)
     for r in words:
         bitmap[r["word"]] = np.uint64(r["bits"] & ((1 << 64) - 1))
@@ -204,9 +208,10 @@ def _hit_documents(docs: DataFrame, seeds: DataFrame, id_column: str, text: str)
             hashes = window_hashes(values, size) + np.uint64(size)
             if not len(hashes):
                 continue
-            place = hashes >> np.uint64(64 - bits)
-            inside = shipped.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) != 0
-            at = np.flatnonzero(inside & (owner[:len(hashes)] == owner[size - 1:]))
+            at = np.flatnonzero(owner[:len(hashes)] == owner[size - 1:])
+            for place in (hashes >> np.uint64(64 - bits), hashes & np.uint64((1 << bits) - 1)):
+                place = place[at]
+                at = at[shipped.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1) != 0]
             for i, seed in zip(owner[at].tolist(), hashes[at].view(np.int64).tolist(), strict=True):
                 found.setdefault(i, set()).add(seed)
 
