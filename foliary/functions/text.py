@@ -58,11 +58,10 @@ STOP_WORDS = {
             "which", "you", "were", "had", "their", "been", "will", "would", "there"],
     "spa": ["el", "los", "las", "del", "y", "en", "que", "se", "por", "con", "para", "una", "su",
             "al", "lo", "como", "más", "pero", "sus", "le", "ya", "este", "sí", "porque", "esta",
-            "muy", "sin", "sobre", "también", "nuestro", "mostrar", "gracias", "buen", "claro",
-            "un", "la", "es", "quienes", "ir"],
+            "muy", "sin", "sobre", "también", "un", "la", "es", "hay", "cuando", "donde", "desde", "entre"],
     "por": ["o", "os", "as", "da", "do", "das", "dos", "e", "em", "no", "na", "nos", "nas", "que",
             "não", "uma", "um", "com", "para", "por", "mais", "ao", "aos", "pelo", "pela", "é",
-            "este", "obrigado", "são", "muito", "você", "também", "isso", "foi", "ser"],
+            "este", "são", "muito", "você", "também", "isso", "foi", "ser"],
     "fra": ["le", "la", "les", "des", "du", "de", "et", "est", "un", "une", "dans", "que", "qui",
             "en", "pour", "par", "sur", "au", "aux", "ce", "cette", "il", "elle", "ne", "pas",
             "plus", "avec", "son", "sont", "nous", "vous", "mais", "ou"],

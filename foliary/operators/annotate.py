@@ -39,7 +39,7 @@ def annotator_defs(given: DataFrame, host: str | None, retry_count: int, retry_p
     A definition without a host gets the shared one; without that either it is an error. The
     result is a set.
     """
-    missing = F.raise_error(F.concat(F.lit("no host was specified for annotator: "), "label"))
+    missing = F.raise_error(F.concat(F.lit("an annotator needs a host of its own or a shared one: "), "label"))
     own = F.coalesce("host", F.lit(host).cast("string"))
     return given.select(
         "label", F.when(own.isNotNull(), own).otherwise(missing).alias("host"), "port", "post_process", "path",

@@ -36,10 +36,10 @@ MERGE = "merge"
 
 @dataclass(frozen=True)
 class NearDupSettings:
-    """``max_words=None`` compares whole texts; the threshold is a whole percentage."""
+    """Whole texts are compared; ``max_words`` looks at the first words only. The threshold is a whole percentage."""
 
     window: int = 10
-    max_words: int | None = 200
+    max_words: int | None = None
     threshold: int = 90
     width: int = 16
 
@@ -58,7 +58,7 @@ class NearDupSettings:
             raise NotImplementedError("locality-sensitive hashing is not supported")
         if algorithm != "shingleprint":
             raise ValueError(f"{algorithm} is not a supported duplicate detection algorithm")
-        words = options.get("max_words", 200)
+        words = options.get("max_words")
         return cls(
             window=int(options.get("window", 10)),
             max_words=None if words is None else int(words),

@@ -48,7 +48,7 @@ class BatchResult:
 def run_batch(
     events: DataFrame,
     store: CorpusStore,
-    batch: int,
+    batch: int | str,
     processed_at: Column,
     settings: BatchSettings | None = None,
     labels=None,
@@ -56,10 +56,13 @@ def run_batch(
 ) -> BatchResult:
     """Decide, process and write one batch of ``(seq, doc_id, value)`` events.
 
+    ``batch`` is the batch's own name; the store gives each name a number, in the order of arrival.
+
     Every table gets one folder for the batch, so a batch that is run again after a failure leaves
     the same tables behind.
     """
     settings = settings or BatchSettings()
+    batch = store.number(f"batch {batch}")
     accepted, rejected = read_events(events, processed_at, labels, settings.ingest.detector)
     corpus = store.stored(batch)
     # Repeated memberships are harmless here: all uses collect sets of the documents at hand.

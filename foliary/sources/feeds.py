@@ -23,23 +23,26 @@ def layered(defaults: dict, *overlays: dict | None) -> dict:
 
 
 def kafka_options(
-    servers: str, topic: str = INGEST_TOPIC, poll_size: int = 500,
+    servers: str, topic: str = INGEST_TOPIC, poll_size: int | None = None,
     shared: dict | None = None, specific: dict | None = None,
 ) -> dict:
-    """Reader options: topic defaults, then settings shared by all topics, then this reader's own."""
+    """Reader options: topic defaults, then settings shared by all topics, then this reader's own.
+
+    A micro-batch takes all that has arrived unless ``poll_size`` bounds it.
+    """
     return layered(
         {
             "kafka.bootstrap.servers": servers,
             "subscribe": topic,
-            "maxOffsetsPerTrigger": str(poll_size),
+            "maxOffsetsPerTrigger": None if poll_size is None else str(poll_size),
             "startingOffsets": "earliest",
         },
         shared, specific,
     )
 
 
-# A Kafka record's place in arrival order: partitions are interleaved by offset. 2^12 partitions.
-_PARTITION_BITS = 12
+# A Kafka record's place in arrival order: partitions are interleaved by offset. 2^20 partitions.
+_PARTITION_BITS = 20
 
 
 def stream_kafka(spark: SparkSession, options: dict) -> DataFrame:

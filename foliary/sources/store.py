@@ -23,6 +23,7 @@ TABLES = {
     "pipeline_status": STATUS,
     "dead_letters": DEAD_LETTER,
     "notices": "topic STRING, key STRING, value STRING",
+    "origins": "origin STRING",
     "rejected": "seq BIGINT, doc_id STRING, value STRING",
     "decisions": (
         "seq BIGINT, doc_id STRING, target_id STRING, outcome STRING, duplicate_of STRING, "
@@ -46,6 +47,23 @@ class CorpusStore:
         columns = [f.name for f in self._empty(table).schema.fields]
         rows.select(*columns).write.mode("overwrite").parquet(f"{self._folder(table)}/batch={batch}")
 
+    def number(self, origin: str) -> int:
+        """The batch number of an origin, such as a stream's checkpoint and micro-batch id.
+
+        An origin seen before gets its number again, so its rows replace those of its first attempt; a
+        new one gets the next free number, so it can never overwrite rows of another. One writer at a time.
+        """
+        known = self.read("origins")
+        seen = known.where(F.col("origin") == origin).agg(F.min("batch")).first()[0]
+        if seen is not None:
+            return seen
+        last = known.agg(F.max("batch")).first()[0]
+        if last is None:  # a store written without origins
+            found = [self.read(t).agg(F.max("batch")).first()[0] for t in TABLES if t != "origins"]
+            last = max((n for n in found if n is not None), default=-1)
+        self.append("origins", self.spark.createDataFrame([(origin,)], TABLES["origins"]), last + 1)
+        return last + 1
+
     def _empty(self, table: str) -> DataFrame:
         return self.spark.createDataFrame([], TABLES[table])
 
@@ -80,9 +98,10 @@ class CorpusStore:
     def shingle_index(self, before: int | None = None) -> DataFrame:
         return self.read("shingle_index", before).drop("batch")
 
-    def compact(self, target_root: str, batch: int = 0) -> CorpusStore:
+    def compact(self, target_root: str) -> CorpusStore:
         """Write the current state of corpus, tenants and index as one batch of a new store."""
         fresh = CorpusStore(self.spark, target_root)
+        batch = fresh.number(f"compacted from {self.root}")
         fresh.append("corpus", self.corpus(), batch)
         fresh.append("tenant_docs", self.tenant_docs(), batch)
         fresh.append("shingle_index", self.shingle_index(), batch)

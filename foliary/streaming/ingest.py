@@ -26,11 +26,12 @@ def ingest_stream(
 ) -> DataStreamWriter:
     """Writer that ingests a stream of ``(seq, doc_id, value)`` events into the store.
 
-    The micro-batch id names the batch in every table; a micro-batch that is repeated after a
-    failure sees the tables as of its own start and replaces what its first attempt wrote.
+    The checkpoint and the micro-batch id name the batch; a micro-batch that is repeated after a
+    failure sees the tables as of its own start and replaces what its first attempt wrote, and a stream
+    that starts on a filled store goes on after what is there.
     """
     def one(batch_events: DataFrame, batch_id: int) -> None:
-        run_batch(batch_events, store, batch_id, processed_at(), settings, labels, ontologies)
+        run_batch(batch_events, store, f"{batch_id} of {checkpoint}", processed_at(), settings, labels, ontologies)
 
     return events.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
 
@@ -46,7 +47,8 @@ def dedup_stream(
     settings = settings or NearDupSettings()
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        index = store.shingle_index(batch_id) if batch_id > 0 else None
+        number = store.number(f"{batch_id} of {checkpoint}")
+        index = store.shingle_index(number) if number > 0 else None
         checked = check_duplicates(batch, index, settings)
         found = batch.select("seq", "doc_id").join(checked.hits.where("hit_id is not null"), "seq")
         none = F.lit(None).cast("string")
@@ -54,7 +56,7 @@ def dedup_stream(
             "seq", "doc_id", F.col("doc_id").alias("target_id"), F.lit("DUPLICATE").alias("outcome"),
             F.col("hit_id").alias("duplicate_of"), none.alias("target_change"), none.alias("operation"),
             none.alias("message"), F.lit(False).alias("run_annotators"),
-        ), batch_id)
-        store.append("shingle_index", checked.index_rows, batch_id)
+        ), number)
+        store.append("shingle_index", checked.index_rows, number)
 
     return texts.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)

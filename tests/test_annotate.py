@@ -117,7 +117,7 @@ def test_definitions(spark):
     given = A.definitions_frame(spark, [("a", None, 80, True, "p"), ("b", "own", 81, False, "p"), ("b", "own", 81, False, "p")])
     rows = {r.label: r for r in A.annotator_defs(given, "shared", 6, 1000).collect()}
     assert (rows["a"].host, rows["b"].host, len(rows), rows["a"].retry_count) == ("shared", "own", 2, 6)
-    with pytest.raises(PySparkException, match="no host was specified for annotator: a"):
+    with pytest.raises(PySparkException, match="an annotator needs a host of its own or a shared one: a"):
         A.annotator_defs(given, None, 6, 1000).collect()
     defs = A.annotator_defs(given, "shared", 6, 1000)
     assert A.enabled_annotators(defs, None).count() == 2

@@ -144,7 +144,7 @@ def test_repeated_ids_with_changing_texts(spark, seed):
 
 def test_settings_from_options():
     assert NearDupSettings.from_options({"mode": "noop"}) is None
-    assert NearDupSettings.from_options({"max_words": "200", "window": 10}) == NearDupSettings()
+    assert NearDupSettings.from_options({"max_words": "200", "window": 10}) == NearDupSettings(max_words=200)
     with pytest.raises(NotImplementedError):
         NearDupSettings.from_options({"mode": "rest"})
     with pytest.raises(NotImplementedError):

@@ -105,3 +105,18 @@ def test_empty_store(spark, tmp_path):
     result = run_batch(feed(spark, EVENTS[:1]), store, 0, at(), BatchSettings(ingest=IngestSettings(dedup=None)))
     assert json.loads(store.read("notices").first().value)["document"]["document_id"] == "a"
     assert result.rejected.count() == 0
+
+
+def test_stream_on_a_filled_store_keeps_its_rows(spark, tmp_path):
+    filled = CorpusStore(spark, str(tmp_path / "filled"))
+    settings = BatchSettings()
+    run_batch(feed(spark, EVENTS[:1]), filled, "first", at(), settings)
+    compacted = filled.compact(str(tmp_path / "compact"))
+    folder = tmp_path / "more"
+    feed(spark, [event("copy", TEXT)]).withColumn("seq", F.lit(100).cast("long")).coalesce(1).write.parquet(str(folder))
+    source = stream_files(spark, str(folder))
+    ingest_stream(source, compacted, str(tmp_path / "ckpt2"), settings, processed_at=at).trigger(availableNow=True).start().awaitTermination()
+    assert [r.document_id for r in compacted.corpus().collect()] == ["a"]
+    found = compacted.read("decisions").where("doc_id = 'copy'").first()
+    assert (found.outcome, found.duplicate_of) == ("DUPLICATE", "a")
+    assert compacted.number("a new origin") == 2 and compacted.number("a new origin") == 2

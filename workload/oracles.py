@@ -157,7 +157,7 @@ ONTOLOGIES = """ont AS (SELECT 'src' || user_id AS tenant, max_by(event_type ||
 STORED_TENANTS = """st AS (SELECT DISTINCT id, unnest([source, 'archive']) AS tenant FROM stored)"""
 
 
-def _similar(source: str, key: str = "doc_id", max_words: int | None = 200) -> str:
+def _similar(source: str, key: str = "doc_id", max_words: int | None = None) -> str:
     return "WITH " + S.shingles(source, key, max_words) + f" SELECT x AS {key}, min(y) AS first_duplicate FROM sim WHERE y < x GROUP BY x"
 
 

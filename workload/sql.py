@@ -42,7 +42,7 @@ def language(text: str) -> str:
           FROM (SELECT {text} AS t, lower({text}) AS low))))"""
 
 
-def shingles(source: str, key: str = "doc_id", max_words: int | None = 200, window: int = 10) -> str:
+def shingles(source: str, key: str = "doc_id", max_words: int | None = None, window: int = 10) -> str:
     """CTEs sh(key, g) of distinct shingles and sz(key, n) of ``source(key, text)``."""
     words = "list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')"
     if max_words is not None:
