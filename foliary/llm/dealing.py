@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from foliary.llm.frames import without, write_and_read
 from foliary.session import ship_package
 
-BLOCK_ROWS = 32_768
+BLOCK_ROWS = 8_192
 NUMPY_LIMIT = 10 ** 9
 
 
