@@ -238,11 +238,8 @@ class Encoder:
         if not self.apart:
             return [self.whole(t) for t in texts]
         out = []
-        split = self.cache.split(texts)
-        heads, tails = self.cache.heads, self.cache.tails
-        for text, words in zip(texts, split, strict=True):
-            values = [heads[words[0]], *map(tails.__getitem__, words[1:])]
-            if None in values:
+        for text, values in zip(texts, self.cache.lists(texts), strict=True):
+            if values is None:
                 out.append(self.whole(text) if text else (b"", b"", b""))
                 continue
             out.append((b"".join([v[0] for v in values]), b"".join([v[1] for v in values]), b" ".join([v[2] for v in values])))

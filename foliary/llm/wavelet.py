@@ -166,12 +166,28 @@ def byte_pair_cache(model: bytes) -> tuple:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    # a token of a byte-level vocabulary has a letter per byte; added tokens stand for themselves
+    size = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+    for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
+        size[i] = len(token)
+    for i, token in tokenizer.get_added_tokens_decoder().items():
+        size[i] = len(token.content.encode())
+
+    def tails(words: list[str]) -> list[bytes]:
+        """All words at once as one text, cut at the words' last bytes."""
+        ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        reached = np.cumsum(size[ids])
+        cut = np.searchsorted(reached, ends)
+        if not np.array_equal(reached[np.minimum(cut, len(ids) - 1)], ends):  # tokens of another kind
+            return encode([" " + w for w in words])
+        raw, stops = ids.tobytes(), ((cut + 1) * 4).tolist()
+        return [raw[x:y] for x, y in zip([0, *stops[:-1]], stops, strict=True)]
+
     def whole(text: str) -> bytes:
         return b"".join(encode(GAP.split(text)))
 
-    cache = WordCache(encode, lambda words: encode([" " + w for w in words]),
-                      lambda word: not word or word[-1].isspace())
-    return cache, whole
+    return WordCache(encode, tails, lambda word: not word or word[-1].isspace()), whole
 
 
 def write_shards(

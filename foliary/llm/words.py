@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import compress
+from operator import not_
 
 GAP = re.compile(r"(?<=\S)(?= )")
 CACHED_WORDS = 600_000
@@ -26,34 +28,39 @@ class WordCache:
         self.heads: dict = {}
         self.tails: dict = {}
 
-    def split(self, texts: list[str]) -> list[list[str]]:
-        """The words of each text, all of them known to ``heads`` (first words) and ``tails`` from now on."""
+    def lists(self, texts: list[str]) -> list[list | None]:
+        """Each text's values, its first word's in front; None for texts with unsafe words."""
         if len(self.tails) + len(self.heads) > self.most:
             self.heads, self.tails = {}, {}
         split = [t.split(" ") for t in texts]
-        first = {words[0] for words in split} - self.heads.keys()
-        rest: set = set()
-        for words in split:
-            rest.update(words[1:])
-        rest -= self.tails.keys()
-        self._fill(self.heads, list(first), self.encode_heads)
-        self._fill(self.tails, list(rest), self.encode_tails)
-        return split
+        firsts = [words.pop(0) for words in split]
+        self._fill(self.heads, {w for w in firsts if w not in self.heads}, self.encode_heads)
+        known = self.tails.get
+        found = [list(map(known, words)) for words in split]
+        new: set = set()
+        gaps = []
+        for words, values in zip(split, found, strict=True):
+            if None in values:
+                at = list(compress(range(len(values)), map(not_, values)))
+                gaps.append((words, values, at))
+                new.update(map(words.__getitem__, at))
+        new -= self.tails.keys()  # words known to be unsafe
+        self._fill(self.tails, new, self.encode_tails)
+        for words, values, at in gaps:
+            for i in at:
+                values[i] = self.tails[words[i]]
+        out: list[list | None] = []
+        for first, values in zip(firsts, found, strict=True):
+            values.insert(0, self.heads[first])
+            out.append(None if False in values else values)
+        return out
 
     def values(self, texts: list[str], whole: Callable) -> list[bytes]:
         """The joined values of each text; ``whole(text)`` for texts with unsafe words."""
-        out = []
-        split = self.split(texts)
-        heads, tails = self.heads, self.tails
-        for text, words in zip(texts, split, strict=True):
-            try:
-                out.append(heads[words[0]] + b"".join(map(tails.__getitem__, words[1:])))
-            except TypeError:  # an unsafe word's value is None
-                out.append(whole(text))
-        return out
+        return [whole(t) if found is None else b"".join(found) for t, found in zip(texts, self.lists(texts), strict=True)]
 
-    def _fill(self, into: dict, words: list[str], encode: Callable) -> None:
+    def _fill(self, into: dict, words: set[str], encode: Callable) -> None:
+        into.update(dict.fromkeys(words, False))  # what stays False is unsafe
         safe = [w for w in words if not self.unsafe(w)]
-        into.update(dict.fromkeys(words))
         if safe:
             into.update(zip(safe, encode(safe), strict=True))
