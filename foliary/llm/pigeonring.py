@@ -80,17 +80,10 @@ def _part(value: Column, offset: int, width: int) -> Column:
     return F.shiftrightunsigned(value, offset).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
 
 
-def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints at distance ``radius`` or less.
-
-    ``prints`` has one column of distinct signed longs. A pair may come more than once, from
-    different starts of the ring. Nothing is capped: a crowded key is a skewed merge join, which
-    adaptive execution splits.
-    """
+def _keys(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """``(a, i, k)`` under which fingerprints are stored, and ``(b, i, k)`` under which they ask."""
     ring = segments(radius)
     m, value = len(ring), F.col(prints.columns[0])
-    if m == 1:
-        return prints.select(value.alias("a"), value.alias("b")).where("a < b")
     stored, asked = [], []
     for i, (offset, width) in enumerate(ring):
         after, next_width = ring[(i + 1) % m]
@@ -100,27 +93,88 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
         asked.extend(F.struct(F.lit(i).alias("i"), base.bitwiseXOR(F.lit(x).cast("long")).alias("k")) for x in flips)
     # a few bytes a row become dozens of keys: spread the rows first, in as many parts as a shuffle has
     prints = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), value)
-    index = prints.select(value.alias("a"), F.inline(F.array(*stored))).hint("merge")
-    probes = prints.select(value.alias("b"), F.inline(F.array(*asked)))
-    apart = F.col("a").bitwiseXOR(F.col("b"))
-    near = (F.col("a") < F.col("b")) & (F.bit_count(apart) <= radius)
-    chains = F.lit(True)
-    for i in range(m):  # chains of three and more from start i
+    return (
+        prints.select(value.alias("a"), F.inline(F.array(*stored))),
+        prints.select(value.alias("b"), F.inline(F.array(*asked))),
+    )
+
+
+def _near(a: Column, b: Column, start: Column, radius: int) -> Column:
+    """The chains of three and more from segment ``start`` hold their budgets, and so does the whole ring."""
+    ring, apart = segments(radius), a.bitwiseXOR(b)
+    m, chains = len(ring), F.lit(True)
+    for i in range(m):
         chain, so_far = F.lit(True), F.bit_count(_part(apart, *ring[i]))
         for length in range(2, m):
             so_far = so_far + F.bit_count(_part(apart, *ring[(i + length - 1) % m]))
             if length > 2:
                 chain = chain & (so_far <= length * radius // m)
-        chains = chains & ((index["i"] != i) | chain)
-    met = (index["i"] == probes["i"]) & (index["k"] == probes["k"]) & chains & near
-    return index.join(probes, met).select("a", "b")
+        chains = chains & ((start != i) | chain)
+    return chains & (F.bit_count(apart) <= radius)
+
+
+def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct fingerprints at distance ``radius`` or less.
+
+    ``prints`` has one column of distinct signed longs. A pair may come more than once, from
+    different starts of the ring. All pairs are asked for, so a crowded key gives many; where only the
+    groups matter, ``groups`` does with fewer.
+    """
+    value = F.col(prints.columns[0])
+    if radius == 0:
+        return prints.select(value.alias("a"), value.alias("b")).where("a < b")
+    index, probes = _keys(prints, radius)
+    index = index.hint("merge")
+    met = (index["i"] == probes["i"]) & (index["k"] == probes["k"]) & (F.col("a") < F.col("b"))
+    return index.join(probes, met & _near(F.col("a"), F.col("b"), probes["i"], radius)).select("a", "b")
 
 
 def groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(simhash, group)`` for fingerprints that have links; ``group`` is the least of the component."""
+    """``(simhash, group)`` for fingerprints that have links; ``group`` is the least of the component.
+
+    Groups need links that connect them, not all pairs. Everyone who asks for a key first meets its least and
+    its greatest fingerprint only; a key that stores no other is settled. What these links leave apart decides about the
+    others: under each key the commonest group so far stands aside, and only fingerprints of different
+    groups meet. A crowd of near copies is one group by then and costs time linear in its size, and
+    no link between two groups is lost.
+    """
     name = prints.columns[0]
-    found = links(prints.distinct(), radius).distinct()
-    return components(found).select(F.col("node").alias(name), F.col("root").alias("group"))
+    if radius == 0:
+        return prints.select(F.col(name), F.col(name).alias("group")).where(F.lit(False))
+    index, probes = _keys(prints.distinct(), radius)
+    index = cut(index)
+    heads = index.groupBy("i", "k").agg(F.min("a").alias("head"), F.max("a").alias("tail"))
+    asking = write_and_read(
+        probes.join(heads.hint("merge"), ["i", "k"]).where("head < tail or head != b"), "asking")
+    first = asking.select("i", "b", F.explode(F.array("head", "tail")).alias("a"))
+    near = _near(F.col("a"), F.col("b"), F.col("i"), radius) & (F.col("a") != F.col("b"))
+    found = cut(first.where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    root = cut(components(found)).hint("merge")
+
+    def rooted(rows: DataFrame, column: str) -> DataFrame:
+        return rows.join(root.withColumnRenamed("node", column), column, "left").withColumn(
+            "root", F.coalesce("root", column))
+
+    crowded = heads.where("head < tail").select("i", "k")
+    held = cut(rooted(index.join(crowded.hint("merge"), ["i", "k"]), "a").withColumnRenamed("root", "a_root"))
+    sizes = held.groupBy("i", "k", "a_root").agg(F.count("*").alias("n"))
+    common = sizes.groupBy("i", "k").agg(
+        F.max_by("a_root", F.struct("n", "a_root")).alias("common"), F.count("*").alias("groups"))
+    common = cut(common).hint("merge")
+    held = held.join(common, ["i", "k"])
+    others = rooted(asking.where("head < tail").select("b", "i", "k"), "b").withColumnRenamed("root", "b_root")
+    # under a key of one group, its own members have nothing left to ask
+    others = cut(others.join(common, ["i", "k"]).where("groups > 1 or b_root != common").drop("groups"))
+    in_common, outside = F.col("a_root") == F.col("common"), F.col("b_root") != F.col("common")
+
+    def meet(stored: DataFrame, ask: DataFrame) -> DataFrame:
+        pairs = stored.select("i", "k", "a", "a_root").hint("merge").join(ask.select("i", "k", "b", "b_root"), ["i", "k"])
+        pairs = pairs.where((F.col("a_root") != F.col("b_root")) & _near(F.col("a"), F.col("b"), F.col("i"), radius))
+        return pairs.select(F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b"))
+
+    bridges = meet(held.where(in_common), others.where(outside)).unionAll(meet(held.where(~in_common), others))
+    whole = components(found.unionAll(bridges.distinct()))
+    return whole.select(F.col("node").alias(name), F.col("root").alias("group"))
 
 
 def near_duplicates(

@@ -185,6 +185,29 @@ def test_links_are_all_pairs_within_the_radius(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("radius", [0, 1, 4])
+def test_groups_of_a_crowd(spark, radius):
+    """Every link between groups counts, although a crowd does not meet all of its own."""
+    rng = random.Random(radius)
+    def around(centre, n, flips):
+        return [centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(flips + 1))) for _ in range(n)]
+    crowd = rng.getrandbits(64)
+    values = {crowd, *around(crowd, 300, 3), *around(crowd, 150, 8), *around(crowd, 50, 12), 0, 1, 1 << 63}
+    for _ in range(40):
+        values.update(around(rng.getrandbits(64), 6, 7))
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    want = {v: v for v in values}
+    while True:
+        after = {a: min(want[b] for b in values if ((a ^ b) & (2 ** 64 - 1)).bit_count() <= radius) for a in values}
+        if after == want:
+            break
+        want = after
+    got = dict(map(tuple, pigeonring.groups(spark.createDataFrame([(v,) for v in values], "p long"), radius).collect()))
+    assert got == {v: g for v, g in want.items() if v in got}
+    assert set(got) == {v for v in values if sum(w == want[v] for w in want.values()) > 1}
+    assert pigeonring.groups(spark.createDataFrame([], "p long"), radius).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)]
