@@ -18,8 +18,8 @@ from foliary.functions.documents import (
     has_content,
     relabel,
     tags_fit,
-    thin_document,
 )
+from foliary.operators.outputs import update_notices
 from foliary.schemas import ANNOTATION
 
 ANNOTATE = "annotate"
@@ -204,18 +204,20 @@ def annotation_errors(results: DataFrame) -> DataFrame:
     )
 
 
-def annotation_notices(documents: DataFrame, results: DataFrame, stream_updates: bool = True) -> DataFrame:
-    """``(key, value)`` per result: the document as it was before, plus this one annotation only."""
+def annotation_notices(
+    documents: DataFrame, results: DataFrame, tenant_docs: DataFrame, ontologies: DataFrame, stream_updates: bool = True
+) -> DataFrame:
+    """``(key, value)`` per result: the document as it was before, plus this one annotation only.
+
+    The notices have the form of all others, ontologies included.
+    """
     if not stream_updates:
         results = results.where(F.lit(False))
     joined = documents.join(additions(results), "doc_id")
     grown = F.col("doc").withField(
         "annotations", F.array_append(F.col("doc.annotations"), F.col("annotation"))
     )
-    return joined.select(
-        F.col("doc_id").alias("key"),
-        F.to_json(F.struct(thin_document(grown).alias("document"))).alias("value"),
-    )
+    return update_notices(joined.select("doc_id", grown.alias("doc")), tenant_docs, ontologies)
 
 
 def definitions_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:

@@ -12,7 +12,7 @@ from foliary.session import cut
 # A left part ends in ff, fi, fl, ffi or ffl.
 WORD = r"^\p{L}+$"
 SPLIT_WORD = r"^\p{L}*(ff|fi|fl)$"
-MAYBE_SPLIT = r"(ff|fi|fl) \p{L}"
+MAYBE_SPLIT = r"(?i)(ff|fi|fl) \p{L}"
 LEADING_NONLETTERS = r"^[^\p{L}]+"
 TRAILING_AFTER_LETTERS = r"[^\p{L}].*$"
 
@@ -50,9 +50,9 @@ class Lexicon:
         given = candidates.where(F.col("word").isin(*[w.lower() for w in self.extra])) if self.extra else None
         if self.texts is None:
             return given if given is not None else candidates.where(F.lit(False))
-        heard = F.regexp_replace("text", r"\p{L}*(ff|fi|fl) (\p{L})", " $2")
+        heard = F.regexp_replace(F.lower("text"), r"\p{L}*(ff|fi|fl) (\p{L})", " $2")
         # Every candidate contains a ligature, so most words need not leave their document.
-        ligated = F.filter(F.split(F.lower(heard), r"[^\p{L}]+"), lambda w: w.rlike("ff|fi|fl"))
+        ligated = F.filter(F.split(heard, r"[^\p{L}]+"), lambda w: w.rlike("ff|fi|fl"))
         counted = (
             self.texts.select(F.explode(F.array_distinct(ligated)).alias("word"))
             .join(candidates, "word", "left_semi")

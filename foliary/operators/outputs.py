@@ -78,10 +78,11 @@ def duplicate_response_from_json(text: Column) -> Column:
 def error_rows(events: DataFrame) -> DataFrame:
     """``(seq, doc_id, operation, error_msg, stacktrace)`` of all events that carry an error.
 
-    That is failed events, and duplicates whose original is not stored.
+    That is failed events, and duplicates whose original is not stored. An error names the document's own
+    id; where none could be read from the event, that is the event's key.
     """
     return events.where("message is not null").select(
-        "seq", F.when(F.col("operation") == "ingestion", F.col("doc_id")).otherwise(F.col("target_id")).alias("doc_id"),
+        "seq", F.col("target_id").alias("doc_id"),
         "operation", F.col("message").alias("error_msg"),
         F.concat_ws(": ", "operation", "message").alias("stacktrace"),
     )
@@ -128,7 +129,7 @@ def core_status(events: DataFrame, at_ms: Column, scope: str = "corpus") -> Data
         _entry("duplicate_of", "ingestion", SUCCESS, blank), _entry("duplicate_of", "core-processing", SUCCESS, blank)
     )
     failed = F.array(_entry(
-        "doc_id", PROCESSING_ERROR, FAILURE, F.concat_ws(": ", "operation", "message")
+        "target_id", PROCESSING_ERROR, FAILURE, F.concat_ws(": ", "operation", "message")
     ))
     rows = (
         F.when(F.col("outcome").isin("NEW", "UPDATE"), done)
@@ -162,6 +163,5 @@ def cdr_json(documents: DataFrame) -> DataFrame:
 
 def search_rows(documents: DataFrame, tenant_docs: DataFrame) -> DataFrame:
     """Rows of the search view: the document's fields and its tenants."""
-    return (
-        documents.select("doc_id", "doc.*").join(tenants_by_document(tenant_docs), "doc_id", "left").drop("doc_id")
-    )
+    wanted = tenant_docs.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
+    return documents.select("doc_id", "doc.*").join(tenants_by_document(wanted), "doc_id", "left").drop("doc_id")

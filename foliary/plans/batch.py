@@ -34,6 +34,9 @@ class BatchSettings:
     annotators: Sequence[Annotator] = ()
     stream_annotation_updates: bool = True
     lexicon_words: Sequence[str] = DEFAULT_WORDS
+    #: More words to repair texts with, from ``(doc_id, text)``. The same for every batch, and never the
+    #: batch's own texts, or what is stored would depend on how a feed is cut into batches.
+    lexicon_texts: DataFrame | None = None
     lexicon_min_docs: int = 2
     scope: str = "corpus"
 
@@ -70,10 +73,7 @@ def run_batch(
     index = store.shingle_index(batch) if batch > 0 and settings.ingest.dedup is not None else None
     decisions = decide(accepted, corpus, tenants, index, settings.ingest)
 
-    texts = accepted.where("doc is not null").select(
-        F.col("target_id").alias("doc_id"), F.col("doc.extracted_text").alias("text")
-    )
-    lexicon = Lexicon(texts, settings.lexicon_min_docs, tuple(settings.lexicon_words))
+    lexicon = Lexicon(settings.lexicon_texts, settings.lexicon_min_docs, tuple(settings.lexicon_words))
     changed = cut(apply_decisions(decisions, corpus, lexicon, settings.preprocessors))
     memberships = cut(tenant_additions(decisions))
     now_ms = F.unix_millis(processed_at)
@@ -95,7 +95,7 @@ def run_batch(
         results = cut(annotate(documents.join(queue, "doc_id", "left_semi"), settings.annotators))
         changed = append_annotations(changed, additions(results))
         notices = notices.unionByName(_topic(
-            annotation_notices(documents, results, settings.stream_annotation_updates), UPDATE_TOPIC
+            annotation_notices(documents, results, all_tenants, ontologies, settings.stream_annotation_updates), UPDATE_TOPIC
         ))
         status = status.unionByName(O.annotator_status(results, now_ms, settings.scope))
         letters = letters.unionByName(
@@ -112,6 +112,8 @@ def run_batch(
     store.append("tenant_docs", memberships, batch)
     if decisions.index_rows is not None:
         store.append("shingle_index", decisions.index_rows, batch)
+    view = changed.select(F.col("document_id").alias("doc_id"), F.struct(*changed.columns).alias("doc"))
+    store.append("search_view", O.search_rows(view, all_tenants), batch)
     store.append("corpus", changed, batch)
     return BatchResult(decisions, changed, rejected)
 

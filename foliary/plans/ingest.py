@@ -55,7 +55,6 @@ class IngestSettings:
 
     detector: str = "always_english"
     dedup: NearDupSettings | None = field(default_factory=NearDupSettings)
-    max_passes: int = 100
 
 
 @dataclass(frozen=True)
@@ -74,7 +73,7 @@ def check_without_dedup(candidates: DataFrame) -> Checked:
 
 
 def check_duplicates(
-    candidates: DataFrame, index: DataFrame | None, settings: NearDupSettings, max_passes: int = 100
+    candidates: DataFrame, index: DataFrame | None, settings: NearDupSettings
 ) -> Checked:
     """Decide which of ``candidates`` (seq ≥ 0, doc_id, text; none stored yet) are new.
 
@@ -100,7 +99,7 @@ def check_duplicates(
     opening = nodes.groupBy("doc_id").agg(F.min("seq").alias("_first"))
     checked = nodes.join(opening, "doc_id").withColumn("checked", F.col("seq") == F.col("_first")).drop("_first")
     several_texts = not nodes.groupBy("doc_id").count().where("count > 1").isEmpty()
-    for _ in range(max_passes):
+    while True:
         findable = checked.where("checked").select("doc_id", "cls", "seq")
         entries = findable if index is None else findable.unionByName(indexed)
         answers = cut(earliest_hits(tokens, entries, nodes, settings))
@@ -116,8 +115,6 @@ def check_duplicates(
         checked = now.drop("before")
         if settled:
             break
-    else:
-        raise RuntimeError(f"duplicate decisions did not settle in {max_passes} passes")
 
     hits = members.where(in_batch).join(
         answers.select("doc_id", "cls", "hit_id"), ["doc_id", "cls"]
@@ -155,7 +152,7 @@ def decide(
     stored_ids = cut(
         stored_documents(corpus, accepted.select("target_id")).select(F.col("document_id").alias("target_id"))
     )
-    slim = accepted.select("seq", "doc_id", "target_id", "overrides", "error", F.col("raw"))
+    slim = accepted.select("seq", "doc_id", "target_id", "overrides", "error")
     events = slim.join(stored_ids.withColumn("_stored", F.lit(True)), "target_id", "left").withColumn(
         "_stored", F.coalesce("_stored", F.lit(False))
     )
@@ -167,7 +164,7 @@ def decide(
     if settings.dedup is None:
         check = check_without_dedup(candidates)
     else:
-        check = check_duplicates(candidates, index, settings.dedup, settings.max_passes)
+        check = check_duplicates(candidates, index, settings.dedup)
     first_new = cut(check.first_new.select(F.col("doc_id").alias("target_id"), "new_seq"))
 
     hits = check.hits.withColumn("_has_text", F.lit(True))
@@ -227,7 +224,7 @@ def decide(
             .when(F.col("outcome") == "ERROR", NO_TEXT)
             .when(duplicate & F.col("_applies_to").isNull(), ORIGINAL_NOT_STORED).alias("message"),
             ((F.col("outcome") == "NEW") | ((F.col("outcome") == "EXISTING") & F.col("overrides.run_annotators"))).alias("run_annotators"),
-            "overrides", "raw",
+            "overrides",
         )
     )
     return Decisions(cut(decided), changes, new_documents, check.index_rows)

@@ -18,6 +18,7 @@ from foliary.schemas import CORPUS, DEAD_LETTER, STATUS, TENANT_DOCS
 
 TABLES = {
     "corpus": CORPUS,
+    "search_view": f"{CORPUS}, tenants ARRAY<STRING>",
     "tenant_docs": TENANT_DOCS,
     "shingle_index": "seq BIGINT, doc_id STRING, n INT, k1 BIGINT, k2 BIGINT, shingles ARRAY<BIGINT>",
     "pipeline_status": STATUS,
@@ -82,7 +83,14 @@ class CorpusStore:
 
         The ids are matched before versions are ranked, so only the asked documents are shuffled.
         """
-        rows = self.read("corpus", before)
+        return self._newest("corpus", before, ids)
+
+    def search_view(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+        """The documents with all their annotations and tenants, as of the newest batch that touched them."""
+        return self._newest("search_view", before, ids)
+
+    def _newest(self, table: str, before: int | None, ids: DataFrame | None) -> DataFrame:
+        rows = self.read(table, before)
         if ids is not None:
             rows = rows.join(ids, "document_id", "left_semi")
         newest = W.partitionBy("document_id").orderBy(F.col("batch").desc())
@@ -103,6 +111,7 @@ class CorpusStore:
         fresh = CorpusStore(self.spark, target_root)
         batch = fresh.number(f"compacted from {self.root}")
         fresh.append("corpus", self.corpus(), batch)
+        fresh.append("search_view", self.search_view(), batch)
         fresh.append("tenant_docs", self.tenant_docs(), batch)
         fresh.append("shingle_index", self.shingle_index(), batch)
         return fresh

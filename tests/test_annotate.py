@@ -107,10 +107,14 @@ def test_results_are_appended_and_announced(spark):
     assert [a.label for a in again.first().annotations] == ["x", "y", "x"]
     replaced = append_annotations(corpus, A.additions(run).where("seq = 0"), replace=True)
     assert [a.label for a in replaced.first().annotations] == ["y", "x"]
-    notices = [json.loads(r.value) for r in A.annotation_notices(docs, run).collect()]
+    tenants = spark.createDataFrame([("t", "d0"), ("u", "d0")], "tenant STRING, doc_id STRING")
+    ontologies = spark.createDataFrame([("t", "old", 1), ("t", "new", 2)], "tenant STRING, id STRING, version INT")
+    notices = [json.loads(r.value) for r in A.annotation_notices(docs, run, tenants, ontologies).collect()]
+    new = [{"tenant": "t", "id": "new"}]
+    assert {(n["document"]["document_id"], str(n["ontologies"])) for n in notices} == {("d0", str(new)), ("d1", "[]")}
     # Each notice carries its own annotation only.
     assert sorted(len(n["document"]["annotations"]) for n in notices) == [1, 1, 1, 1]
-    assert A.annotation_notices(docs, run, stream_updates=False).count() == 0
+    assert A.annotation_notices(docs, run, tenants, ontologies, stream_updates=False).count() == 0
 
 
 def test_definitions(spark):

@@ -99,6 +99,24 @@ def test_batch_repeat_and_stream_agree(spark, tmp_path):
     assert streamed.corpus(ids=spark.createDataFrame([("a",)], "document_id STRING")).count() == 1
 
 
+def test_texts_and_view_do_not_depend_on_batches(spark, tmp_path):
+    """Ids other than the key, split words, and several batches or one."""
+    def doc(doc_id, words):
+        return event(doc_id, words)
+    texts = ["the zaffi rot near here and a CONFL ICT " * 2, "one zaffirot was seen by all of them today", "another zaffirot came to the old town hall"]
+    events = [doc(str(i), t) for i, t in enumerate(texts)]
+    one, many = (CorpusStore(spark, str(tmp_path / n)) for n in ("one", "many"))
+    whole = feed(spark, events)
+    run_batch(whole, one, "all", at())
+    for r in whole.collect():
+        run_batch(spark.createDataFrame([r], whole.schema), many, f"event {r.seq}", at())
+    def rows(store):
+        return sorted((r.document_id, r.extracted_text, r.labels, sorted(r.tenants or [])) for r in store.search_view().collect())
+    assert rows(one) == rows(many) and len(rows(one)) == 3
+    assert "CONFLICT" in rows(one)[0][1]
+    assert {r.document_id for r in one.search_view(ids=spark.createDataFrame([("1",)], "document_id STRING")).collect()} == {"1"}
+
+
 def test_empty_store(spark, tmp_path):
     store = CorpusStore(spark, str(tmp_path / "none"))
     assert store.corpus().count() == 0 and store.shingle_index().count() == 0

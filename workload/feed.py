@@ -1,7 +1,7 @@
 """An ingest feed made of whole tables, in Spark and as SQL.
 
 Every row of ``documents`` becomes one event. The source of a document says in which format it
-arrives; documents under 60 characters arrive as broken JSON. Labelled documents arrive a second
+arrives; some of one source's arrive as broken JSON. Events of another source have a key of their own, not their document's id. Labelled documents arrive a second
 time with other overrides. Documents labelled toxic are stored beforehand.
 """
 
@@ -21,7 +21,7 @@ RESEND = 1_000_000_000_000
 PROCESSED_MS = 1704067200000
 
 SHAPE = """
-    CASE WHEN n_chars < 60 THEN 'broken'
+    CASE WHEN source = 'src19' AND lang IN ('en', 'fr') THEN 'broken'
          WHEN source IN ('src0','src1','src2','src3','src4','src5') THEN 'news'
          WHEN source IN ('src6','src7','src8','src9','src10') THEN 'pulse'
          WHEN source IN ('src11','src12','src13','src14','src15') THEN 'canonical'
@@ -76,9 +76,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a table that comes in fewer pieces than there are cores to every core."""
+    """Give a table that may come in few pieces to every core."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores)
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +140,10 @@ def _doc_key(doc_id: Column) -> Column:
     return F.concat(F.lit("D"), doc_id.cast("string"))
 
 
+#: The key of an event; the canonical documents of one source go by another id than their key.
+KEY_SQL = "CASE WHEN source = 'src12' THEN 'K' ELSE 'D' END || CAST(doc_id AS VARCHAR(20))"
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events ``(seq, doc_id, value)``, written down once like a landed feed."""
     docs = raw_documents(spark, sf_dir)
@@ -167,12 +171,12 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit("{"), prefix, F.lit('"received":1,"document":'), body, F.lit("}"))
 
     first = docs.select(
-        F.col("doc_id").alias("seq"), _doc_key(F.col("doc_id")).alias("doc_id"),
+        F.col("doc_id").alias("seq"), F.expr(_spark_sql(KEY_SQL)).alias("doc_id"),
         F.when(F.col("shape") == "broken", F.concat(F.lit('{"document": '), F.col("text")))
         .otherwise(envelope(metadata)).alias("value"),
     )
     second = docs.where("quality is not null").select(
-        (F.col("doc_id") + RESEND).alias("seq"), _doc_key(F.col("doc_id")).alias("doc_id"),
+        (F.col("doc_id") + RESEND).alias("seq"), F.expr(_spark_sql(KEY_SQL)).alias("doc_id"),
         F.when(F.col("shape") == "broken", F.concat(F.lit('{"document": '), F.col("text")))
         .otherwise(envelope(again)).alias("value"),
     )
@@ -281,7 +285,7 @@ bodies AS (SELECT *, CASE shape
     ELSE json_object('title', lang, 'size', n_chars, 'text', text) END AS body
   FROM raw WHERE shape <> 'broken'),
 events_in AS (
-  SELECT doc_id AS seq, 'D' || doc_id AS doc_id, doc_id AS n, body, shape,
+  SELECT doc_id AS seq, {KEY_SQL} AS doc_id, doc_id AS n, body, shape,
     CASE WHEN lang = 'es' AND quality IS NULL THEN [] ELSE [source, lang] END AS tenants,
     CASE WHEN quality IS NULL THEN [] ELSE ['quality' || quality, 'toxic' || toxic] END AS labels,
     CASE WHEN lang = 'es' AND quality IS NULL THEN NULL ELSE link END AS source_uri,
@@ -289,6 +293,6 @@ events_in AS (
     coalesce(toxic = 1, false) AS run_annotators
   FROM bodies
   UNION ALL
-  SELECT doc_id + {RESEND}, 'D' || doc_id, doc_id, body, shape,
+  SELECT doc_id + {RESEND}, {KEY_SQL}, doc_id, body, shape,
     list_distinct([source, 'review']), ['quality' || quality], NULL, 'revised', toxic = 1
   FROM bodies WHERE quality IS NOT NULL)"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from foliary.operators.ligatures import DEFAULT_WORDS
 
 from workload import sql as S
-from workload.feed import PROCESSED_MS, RAW_SQL, RESEND
+from workload.feed import KEY_SQL, PROCESSED_MS, RAW_SQL, RESEND
 
 FEED = "WITH " + S.FEED_SQL
 RAW = "WITH " + RAW_SQL
@@ -27,11 +27,11 @@ def flag(condition: str) -> str:
 
 # All envelopes as sent, metadata columns null where the metadata block is missing.
 SENT = RAW + f""", sent AS (
-  SELECT doc_id AS seq, 'D' || doc_id AS doc_id, shape, lang = 'es' AND quality IS NULL AS bare,
+  SELECT doc_id AS seq, {KEY_SQL} AS doc_id, shape, lang = 'es' AND quality IS NULL AS bare,
     [source, lang] AS tenants, CASE WHEN quality IS NOT NULL THEN ['quality' || quality, 'toxic' || toxic] END AS labels,
     genre, link AS source_uri, toxic = 1 AS again FROM raw
   UNION ALL
-  SELECT doc_id + {RESEND}, 'D' || doc_id, shape, false, [source, 'review'], ['quality' || quality], 'revised', NULL, toxic = 1
+  SELECT doc_id + {RESEND}, {KEY_SQL}, shape, false, [source, 'review'], ['quality' || quality], 'revised', NULL, toxic = 1
   FROM raw WHERE quality IS NOT NULL),
 visible AS (SELECT seq, doc_id, shape, shape <> 'broken' AS parsed, shape <> 'broken' AND NOT bare AS has, tenants, labels, genre, source_uri, again FROM sent)"""
 _META = """CASE WHEN has THEN array_to_string(list_sort(tenants), '|') END AS tenants,
@@ -134,7 +134,7 @@ LIGATURES = DAMAGED + f""", toks AS (SELECT doc_id, text, string_split(text, ' '
 seams AS (SELECT doc_id, i, lower({_LEFT.format('k[i]')}) AS l, lower({_RIGHT.format('k[i + 1]')}) AS r
   FROM toks, unnest(range(1, len(k))) u(i)),
 spots AS (SELECT DISTINCT l, r FROM seams WHERE regexp_full_match(l, '\\p{{L}}*(ff|fi|fl)') AND regexp_full_match(r, '\\p{{L}}+')),
-heard AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_array(lower(regexp_replace(text, '\\p{{L}}*(ff|fi|fl) (\\p{{L}})', ' \\2', 'g')), '[^\\p{{L}}]+'))) AS w FROM damaged),
+heard AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_array(regexp_replace(lower(text), '\\p{{L}}*(ff|fi|fl) (\\p{{L}})', ' \\2', 'g'), '[^\\p{{L}}]+'))) AS w FROM damaged),
 lex AS (SELECT w FROM heard GROUP BY w HAVING count(*) >= 2 UNION SELECT unnest([{', '.join("'" + w + "'" for w in DEFAULT_WORDS)}])),
 ok AS (SELECT l, r FROM spots WHERE l || r IN (SELECT w FROM lex) AND l NOT IN (SELECT w FROM lex)),
 glue AS (SELECT s.doc_id, s.i FROM seams s JOIN ok USING (l, r))
@@ -163,7 +163,7 @@ def _similar(source: str, key: str = "doc_id", max_words: int | None = None) ->
 
 # --- annotators -----------------------------------------------------------------------------------
 
-ANNOTATE = r"""WITH docs AS (SELECT 'D' || doc_id AS doc_id, text FROM documents WHERE n_chars >= 60),
+ANNOTATE = r"""WITH docs AS (SELECT 'D' || doc_id AS doc_id, text FROM documents WHERE length(text) > 0),
 raw AS (
   SELECT doc_id, 'first-word' AS label, 0 AS position, regexp_extract(text, '^\S+') AS content, length(regexp_extract(text, '^\S+')) > 0 AS given, true AS kept FROM docs
   UNION ALL
@@ -181,8 +181,8 @@ _STATUS = f"""status AS (
   SELECT target_id AS doc_id, s AS stage, 'SUCCESS' AS status, '' AS message FROM decided, unnest(['ingestion', 'core-processing']) u(s) WHERE outcome IN ('NEW', 'UPDATE')
   UNION ALL SELECT target_id, 'ingestion', 'FAILURE', target_id || ' duplicates: ' || duplicate_of FROM decided WHERE outcome = 'DUPLICATE'
   UNION ALL SELECT duplicate_of, s, 'SUCCESS', '' FROM decided, unnest(['ingestion', 'core-processing']) u(s) WHERE outcome = 'DUPLICATE' AND target_change = 'UPDATE'
-  UNION ALL SELECT doc_id, 'Document Processing Error', 'FAILURE', operation || ': ' || message FROM decided WHERE message IS NOT NULL)"""
-_ERRORS = """errs AS (SELECT seq, CASE WHEN operation = 'ingestion' THEN doc_id ELSE target_id END AS doc_id, operation,
+  UNION ALL SELECT target_id, 'Document Processing Error', 'FAILURE', operation || ': ' || message FROM decided WHERE message IS NOT NULL)"""
+_ERRORS = """errs AS (SELECT seq, target_id AS doc_id, operation,
     message AS error_msg, operation || ': ' || message AS stacktrace FROM decided WHERE message IS NOT NULL)"""
 _OUTCOME = f"""seq, doc_id, target_id, outcome, duplicate_of, target_change, operation, message, {flag('run_annotators')} AS run_annotators"""
 
@@ -258,6 +258,8 @@ ORACLES = {
     "near_duplicates": "SELECT *, '1.00' AS score FROM (" + _similar("documents") + ")",
     "near_duplicates_whole_text": _similar("documents", max_words=None),
     "near_duplicate_turns": _similar("(SELECT conv_id * 10000 + turn AS doc_id, text FROM conversations)"),
+    "copies_of": "WITH " + S.shingles("documents", "doc_id", None) + """ SELECT x AS doc_id, y AS duplicate_id FROM sim
+        WHERE y < x AND x IN (SELECT doc_id FROM labels WHERE quality = 1)""",
     "ingest_outcome": f"{DECIDED} SELECT {_OUTCOME} FROM decided",
     "route_duplicates": f"""{DECIDED} SELECT m.id AS target_id, m.seq, {joined('labels')} AS labels, genre, c.change
         FROM msg m JOIN changes c ON c.seq = m.seq""",
@@ -272,6 +274,9 @@ ORACLES = {
         coalesce((SELECT string_agg(tenant || '=' || ont.id, '|' ORDER BY tenant || '=' || ont.id) FROM st JOIN ont USING (tenant) WHERE st.id = 'D' || d.doc_id), '') AS ontologies FROM documents d""",
     "notify_update": f"""{STORED}, {ONTOLOGIES} SELECT s.id AS key, s.id AS document_id, text, 'archive' AS genre, lang AS first_content,
         'note-static' AS second_label, ont.id AS ontology FROM stored s LEFT JOIN ont ON ont.tenant = s.source""",
+    "notify_annotation": ANNOTATE.replace("raw AS (", "notes AS (").replace("FROM raw)", "FROM notes)") + ", " + RAW_SQL + "," + S.STORED_SQL
+        + ", " + ONTOLOGIES + """ SELECT r.doc_id AS key, r.label, ont.id AS ontology FROM results r
+        LEFT JOIN stored s ON s.id = r.doc_id LEFT JOIN ont ON ont.tenant = s.source WHERE r.status = 'result'""",
     "notify_duplicate": f"""{DECIDED} SELECT target_id AS key, target_id AS doc_id, duplicate_of AS duplicate, count(*) AS n
         FROM decided WHERE outcome = 'DUPLICATE' GROUP BY ALL""",
     "dead_letters": f"""{DECIDED}, {_ERRORS} SELECT doc_id, operation, error_msg, stacktrace, CAST({PROCESSED_MS} AS BIGINT) AS timestamp,
@@ -287,22 +292,23 @@ ORACLES = {
     "annotator_defs": f"""SELECT label, {_HOST}, port, {flag('size < 40')} AS post_process, 'annotate' AS path,
         CAST(6 AS BIGINT) AS retry_count, CAST(1000 AS BIGINT) AS retry_pause_ms FROM ({_DEFS})""",
     "annotators_enabled": f"SELECT label, {_HOST} FROM ({_DEFS}) WHERE label IN ('Brand#1', 'Brand#3', 'Brand#99')",
-    "annotatable": "SELECT 'D' || doc_id AS doc_id FROM documents WHERE n_chars >= 60 AND length(text) > 0",
+    "annotatable": "SELECT 'D' || doc_id AS doc_id FROM documents WHERE length(text) > 0",
     "annotation_queue": f"{DECIDED} SELECT seq, target_id FROM decided WHERE run_annotators",
     "annotator_fanout": """SELECT 'D' || doc_id AS doc_id, label, position FROM documents,
-        (VALUES ('first-word', CAST(0 AS BIGINT)), ('shouts', 1), ('shape', 2)) v(label, position) WHERE n_chars >= 60""",
+        (VALUES ('first-word', CAST(0 AS BIGINT)), ('shouts', 1), ('shape', 2)) v(label, position) WHERE length(text) > 0""",
     "annotate": f"{ANNOTATE} SELECT doc_id, label, status, content FROM results",
-    "annotate_retry": r"""SELECT 'D' || doc_id AS doc_id, CASE WHEN upper(text) = text THEN 'failed' WHEN length(text) < 200 THEN 'none' ELSE 'result' END AS status,
+    "annotate_retry": r"""SELECT 'D' || doc_id AS doc_id, CASE WHEN upper(text) = text THEN 'failed' WHEN NOT contains(text, chr(10)) THEN 'none' ELSE 'result' END AS status,
         CAST(CASE WHEN upper(text) = text THEN 3 ELSE 1 END AS BIGINT) AS attempts,
-        CASE WHEN upper(text) <> text AND length(text) >= 200 THEN CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS VARCHAR) END AS words,
-        CASE WHEN upper(text) = text THEN 'ValueError: all capitals' END AS error FROM documents WHERE n_chars >= 60""",
+        CASE WHEN upper(text) <> text AND contains(text, chr(10)) THEN CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS VARCHAR) END AS words,
+        CASE WHEN upper(text) = text THEN 'ValueError: all capitals' END AS error FROM documents WHERE length(text) > 0""",
     "tag_values": r"""SELECT doc_id, tag, value FROM (SELECT doc_id, 'E' AS tag, '😀' AS value FROM documents
         UNION ALL SELECT doc_id, 'W', regexp_extract(text, '^\S*') FROM documents)""",
     "annotation_relabel": f"""{STORED} SELECT id AS doc_id, was, 'x-text' AS label, lang AS text FROM stored, (VALUES ('note-derived'), ('note-static')) v(was)""",
     "annotation_nonempty": f"{ANNOTATE} SELECT doc_id, label, {flag('kept')} AS kept FROM raw WHERE given",
-    "annotation_complete": "SELECT 'D' || doc_id AS doc_id, CAST(3 AS BIGINT) AS done, 'true' AS complete FROM documents WHERE n_chars >= 60",
+    "annotation_complete": "SELECT 'D' || doc_id AS doc_id, CAST(3 AS BIGINT) AS done, 'true' AS complete FROM documents WHERE length(text) > 0",
     "annotation_append": f"""{ANNOTATE} SELECT 'D' || d.doc_id AS doc_id, coalesce((SELECT string_agg(label, '|' ORDER BY position) FROM results r
-        WHERE r.doc_id = 'D' || d.doc_id AND status = 'result'), '') AS annotations FROM documents d""",
+        WHERE r.doc_id = 'D' || d.doc_id AND status = 'result'), '') AS annotations FROM documents d
+        UNION ALL SELECT 'B' || doc_id, '' FROM labels""",
     "search_get": f"{STORED} SELECT id AS document_id, 'file:///' || source AS source_uri, {joined('''[source, 'archive']''')} AS tenants FROM stored WHERE quality = 1",
     "search_upsert": "WITH " + S.ROUTED_SQL + "," + S.STORED_SQL + f""",
         sent AS (SELECT target_id, text, CASE format WHEN 'news' THEN 'AutoCollection' WHEN 'pulse' THEN 'pulse_' || {_KIND} ELSE {t('capture_source')} END AS capture,

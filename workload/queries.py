@@ -18,7 +18,7 @@ from foliary.operators import routing as R
 from foliary.operators import tables as T
 from foliary.operators.fold import change_log, fold_overrides
 from foliary.operators.ligatures import DEFAULT_WORDS, Lexicon, repair_ligatures
-from foliary.operators.neardup import NearDupSettings, near_duplicates, shingle_sets
+from foliary.operators.neardup import NearDupSettings, copies_of, near_duplicates, shingle_sets
 from foliary.plans import core as C
 from foliary.plans.batch import BatchSettings
 from foliary.plans.ingest import Decisions, IngestSettings, decide
@@ -400,6 +400,11 @@ def near_duplicate_turns(spark, sf):
     return near_duplicates(turns).select("doc_id", "first_duplicate")
 
 
+def copies_of_labelled(spark, sf):
+    asked = W.read(spark, sf, "labels").where("quality = 1").select("doc_id")
+    return copies_of(asked, _texts(spark, sf)).select("doc_id", "duplicate_id")
+
+
 def ingest_outcome(spark, sf):
     return decisions(spark, sf).events.select(
         "seq", "doc_id", "target_id", "outcome", "duplicate_of", "target_change", "operation", "message",
@@ -467,6 +472,14 @@ def notify_update(spark, sf):
     )
 
 
+def notify_annotation(spark, sf):
+    notices = A.annotation_notices(_all_docs(spark, sf), _annotated(spark, sf), tenants(spark, sf), ontologies(spark, sf))
+    return notices.select(
+        "key", F.get_json_object("value", "$.document.annotations[0].label").alias("label"),
+        F.get_json_object("value", "$.ontologies[0].id").alias("ontology"),
+    )
+
+
 def notify_duplicate(spark, sf):
     notices = O.duplicate_notices(decisions(spark, sf).events)
     return notices.groupBy("key", "value").agg(F.count("*").alias("n")).select(
@@ -542,16 +555,14 @@ def annotators_enabled(spark, sf):
 
 
 def _all_docs(spark, sf):
-    """All documents as ``(doc_id, doc)``; blank ones included."""
-    rows = documents(spark, sf).select(
-        F.concat(F.lit("D"), text(F.col("doc_id"))).alias("doc_id"),
-        D.document_record(
-            {"title": F.col("source")},
-            document_id=F.concat(F.lit("D"), text(F.col("doc_id"))),
-            extracted_text=F.when(F.col("n_chars") < 60, "").otherwise(F.col("text")), labels=F.array("lang"),
-        ).alias("doc"),
+    """All documents as ``(doc_id, doc)``, and a blank one for each labelled document."""
+    given = documents(spark, sf).select(F.concat(F.lit("D"), text(F.col("doc_id"))).alias("doc_id"), "text", "source", "lang")
+    blank = W.read(spark, sf, "labels").select(
+        F.concat(F.lit("B"), text(F.col("doc_id"))).alias("doc_id"), F.lit("").alias("text"), F.lit("blank").alias("source"), F.lit("und").alias("lang"),
     )
-    return rows
+    return given.unionByName(blank).select("doc_id", D.document_record(
+        {"title": F.col("source")}, document_id=F.col("doc_id"), extracted_text=F.col("text"), labels=F.array("lang"),
+    ).alias("doc"))
 
 
 def annotatable(spark, sf):
@@ -660,11 +671,11 @@ def annotation_append(spark, sf):
 
 
 def count_words(document: dict) -> dict:
-    """Callable annotator: word count as a dictionary; fails on texts in capitals."""
+    """Callable annotator: word count of texts of several lines as a dictionary; fails on texts in capitals."""
     body = document["extracted_text"]
     if body.upper() == body:
         raise ValueError("all capitals")
-    if len(body) < 200:
+    if "\n" not in body:
         return None
     return {"type": "dictionary", "label": "raw", "version": "1", "class": "derived", "content": {"words": str(len(body.split()))}}
 
@@ -791,6 +802,7 @@ QUERIES = {
     "near_duplicates": near_duplicates_query,
     "near_duplicates_whole_text": near_duplicates_whole,
     "near_duplicate_turns": near_duplicate_turns,
+    "copies_of": copies_of_labelled,
     "ingest_outcome": ingest_outcome,
     "route_duplicates": route_duplicates,
     "core_new": core_new,
@@ -799,6 +811,7 @@ QUERIES = {
     "tenant_add": tenant_add,
     "ontology_mapping": ontology_mapping,
     "notify_update": notify_update,
+    "notify_annotation": notify_annotation,
     "notify_duplicate": notify_duplicate,
     "dead_letters": dead_letters,
     "error_rows": error_rows,
