@@ -91,8 +91,9 @@ def _keys(prints: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
         flips = [sum(1 << b for b in c) for k in range(2 * radius // m + 1) for c in combinations(range(next_width), k)]
         stored.append(F.struct(F.lit(i).alias("i"), base.alias("k")))
         asked.extend(F.struct(F.lit(i).alias("i"), base.bitwiseXOR(F.lit(x).cast("long")).alias("k")) for x in flips)
-    # a few bytes a row become dozens of keys: spread the rows first, in as many parts as a shuffle has
-    prints = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), value)
+    # A few bytes a row become dozens of keys: spread the rows first, in as many parts as a shuffle has. Dealing
+    # them by value would be left out as a repetition of the distinct before it, whose parts are merged.
+    prints = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (
         prints.select(value.alias("a"), F.inline(F.array(*stored))),
         prints.select(value.alias("b"), F.inline(F.array(*asked))),
