@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliary.llm.frames import held, new_folder, slices
-from foliary.llm.words import GAP, WordCache
+from foliary.llm.words import GAP, ColumnIds
 from foliary.session import ship_package
 
 BLOCK_BITS = 512
@@ -153,8 +153,8 @@ def block_ranks(packed: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sums)]).astype("<u4")
 
 
-def byte_pair_cache(model: bytes) -> tuple:
-    """A tokenizer of the ``tokenizers`` library and its word cache; values are ids as bytes."""
+def byte_pair_ids(model: bytes) -> ColumnIds:
+    """A tokenizer of the ``tokenizers`` library behind a cache of words."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -187,7 +187,11 @@ def byte_pair_cache(model: bytes) -> tuple:
     def whole(text: str) -> bytes:
         return b"".join(encode(GAP.split(text)))
 
-    return WordCache(encode, tails, lambda word: not word or word[-1].isspace()), whole
+    # parts of words are encoded apart only if the tokenizer itself cuts there
+    probe = tokenizer.pre_tokenizer.pre_tokenize_str("ab1.;\nCd?!\n2,") if tokenizer.pre_tokenizer else []
+    cuts = {0, *(end for _, (_, end) in probe)} >= {0, 3, 5, 6, 8, 10, 11, 12, 13}
+    held_back = any(c in ".,;:!?\n" for t in tokenizer.get_added_tokens_decoder().values() for c in t.content)
+    return ColumnIds(encode, tails, whole, cuts and not held_back)
 
 
 def write_shards(
@@ -210,7 +214,7 @@ def write_shards(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(FILE_SCHEMA)
-        cache, whole = held(("byte pairs", digest), lambda: byte_pair_cache(shipped.value))
+        coder = held(("byte pairs", digest), lambda: byte_pair_ids(shipped.value))
         part, shard, start, filled = TaskContext.get().partitionId(), 0, 0, 0
         doc_ids: list = []
         values: list[bytes] = []
@@ -226,9 +230,8 @@ def write_shards(
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches:
-            for piece in slices(batch, 1, 2048, 4_000_000):
-                texts = [t or "" for t in piece.column(1).to_pylist()]
-                for doc_id, value in zip(piece.column(0).to_pylist(), cache.values(texts, whole), strict=True):
+            for piece in slices(batch, 1, 8192, 8_000_000):
+                for doc_id, value in zip(piece.column(0).to_pylist(), coder.values(piece.column(1)), strict=True):
                     doc_ids.append(doc_id)
                     values.append(value + end)
                     filled += len(value) // 4 + 1

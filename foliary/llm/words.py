@@ -11,8 +11,14 @@ from collections.abc import Callable
 from itertools import compress
 from operator import not_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 GAP = re.compile(r"(?<=\S)(?= )")
 CACHED_WORDS = 600_000
+#: Inside a word: before the marks that end it or its line, and around a line break.
+BREAK = re.compile(r"(?<=[^\W_])(?=[.,;:!?]+(?:\n[^\W_]|\Z))|(?<=[\w.,;:!?])(?=\n[^\W_])|(?<=[\w.,;:!?]\n)(?=[^\W_])")
 
 
 class WordCache:
@@ -64,3 +70,103 @@ class WordCache:
         safe = [w for w in words if not self.unsafe(w)]
         if safe:
             into.update(zip(safe, encode(safe), strict=True))
+
+
+class Recent:
+    """Values by word in two generations: what was not asked for in a whole generation is forgotten."""
+
+    def __init__(self, most: int = CACHED_WORDS // 2):
+        self.most, self.young, self.old = most, {}, {}
+
+    def turn(self) -> None:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+
+    def look(self, words: list[str]) -> tuple[list, list[int]]:
+        """The words' values and the places of those not known."""
+        values = list(map(self.young.get, words))
+        gaps = []
+        for i in [i for i, v in enumerate(values) if v is None]:
+            value = self.old.get(words[i])
+            if value is None:
+                gaps.append(i)
+            else:
+                values[i] = self.young[words[i]] = value
+        return values, gaps
+
+
+class ColumnIds:
+    """Ids of the whole texts of an Arrow column, as bytes, through the distinct words of the column.
+
+    ``encode_heads`` turns words into ids (bytes) as a text starts with them, ``encode_tails`` as they follow a
+    space. With ``breaks``, words are made of their parts at ``BREAK``; the tokenizer must cut there, too.
+    ``encode_whole(text)`` serves texts with words that cannot be cut off (empty, or ending in white space).
+    """
+
+    def __init__(self, encode_heads: Callable, encode_tails: Callable, encode_whole: Callable, breaks: bool):
+        self.encode, self.encode_whole, self.breaks = (encode_heads, encode_tails), encode_whole, breaks
+        self.known = (Recent(), Recent())
+
+    def _parts(self, words: list[str], after_space: bool) -> list[bytes]:
+        """Values of words that are not cut further."""
+        known, encode = self.known[after_space], self.encode[after_space]
+        values, gaps = known.look(words)
+        new = list({words[i] for i in gaps})
+        if new:
+            known.young.update(zip(new, encode(new), strict=True))
+        for i in gaps:
+            values[i] = known.young[words[i]]
+        return values
+
+    def _words(self, words: list[str], after_space: bool) -> list[bytes | bool]:
+        """Values of distinct words; False for those that cannot be cut off."""
+        known = self.known[after_space]
+        values, gaps = known.look(words)
+        plain, broken = [], []
+        for i in gaps:
+            word = words[i]
+            if word.isalnum():
+                plain.append(i)
+            elif not word or word[-1].isspace():
+                values[i] = False
+            else:
+                parts = BREAK.split(word) if self.breaks else [word]
+                if len(parts) > 1:
+                    broken.append((i, parts))
+                else:
+                    plain.append(i)
+        firsts = self._parts([words[i] for i in plain] + [parts[0] for _, parts in broken], after_space)
+        for i, value in zip(plain, firsts):
+            values[i] = value
+        rest = iter(self._parts([p for _, parts in broken for p in parts[1:]], False))
+        for (i, parts), first in zip(broken, firsts[len(plain):], strict=True):
+            values[i] = known.young[words[i]] = first + b"".join([next(rest) for _ in parts[1:]])
+        return values
+
+    def values(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text; null counts as empty."""
+        if not len(texts):
+            return []
+        for known in self.known:
+            known.turn()
+        split = pc.split_pattern(pc.fill_null(texts, ""), " ")  # one word at least
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        ends = np.cumsum(counts)
+        starts = ends - counts
+        heads, at = np.unique(codes[starts], return_inverse=True)
+        codes[starts] = len(words) + at
+        found = self._words(words, True) + self._words([words[i] for i in heads.tolist()], False)
+        sizes = np.array([-1 if v is False else len(v) // 4 for v in found], np.int64)
+        uncut = np.minimum.reduceat(sizes[codes], starts) < 0
+        np.maximum(sizes, 0, out=sizes)
+        table, base = np.frombuffer(b"".join(filter(None, found)), "<u4"), np.cumsum(sizes) - sizes
+        size = sizes[codes]
+        stops = np.cumsum(size)
+        ids = table[np.repeat(base[codes] - (stops - size), size) + np.arange(stops[-1])]
+        raw, last = ids.tobytes(), (stops[ends - 1] * 4).tolist()
+        out = [raw[a:b] for a, b in zip([0, *last[:-1]], last, strict=True)]
+        for i in np.flatnonzero(uncut).tolist():
+            out[i] = self.encode_whole(texts[i].as_py() or "")
+        return out

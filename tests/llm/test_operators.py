@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +34,25 @@ def rows_of(df):
 
 # --- 1: token shards ---------------------------------------------------------------------------
 
+def test_token_columns_equal_the_library():
+    from tokenizers import Tokenizer
+
+    model = tokenizer_file("byte_bpe_50k.json")
+    coder, whole = wavelet.byte_pair_ids(model), Tokenizer.from_buffer(model)
+    assert coder.breaks
+    rng = np.random.default_rng(5)
+    signs = ["a", "B", "é", "ß", "1", "²", "_", ".", ",", "!", "?", ";", ":", "'s", "\n", "\n", " ", " ", "\t",
+             "<|endoftext|>", "日", chr(0x301), "-", "\r\n", chr(0xA0), chr(0x85), "the"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 14))) for _ in range(4000)] + ["Known. known.\nKnown"] * 3
+    for coder.known[1].most in (10**6, 5):  # the second time, words are forgotten all the time
+        for lo in range(0, len(texts), 500):
+            part = texts[lo:lo + 500]
+            want = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(part, add_special_tokens=False)]
+            assert coder.values(pa.array(part)) == want
+    assert coder.values(pa.array([None, "", None], pa.string())) == [b"", b"", b""]
+    assert coder.values(pa.array([], pa.string())) == []
+
+
 def test_wavelet_matrix():
     rng = random.Random(1)
     for n in (0, 1, 7, 8, 511, 512, 513, 2000):
