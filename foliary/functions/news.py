@@ -106,6 +106,15 @@ def code_list(codes: Column) -> Column:
     return F.filter(F.split(codes, ","), lambda code: code != "")
 
 
+def code_keys(news: Column) -> Column:
+    """All codes of a news document as ``kind/code`` keys."""
+    def one(kind: str) -> Column:
+        keys = F.transform(code_list(news.getField(f"{kind}_codes")), lambda code: F.concat(F.lit(f"{kind}/"), code))
+        return F.coalesce(keys, F.array().cast("array<string>"))
+
+    return F.concat(*[one(kind) for kind in FACET_LABELS])
+
+
 def facet_annotation(kind: str, facets: Column) -> Column:
     """Static facet annotation of one code kind."""
     return F.struct(

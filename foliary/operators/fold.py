@@ -21,18 +21,24 @@ def fold_overrides(messages: DataFrame) -> DataFrame:
     Columns: target_id, labels and tenants (distinct, sorted), source_uri (last given), genre (last),
     run_annotators (any), last_seq.
     """
-    o = "overrides"
-    given = F.when(F.col(f"{o}.source_uri").isNotNull(), F.col("seq"))
+    def names(field: str) -> Column:
+        given = F.transform(f"overrides.{field}", lambda name: F.struct(F.lit(field).alias("field"), name.alias("name")))
+        return F.coalesce(given, F.array().cast("array<struct<field:string,name:string>>"))
+
+    # single names, not arrays of them: a target of very many messages keeps its distinct names only
+    rows = messages.select(
+        "target_id", "seq", "overrides.source_uri", "overrides.genre", "overrides.run_annotators",
+        F.explode_outer(F.concat(names("labels"), names("tenants"))).alias("_n"))
 
     def union(field: str) -> Column:
-        return F.array_sort(F.array_distinct(F.flatten(F.collect_set(f"{o}.{field}"))))
+        return F.array_sort(F.collect_set(F.when(F.col("_n.field") == field, F.col("_n.name"))))
 
-    return messages.groupBy("target_id").agg(
+    return rows.groupBy("target_id").agg(
         union("labels").alias("labels"),
         union("tenants").alias("tenants"),
-        F.max_by(f"{o}.source_uri", given).alias("source_uri"),
-        F.max_by(f"{o}.genre", "seq").alias("genre"),
-        F.max(f"{o}.run_annotators").alias("run_annotators"),
+        F.max_by("source_uri", F.when(F.col("source_uri").isNotNull(), F.col("seq"))).alias("source_uri"),
+        F.max_by("genre", "seq").alias("genre"),
+        F.max("run_annotators").alias("run_annotators"),
         F.max("seq").alias("last_seq"),
     )
 

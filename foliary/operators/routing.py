@@ -12,6 +12,7 @@ from foliary.functions import pulse as P
 from foliary.functions.text import DETECTORS
 from foliary.schemas import ANNOTATION
 from foliary.session import land
+from foliary.sources.codes import with_labels
 
 UNRECOGNISED = "unrecognised format"
 UNCONVERTIBLE = "conversion failed"
@@ -31,14 +32,16 @@ def route_formats(parsed: DataFrame, processed_at: Column, labels=None) -> DataF
     """Turn parsed envelopes into documents.
 
     Adds ``format``, ``doc`` (document struct, null on failure), ``error`` (null on success) and
-    ``target_id`` (the id the document goes by). ``labels`` is the code label lookup; without it
-    all codes are unknown.
+    ``target_id`` (the id the document goes by). ``labels`` is a code label lookup or a code table of
+    any size; without it all codes are unknown.
     """
     routed = parsed.withColumn("format", format_of("document")).withColumns({
         "_news": F.when(F.col("format") == "news", N.news_fields("document")),
         "_pulse": F.when(F.col("format") == "pulse", P.pulse_fields("document")),
         "_wire": F.when(F.col("format") == "canonical", D.canonical_fields("document")),
     })
+    if isinstance(labels, DataFrame):
+        routed, labels = with_labels(routed, "seq", N.code_keys(F.col("_news")), labels)
     facets = (
         N.code_facets(F.col("_news"), labels) if labels is not None
         else F.array().cast(f"array<{ANNOTATION}>")
@@ -57,7 +60,7 @@ def route_formats(parsed: DataFrame, processed_at: Column, labels=None) -> DataF
     )
     return routed.withColumn(
         "target_id", F.coalesce("doc.document_id", "doc_id")
-    ).drop("_news", "_pulse", "_wire")
+    ).drop("_news", "_pulse", "_wire", "_labels")
 
 
 def gate_language(routed: DataFrame, detector: str = "always_english") -> DataFrame:

@@ -48,7 +48,7 @@ class LabelLookup:
     """Constant-time label lookup inside an expression, without a join or a shuffle.
 
     The table is spread over hash buckets of a few entries each and becomes one constant of the
-    plan. Tables above ``LOOKUP_LIMIT`` rows are refused here; use :func:`join_labels` for those.
+    plan. Tables above ``LOOKUP_LIMIT`` rows are refused here; :func:`with_labels` joins those.
     """
 
     def __init__(self, codes: DataFrame, limit: int = LOOKUP_LIMIT):
@@ -58,7 +58,7 @@ class LabelLookup:
             .limit(limit + 1).collect()
         )
         if len(rows) > limit:
-            raise ValueError(f"code table has more than {limit} rows; use join_labels")
+            raise ValueError(f"code table has more than {limit} rows; use with_labels or join_labels")
         buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
         for row in rows:
             buckets[row["b"]][row["k"]] = row["label"]
@@ -72,3 +72,21 @@ class LabelLookup:
 def join_labels(coded: DataFrame, codes: DataFrame) -> DataFrame:
     """``(…, kind, code)`` rows with a nullable ``label``; the optimiser broadcasts a small table."""
     return coded.join(codes, ["kind", "code"], "left")
+
+
+def with_labels(rows: DataFrame, row_id: str, keys: Column, codes: DataFrame, limit: int | None = None):
+    """``rows`` and a label lookup for them: ``(rows, lookup)``.
+
+    ``keys`` are the ``kind/code`` keys a row asks for. A table of up to ``limit`` rows becomes a plan constant.
+    A larger one is joined with the distinct keys of each row, and ``rows`` get their labels as a map ``_labels``;
+    ``row_id`` tells the rows apart. The labels are the same either way.
+    """
+    limit = LOOKUP_LIMIT if limit is None else limit
+    if codes.limit(limit + 1).count() <= limit:
+        return rows, LabelLookup(codes, limit)
+    asked = rows.select(row_id, F.explode(F.array_distinct(keys)).alias("_key"))
+    known = codes.select(_entry_key(F.col("kind"), F.col("code")).alias("_key"), "label")
+    # a code found in very many rows meets one row here, so adaptive execution may split it
+    found = asked.join(known.hint("merge"), "_key")
+    maps = found.groupBy(row_id).agg(F.map_from_entries(F.collect_set(F.struct("_key", "label"))).alias("_labels"))
+    return rows.join(maps.hint("merge"), row_id, "left"), F.col("_labels")

@@ -182,6 +182,20 @@ def test_code_tables_from_files(spark, tmp_path):
         LabelLookup(codes, limit=2)
 
 
+def test_code_tables_of_any_size(spark, lookup, monkeypatch):
+    documents = [
+        NEWS | {"subject_codes": ",ncat,ncat,none,", "region_codes": ",usa,"}, NEWS | {"subject_codes": ""}, {"x": 1}, NEWS]
+    codes = code_table(spark.createDataFrame(CODES, "kind STRING, code STRING, label STRING"))
+
+    def converted(labels):
+        return [(r.seq, r.format, r.doc, r.error, r.target_id) for r in convert(spark, documents, labels)]
+
+    want = converted(lookup)
+    assert converted(codes) == want
+    monkeypatch.setattr("foliary.sources.codes.LOOKUP_LIMIT", 1)
+    assert converted(codes) == want
+
+
 def test_kafka_options():
     options = kafka_options("h:9092", poll_size=200, shared={"startingOffsets": "latest", "a": "1"}, specific={"a": None})
     assert options == {"kafka.bootstrap.servers": "h:9092", "subscribe": INGEST_TOPIC, "maxOffsetsPerTrigger": "200", "startingOffsets": "latest"}
