@@ -393,10 +393,11 @@ def near_duplicates_whole(spark, sf):
 
 
 def near_duplicate_turns(spark, sf):
-    turns = W.read(spark, sf, "conversations").select(
-        (F.col("conv_id") * 10000 + F.col("turn")).alias("seq"),
-        (F.col("conv_id") * 10000 + F.col("turn")).alias("doc_id"), "text",
-    )
+    said = W.read(spark, sf, "conversations")
+    # 10,000 numbers a conversation as in the SQL, more where a conversation is longer
+    width = max(10_000, (said.agg(F.max("turn")).first()[0] or 0) + 1)
+    number = F.col("conv_id").cast("bigint") * width + F.col("turn")
+    turns = said.select(number.alias("seq"), number.alias("doc_id"), "text")
     return near_duplicates(turns).select("doc_id", "first_duplicate")
 
 
