@@ -205,7 +205,7 @@ def predicted(docs: DataFrame, s: Settings | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, s: Settings | None = None) -> DataFrame:
-    """The rows whose text is in one of the languages learned from them; rows without a letter go."""
+    """The rows whose text has a letter. Each of them is given a learned language, however little of it is known."""
     training = training_texts(docs, s)
     names = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[column(docs, c).alias(n) for c, n in names.items()])
