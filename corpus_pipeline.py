@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliary.llm import crossparse, pieces, quality, resemblance, tiling
+from foliary.llm import crossparse, pieces, pigeonring, quality, tiling
 from foliary.llm.frames import without, write_and_read
 from foliary.llm.queries import read, tokenizer_file
 
@@ -22,8 +22,8 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word shingles, similarity 0.8 or more."""
-    return resemblance.keep_one(docs)
+    """One document of each group linked by fingerprints of 4-word shingles that differ in 4 bits or fewer."""
+    return pigeonring.keep_one(docs)
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
-    ("quality classifier", good), ("language ID", in_known_language), ("near-dedup", one_of_each),
+    ("quality classifier", good), ("language ID", in_known_language), ("SimHash near-dedup", one_of_each),
     ("benchmark decontamination", unseen), ("SentencePiece encoding and decoding", tokens),
 ]
 #: A learned classifier and a language model of text cannot be said in SQL; tests hold the stages against brute force.
