@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliary.llm import chat, crossparse, dealing, pieces, pigeonring, quality, redirects, termprint, tiling, wavelet
+from foliary.llm import (
+    alignment, cascade, chat, crossparse, dealing, pieces, pigeonring, quality, redirects, spelling, termprint, tiling, wavelet,
+)
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
@@ -80,6 +82,26 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(added)))
 
 
+def op11_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    judged = cascade.judge(docs, cascade.measure(docs).rules, keep=["doc_id"], whole=True)
+    failed = [rule.fails(*map(F.col, rule.counts)) for rule in cascade.BASE]
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (failed[0] | failed[1]).alias("base_failed"), "kept")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(
+        read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"),
+        keep=["doc_id"])[0]
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(read(spark, sf_dir, "documents"), spelled=spelling.typo)
+    return spelling.variants(words).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet, op2_dealing, op3_quality, op4_pigeonring, op5_crossparse, op6_tiling, op7_redirects,
-        op8_termprint, op9_pieces, op10_chat, pipeline)
+        op8_termprint, op9_pieces, op10_chat, op11_cascade, op12_alignment, op13_spelling, pipeline)
 }
 
 #: What SQL can tell without the operators' own arithmetic; tests hold the rest against brute force, round
@@ -107,6 +129,31 @@ ORACLES: dict[str, str] = {
             CAST(sum(length(role) + 15 + length(replace(replace(text, '\', '\b'), '<', '\l'))) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id
     """,
+    "op11_cascade": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        spots AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
+        windows AS (
+            SELECT doc_id, i, w, lead(w) OVER next AS w2, lead(w, 2) OVER next AS w3 FROM spots
+            WINDOW next AS (PARTITION BY doc_id ORDER BY i)),
+        again AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w, w2, w3) AS times FROM windows WHERE w3 IS NOT NULL)
+            WHERE times > 1),
+        repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS t(k) GROUP BY doc_id),
+        l AS (
+            SELECT doc_id, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
+        c AS (
+            SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
+                CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
+            FROM d JOIN l USING (doc_id) LEFT JOIN repeats USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND word_chars BETWEEN 3 * n_words AND 10 * n_words
+                AND 10 * n_symbols <= n_words AND 10 * n_dup_lines <= 3 * n_lines AS kept
+        FROM c
+    """,
     # the given pages have no redirects or canonical links; tests hold aliases against brute force
     "op7_redirects": r"""
         WITH u AS (
