@@ -163,6 +163,8 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     The sample is written down and read by one task, so seconds compare. An empty table keeps the order given.
     """
     rows = docs.count()
+    if not rows:
+        return Plan(tuple(rules), {}, {r.name: 0 for r in rules}, 0)
     names = list(dict.fromkeys(c for rule in rules for c in rule.counts))
     given = F.coalesce(column(docs, text), F.lit("")).alias("text")
     share = min(1.0, sample_rows / max(rows, 1))
