@@ -117,7 +117,7 @@ def text_classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 # --- tokens: the shingles a class can be found by -------------------------------------------------
 
-def _needed(n: Column, percent: int) -> Column:
+def needed(n: Column, percent: int) -> Column:
     """Smallest overlap a set of size n must have with any near copy."""
     return F.floor((percent * n + 99) / 100).cast("int")
 
@@ -153,11 +153,11 @@ def class_tokens(classes: DataFrame, settings: NearDupSettings, asked: DataFrame
         each.join(frequency.hint(MERGE), "shingle")
         .groupBy("cls", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("rare_first"))
-        .where(F.size("rare_first") >= _needed(F.col("n"), percent))
+        .where(F.size("rare_first") >= needed(F.col("n"), percent))
     )
     ordered = cut(ordered)
     unshared = F.col("n") - F.size("rare_first")
-    reach = F.col("n") - _needed(F.col("n"), percent) + 1
+    reach = F.col("n") - needed(F.col("n"), percent) + 1
     short_reach = F.col("n") - _needed_by_shorter(F.col("n"), percent) + 1
     tokens = (
         ordered
@@ -202,7 +202,7 @@ def _fits(percent: int) -> Column:
     ).otherwise((m < n) & (100 * m >= percent * n))
 
 
-def _two_earliest(entries: DataFrame, key: str) -> DataFrame:
+def two_earliest(entries: DataFrame, key: str) -> DataFrame:
     """Per ``key`` the earliest entry (seq1, id1) and the earliest of another document (seq2, id2)."""
     ranked = (
         entries.groupBy(key, "doc_id").agg(F.min("seq").alias("seq"))
@@ -263,7 +263,7 @@ def earliest_hits(
     asks plus ``hit_seq, hit_id`` (null without a hit); only entries with ``seq`` below the ask count.
     """
     percent = settings.threshold
-    holders = cut(_two_earliest(entries, "cls"))
+    holders = cut(two_earliest(entries, "cls"))
     askers = asks.groupBy(F.col("cls").alias("asker")).agg(F.max("seq").alias("last_ask"))
 
     found_by = _lanes(tokens.tokens.join(holders.select("cls", "seq1"), "cls"), asking=False)
@@ -294,7 +294,7 @@ def earliest_hits(
 
     def nearest(found: DataFrame) -> DataFrame:
         reached = found.join(holders, "cls")
-        return _two_earliest(
+        return two_earliest(
             _as_entries(reached, "asker").unionByName(own), "asker"
         )
 

@@ -111,7 +111,7 @@ def run_batch(
     store.append("notices", notices, batch)
     store.append("tenant_docs", memberships, batch)
     if decisions.index_rows is not None:
-        store.append("shingle_index", decisions.index_rows, batch)
+        store.add_to_index(decisions.index_rows, batch, settings.ingest.dedup)
     view = changed.select(F.col("document_id").alias("doc_id"), F.struct(*changed.columns).alias("doc"))
     store.append("search_view", O.search_rows(view, all_tenants), batch)
     store.append("corpus", changed, batch)

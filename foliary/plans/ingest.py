@@ -25,7 +25,9 @@ from foliary.operators.neardup import (
     earliest_hits,
     shingle_sets,
     text_classes,
+    two_earliest,
 )
+from foliary.operators.probe import FrameIndex, Index, probe
 from foliary.operators.routing import INGESTION
 from foliary.operators.tables import tenants_by_document
 from foliary.session import cut, land
@@ -34,10 +36,6 @@ DEDUPLICATION = "deduplication"
 NO_TEXT = "deduplication failed - no text"
 ORIGINAL_NOT_STORED = "original not stored"
 
-# Index entries are older than any event of a batch, whatever their numbers say.
-_INDEX_SHIFT = 1 << 62
-
-
 # The stored documents: a corpus frame, or a function that gives those with the asked ids
 # (``document_id``) and can so look up a large table without ranking all of its versions.
 Corpus = DataFrame | Callable[[DataFrame], DataFrame]
@@ -73,36 +71,39 @@ def check_without_dedup(candidates: DataFrame) -> Checked:
 
 
 def check_duplicates(
-    candidates: DataFrame, index: DataFrame | None, settings: NearDupSettings
+    candidates: DataFrame, index: Index | DataFrame | None, settings: NearDupSettings
 ) -> Checked:
     """Decide which of ``candidates`` (seq ≥ 0, doc_id, text; none stored yet) are new.
 
+    What the index holds is older than any event of a batch. Each distinct text asks it once, through the slots of its
+    own first shingles; who finds another document there is answered, and the others are compared with each other.
+
     An event is checked unless an earlier event of its id was new. With one text per id every first
     event is checked and one pass decides all. Otherwise the passes repeat with the events known to
     be checked until nothing changes; each pass settles at least the next undecided event.
     """
     sets = land(shingle_sets(candidates, settings))
-    known = sets
-    if index is not None:
-        known = sets.unionByName(index.select(
-            (F.col("seq") - _INDEX_SHIFT).alias("seq"), "doc_id", "n", "k1", "k2", "shingles"
-        ))
-    members, classes = text_classes(known)
+    members, classes = text_classes(sets)
     members = cut(members)
-    in_batch = F.col("seq") >= 0
-    firsts = members.groupBy("doc_id", "cls", in_batch.alias("in_batch")).agg(F.min("seq").alias("seq"))
-    nodes = cut(firsts.where("in_batch").select("doc_id", "cls", "seq"))
-    indexed = firsts.where("not in_batch").select("doc_id", "cls", "seq")
-    asked = None if index is None else nodes.select("cls").distinct()
-    tokens = class_tokens(classes, settings, asked)
+    nodes = cut(members.groupBy("doc_id", "cls").agg(F.min("seq").alias("seq")))
+    stored = None
+    asks = nodes
+    if index is not None:
+        stored = cut(probe(classes, FrameIndex(index) if isinstance(index, DataFrame) else index, settings))
+        other = F.col("doc_id") == F.col("id1")
+        told = nodes.join(stored, "cls").select(
+            "doc_id", "cls", "seq", F.when(other, F.col("id2")).otherwise(F.col("id1")).alias("hit_id"))
+        told = cut(told.where("hit_id is not null"))
+        asks = cut(nodes.join(told.select("doc_id", "cls"), ["doc_id", "cls"], "left_anti"))
+    tokens = class_tokens(classes, settings)
 
     opening = nodes.groupBy("doc_id").agg(F.min("seq").alias("_first"))
     checked = nodes.join(opening, "doc_id").withColumn("checked", F.col("seq") == F.col("_first")).drop("_first")
     several_texts = not nodes.groupBy("doc_id").count().where("count > 1").isEmpty()
     while True:
         findable = checked.where("checked").select("doc_id", "cls", "seq")
-        entries = findable if index is None else findable.unionByName(indexed)
-        answers = cut(earliest_hits(tokens, entries, nodes, settings))
+        answers = earliest_hits(tokens, findable, asks, settings).select("doc_id", "cls", "seq", "hit_id")
+        answers = cut(answers if stored is None else answers.unionByName(told))
         first_new = answers.where("hit_id is null").groupBy("doc_id").agg(F.min("seq").alias("new_seq"))
         if not several_texts:
             break
@@ -116,11 +117,13 @@ def check_duplicates(
         if settled:
             break
 
-    hits = members.where(in_batch).join(
-        answers.select("doc_id", "cls", "hit_id"), ["doc_id", "cls"]
-    ).select("seq", "hit_id")
-    index_rows = sets.join(checked.where("checked").select("seq"), "seq", "left_semi")
-    return Checked(first_new, hits, index_rows)
+    hits = members.join(answers.select("doc_id", "cls", "hit_id"), ["doc_id", "cls"]).select("seq", "hit_id")
+    # Of equal texts, two documents can be anybody's earliest match: the first, and the first other than the asker.
+    holders = two_earliest(checked.where("checked").select("cls", "doc_id", "seq"), "cls")
+    if stored is not None:
+        holders = holders.join(stored.where("held").select("cls"), "cls", "left_anti")
+    kept = holders.select(F.explode(F.array("seq1", "seq2")).alias("seq")).where("seq is not null")
+    return Checked(first_new, hits, sets.join(kept, "seq", "left_semi"))
 
 
 @dataclass(frozen=True)
@@ -144,7 +147,7 @@ def decide(
     accepted: DataFrame,
     corpus: Corpus,
     tenant_docs: DataFrame,
-    index: DataFrame | None = None,
+    index: Index | DataFrame | None = None,
     settings: IngestSettings | None = None,
 ) -> Decisions:
     """Decide all events of a batch (see :func:`foliary.operators.routing.read_events`)."""

@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from foliary.operators.neardup import NearDupSettings
 from foliary.schemas import CORPUS, DEAD_LETTER, STATUS, TENANT_DOCS
+from foliary.sources.index import PIECES, StoredIndex
 
 TABLES = {
     "corpus": CORPUS,
     "search_view": f"{CORPUS}, tenants ARRAY<STRING>",
     "tenant_docs": TENANT_DOCS,
-    "shingle_index": "seq BIGINT, doc_id STRING, n INT, k1 BIGINT, k2 BIGINT, shingles ARRAY<BIGINT>",
+    "index_pieces": PIECES,
     "pipeline_status": STATUS,
     "dead_letters": DEAD_LETTER,
     "notices": "topic STRING, key STRING, value STRING",
@@ -103,8 +105,13 @@ class CorpusStore:
     def tenant_docs(self, before: int | None = None) -> DataFrame:
         return self.read("tenant_docs", before).drop("batch").distinct()
 
-    def shingle_index(self, before: int | None = None) -> DataFrame:
-        return self.read("shingle_index", before).drop("batch")
+    def shingle_index(self, before: int | None = None) -> StoredIndex:
+        """The inverted index of the texts checked before a batch."""
+        return StoredIndex(self, before)
+
+    def add_to_index(self, sets: DataFrame, batch: int, settings: NearDupSettings) -> None:
+        """Add a batch's checked texts (see :attr:`foliary.plans.ingest.Checked.index_rows`)."""
+        self.shingle_index(batch).add(sets, batch, settings)
 
     def compact(self, target_root: str) -> CorpusStore:
         """Write the current state of corpus, tenants and index as one batch of a new store."""
@@ -113,5 +120,7 @@ class CorpusStore:
         fresh.append("corpus", self.corpus(), batch)
         fresh.append("search_view", self.search_view(), batch)
         fresh.append("tenant_docs", self.tenant_docs(), batch)
-        fresh.append("shingle_index", self.shingle_index(), batch)
+        index = self.shingle_index()
+        for window, percent in index.laws:
+            fresh.add_to_index(index.rows(), batch, NearDupSettings(window=window, threshold=percent))
         return fresh

@@ -42,7 +42,7 @@ def dedup_stream(
     """Writer that checks a stream of ``(seq, doc_id, text)`` against all texts seen before.
 
     Per text with an earlier near copy, a row goes to the ``decisions`` table; the checked texts
-    join the ``shingle_index`` table, which is the stream's state.
+    join the store's inverted index, which is the stream's state; only what a micro-batch asks for is read.
     """
     settings = settings or NearDupSettings()
 
@@ -57,6 +57,6 @@ def dedup_stream(
             F.col("hit_id").alias("duplicate_of"), none.alias("target_change"), none.alias("operation"),
             none.alias("message"), F.lit(False).alias("run_annotators"),
         ), number)
-        store.append("shingle_index", checked.index_rows, number)
+        store.add_to_index(checked.index_rows, number, settings)
 
     return texts.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)

@@ -162,3 +162,79 @@ def test_candidates_come_from_rare_shingles_only(spark):
     sets = shingle_sets(docs, NearDupSettings(window=3, max_words=None))
     assert sets.select(F.min("n")).first()[0] == 31
     assert near_duplicates(docs, NearDupSettings(window=3, max_words=None)).count() == 0
+
+
+def test_stored_index_reads_asked_slots_only(spark, tmp_path):
+    """Many batches, merged pieces, and a probe that opens the slots of its own shingles only."""
+    from foliary.operators.probe import SLOTS, list_rows
+    from foliary.sources import index as stored
+    from foliary.sources.store import CorpusStore
+
+    settings = NearDupSettings(window=3)
+    store, rng, seen = CorpusStore(spark, str(tmp_path)), random.Random(5), []
+    ddl = "seq BIGINT, doc_id STRING, text STRING"
+    crowd = [f"c{i}" for i in range(60)]
+    for batch in range(10):
+        rows = []
+        for i in range(30):
+            seq, kind = batch * 30 + i, rng.randrange(4)
+            if kind == 0:  # a crowd of near copies of each other
+                words = [*crowd[:rng.randrange(60)], f"x{seq}", *crowd[rng.randrange(55, 60):]] if i % 2 else list(crowd)
+            elif kind == 1 and seen:
+                words = shuffled_edit(rng, rng.choice(seen)[2].split())
+            else:
+                words = [f"w{rng.randrange(500)}" for _ in range(rng.choice([2, 20, 45]))]
+            rows.append((seq, f"d{rng.randrange(200)}", " ".join(words)))
+        store.number(f"b{batch}")
+        checked = check_duplicates(spark.createDataFrame(rows, ddl), store.shingle_index(batch), settings)
+        if batch in (0, 7, 8, 9):
+            got = {r.seq: r.hit_id for r in checked.hits.collect()}
+            assert {s: h for s, h in got.items() if s in first_hits(seen, rows)} == first_hits(seen, rows)
+        store.add_to_index(checked.index_rows, batch, settings)
+        seen += [(s, d, t) for s, d, t in rows if s in checked_events(seen, rows)]
+    index = store.shingle_index(10)
+    assert index.pieces == [(0, 7), (8, 8), (9, 9)] and store.shingle_index(7).pieces == [(i, i) for i in range(7)]
+    assert len(index.rows().collect()) < len(seen)  # of equal texts two documents
+    sets = shingle_sets(spark.createDataFrame([(0, "q", "one two three four five")], ddl), settings)
+    slots = [r.slot for r in list_rows(sets, "seq", settings).select("slot").distinct().collect()]
+    plan = index.lists(slots, settings)._jdf.queryExecution().executedPlan().toString()
+    assert len(slots) < 4 < SLOTS and "PartitionFilters: [isnotnull(slot" in plan or "PartitionFilters: [slot" in plan
+    assert {r.slot for r in index.lists(slots, settings).select("slot").distinct().collect()} <= set(slots)
+    with pytest.raises(ValueError):
+        index.lists([0], NearDupSettings(window=3, threshold=80))
+    assert stored.covering([(0, 0), (1, 1), (0, 1), (3, 3)]) == [(0, 1), (3, 3)]
+
+
+def shuffled_edit(rng, words):
+    at = rng.randrange(len(words))
+    return [*words[:at], f"e{rng.randrange(50)}", *words[at + 1:]]
+
+
+def first_hits(seen, rows):
+    """The rules one event at a time, for ids and texts seen before: {seq: hit} of the events that have one."""
+    return one_by_one(seen, rows)[0]
+
+
+def checked_events(seen, rows):
+    return one_by_one(seen, rows)[1]
+
+
+def one_by_one(seen, rows):
+    known, hits, taken, stored = [(d, frozenset(shingles_of(t))) for _, d, t in seen], {}, set(), set()
+    for seq, doc, text in sorted(rows):
+        if doc in stored:
+            continue
+        own = frozenset(shingles_of(text))
+        found = [d for d, other in known if d != doc and 10 * len(own & other) >= 9 * len(own | other)]
+        known.append((doc, own))
+        taken.add(seq)
+        if found:
+            hits[seq] = found[0]
+        else:
+            stored.add(doc)
+    return hits, taken
+
+
+def shingles_of(text):
+    words = text.split()
+    return {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))}

@@ -119,7 +119,7 @@ def test_texts_and_view_do_not_depend_on_batches(spark, tmp_path):
 
 def test_empty_store(spark, tmp_path):
     store = CorpusStore(spark, str(tmp_path / "none"))
-    assert store.corpus().count() == 0 and store.shingle_index().count() == 0
+    assert store.corpus().count() == 0 and store.shingle_index().rows().count() == 0
     result = run_batch(feed(spark, EVENTS[:1]), store, 0, at(), BatchSettings(ingest=IngestSettings(dedup=None)))
     assert json.loads(store.read("notices").first().value)["document"]["document_id"] == "a"
     assert result.rejected.count() == 0
