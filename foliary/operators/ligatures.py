@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from foliary.session import cut
 
@@ -33,13 +34,20 @@ DEFAULT_WORDS = (
 )
 
 
-@dataclass(frozen=True)
-class Lexicon:
-    """What counts as a word: ``extra``, and words in at least ``min_docs`` of ``texts`` (doc_id, text).
+def heard_words(texts: DataFrame, *columns: str) -> DataFrame:
+    """``(*columns, word)``: the distinct words with a ligature in each text of ``(*columns, text)``.
 
-    A left part standing right before the letters it may have lost does not count as an
-    occurrence, or common split errors would pass for words.
+    A left part standing right before the letters it may have lost does not count, or common split errors would pass
+    for words. Words without a ligature are never asked for, so they need not leave their document.
     """
+    heard = F.regexp_replace(F.lower("text"), r"\p{L}*(ff|fi|fl) (\p{L})", " $2")
+    ligated = F.filter(F.split(heard, r"[^\p{L}]+"), lambda w: w.rlike("ff|fi|fl"))
+    return texts.select(*columns, F.explode(F.array_distinct(ligated)).alias("word"))
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """What counts as a word: ``extra``, and words in at least ``min_docs`` of ``texts`` (doc_id, text)."""
 
     texts: DataFrame | None = None
     min_docs: int = 2
@@ -50,17 +58,56 @@ class Lexicon:
         given = candidates.where(F.col("word").isin(*[w.lower() for w in self.extra])) if self.extra else None
         if self.texts is None:
             return given if given is not None else candidates.where(F.lit(False))
-        heard = F.regexp_replace(F.lower("text"), r"\p{L}*(ff|fi|fl) (\p{L})", " $2")
-        # Every candidate contains a ligature, so most words need not leave their document.
-        ligated = F.filter(F.split(heard, r"[^\p{L}]+"), lambda w: w.rlike("ff|fi|fl"))
         counted = (
-            self.texts.select(F.explode(F.array_distinct(ligated)).alias("word"))
-            .join(candidates, "word", "left_semi")
+            heard_words(self.texts).join(candidates, "word", "left_semi")
             .groupBy("word").agg(F.count("*").alias("docs")).where(F.col("docs") >= self.min_docs)
             .select("word")
         )
         return counted if given is None else counted.unionByName(given).distinct()
 
+    def since(self, candidates: DataFrame) -> DataFrame:
+        """``(word, since)`` of the candidates that are words for texts with a number above ``since``."""
+        return self.among(candidates).withColumn("since", F.lit(-1).cast("bigint"))
+
+
+@dataclass(frozen=True)
+class ArrivalLexicon:
+    """The words of ``base``, and those that ``min_docs`` documents held before the text at hand.
+
+    ``counted``: (word, docs) of documents stored by earlier batches, in any number of rows a word; ``arriving``:
+    (doc_id, seq, text) of those the batch stores. The ``min_docs``-th smallest number of a word's documents says from where
+    on it counts, so what is repaired in a text depends on the documents before it and not on how a feed is cut.
+    """
+
+    base: Lexicon
+    arriving: DataFrame
+    counted: DataFrame | None = None
+    min_docs: int = 2
+
+    def since(self, candidates: DataFrame) -> DataFrame:
+        earlier = candidates.sparkSession.createDataFrame([], "word STRING, before BIGINT")
+        if self.counted is not None:
+            earlier = cut(
+                self.counted.join(candidates, "word", "left_semi").groupBy("word").agg(F.sum("docs").alias("before")))
+        in_order = F.row_number().over(W.partitionBy("word").orderBy("seq"))
+        # only the first few documents of a word leave their tasks
+        first = (
+            heard_words(self.arriving, "seq").join(candidates, "word", "left_semi")
+            .withColumn("_rank", in_order).where(F.col("_rank") <= self.min_docs)
+        )
+        reached = (
+            first.join(earlier, "word", "left")
+            .where(F.col("_rank") + F.coalesce("before", F.lit(0)) >= self.min_docs).select("word", F.col("seq").alias("since"))
+        )
+        known = earlier.where(F.col("before") >= self.min_docs).select("word", F.lit(-1).cast("bigint").alias("since"))
+        return self.base.since(candidates).unionByName(known).unionByName(reached).groupBy("word").agg(
+            F.min("since").alias("since"))
+
+
+def word_sightings(texts: DataFrame) -> DataFrame:
+    """``(word, docs)``: in how many of the documents ``(doc_id, text)`` each word with a ligature stands."""
+    return heard_words(texts).groupBy("word").agg(F.count("*").alias("docs"))
+
 
 def _seams(tokens: Column) -> Column:
     """The two tokens around every space."""
@@ -86,41 +133,43 @@ def _word_pair(seam: Column) -> Column:
 
 
 def split_spots(texts: DataFrame) -> DataFrame:
-    """Distinct ``(id, left, right)`` of the spots in ``(id, text)`` that look like a split word."""
+    """Distinct ``(id, seq, left, right)`` of the spots in ``(id, seq, text)`` that look like a split word."""
     suspects = F.filter(_seams(F.split("text", " ")), _suspect)
     pairs = F.filter(
         F.transform(suspects, _word_pair), lambda p: p["left"].rlike(SPLIT_WORD) & p["right"].rlike(WORD)
     )
-    return texts.where(F.col("text").rlike(MAYBE_SPLIT)).select("id", F.inline(F.array_distinct(pairs)))
+    return texts.where(F.col("text").rlike(MAYBE_SPLIT)).select("id", "seq", F.inline(F.array_distinct(pairs)))
 
 
-def mergeable_pairs(pairs: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Pairs whose merged form is a word while their left part is none."""
-    merged = pairs.withColumn("word", F.concat("left", "right")).join(lexicon, "word", "left_semi")
-    return merged.join(
-        lexicon.withColumnRenamed("word", "left"), "left", "left_anti"
-    ).select("left", "right")
+def mergeable_spots(spots: DataFrame, words: DataFrame) -> DataFrame:
+    """Spots whose merged form is a word by then while their left part is none; ``words``: (word, since)."""
+    merged = spots.withColumn("word", F.concat("left", "right")).join(words, "word").where(F.col("since") < F.col("seq"))
+    whole = words.select(F.col("word").alias("left"), F.col("since").alias("_since"))
+    return merged.join(whole, "left", "left").where(
+        F.col("_since").isNull() | (F.col("_since") >= F.col("seq"))).select("id", "left", "right")
 
 
 def repair_ligatures(
-    docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, lexicon: Lexicon | ArrivalLexicon, id_col: str = "doc_id", text_col: str = "text",
+    seq_col: str | None = None,
 ) -> DataFrame:
     """Replace ``text_col`` by its repaired form.
 
     Only documents with a suspicious spot are joined to anything; all others pass straight through.
-    ``text_col`` may be a field of a struct column.
+    ``text_col`` may be a field of a struct column. ``seq_col`` numbers the documents for an :class:`ArrivalLexicon`.
     """
     suspected = F.coalesce(F.col(text_col).rlike(MAYBE_SPLIT), F.lit(False))
     clean, doubtful = docs.where(~suspected), docs.where(suspected)
 
-    spots = cut(split_spots(doubtful.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))))
+    number = F.lit(0) if seq_col is None else F.col(seq_col)
+    spots = cut(split_spots(doubtful.select(
+        F.col(id_col).alias("id"), number.cast("bigint").alias("seq"), F.col(text_col).alias("text"))))
     pairs = spots.select("left", "right").distinct()
-    candidates = pairs.select(
+    candidates = cut(pairs.select(
         F.explode(F.array("left", F.concat("left", "right"))).alias("word")
-    ).distinct()
-    confirmed = mergeable_pairs(pairs, lexicon.among(candidates))
+    ).distinct())
     merges = (
-        spots.join(confirmed, ["left", "right"])
+        mergeable_spots(spots, cut(lexicon.since(candidates)))
         .groupBy("id").agg(F.collect_set(F.struct("left", "right")).alias("_merge"))
     )
     tokens = F.split(text_col, " ")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,11 +65,19 @@ def route_formats(parsed: DataFrame, processed_at: Column, labels=None) -> DataF
     ).drop("_news", "_pulse", "_wire", "_labels")
 
 
-def gate_language(routed: DataFrame, detector: str = "always_english") -> DataFrame:
-    """Add ``lang`` and turn documents in other languages than English into errors."""
-    lang = F.when(F.col("doc").isNotNull(), DETECTORS[detector](F.col("doc.extracted_text")))
+#: What detectors call English.
+ENGLISH = ("eng", "en")
+
+
+def gate_language(routed: DataFrame, detector: str | Callable[[Column], Column] = "always_english") -> DataFrame:
+    """Add ``lang`` and turn documents in other languages than English into errors.
+
+    ``detector`` is a name from ``DETECTORS`` or any function from the text's column to a language's.
+    """
+    detect = DETECTORS[detector] if isinstance(detector, str) else detector
+    lang = F.when(F.col("doc").isNotNull(), detect(F.col("doc.extracted_text")))
     gated = routed.withColumn("lang", F.coalesce(lang, F.when(F.col("doc").isNotNull(), "und")))
-    refused = F.col("lang") != "eng"
+    refused = ~F.col("lang").isin(*ENGLISH)
     return gated.withColumn(
         "error",
         F.when(refused, F.concat("lang", F.lit(" is not supported for: "), "target_id")).otherwise(F.col("error")),
@@ -75,7 +85,8 @@ def gate_language(routed: DataFrame, detector: str = "always_english") -> DataFr
 
 
 def read_events(
-    events: DataFrame, processed_at: Column, labels=None, detector: str = "always_english"
+    events: DataFrame, processed_at: Column, labels=None,
+    detector: str | Callable[[Column], Column] = "always_english",
 ) -> tuple[DataFrame, DataFrame]:
     """Events → (accepted, rejected).
 

@@ -17,7 +17,7 @@ from foliary.operators.annotate import (
     annotation_notices,
     annotation_queue,
 )
-from foliary.operators.ligatures import DEFAULT_WORDS, Lexicon
+from foliary.operators.ligatures import DEFAULT_WORDS, ArrivalLexicon, Lexicon, word_sightings
 from foliary.operators.routing import read_events
 from foliary.operators.tables import append_annotations
 from foliary.plans.core import Preprocessor, apply_decisions, tenant_additions
@@ -34,9 +34,9 @@ class BatchSettings:
     annotators: Sequence[Annotator] = ()
     stream_annotation_updates: bool = True
     lexicon_words: Sequence[str] = DEFAULT_WORDS
-    #: More words to repair texts with, from ``(doc_id, text)``. The same for every batch, and never the
-    #: batch's own texts, or what is stored would depend on how a feed is cut into batches.
+    #: More words to repair texts with, from ``(doc_id, text)``; they count from the start.
     lexicon_texts: DataFrame | None = None
+    #: So many documents stored before a text make a word of what they hold.
     lexicon_min_docs: int = 2
     scope: str = "corpus"
 
@@ -73,7 +73,10 @@ def run_batch(
     index = store.shingle_index(batch) if batch > 0 and settings.ingest.dedup is not None else None
     decisions = decide(accepted, corpus, tenants, index, settings.ingest)
 
-    lexicon = Lexicon(settings.lexicon_texts, settings.lexicon_min_docs, tuple(settings.lexicon_words))
+    arriving = decisions.new_documents.select("doc_id", "seq", F.col("doc.extracted_text").alias("text"))
+    lexicon = ArrivalLexicon(
+        Lexicon(settings.lexicon_texts, settings.lexicon_min_docs, tuple(settings.lexicon_words)), arriving,
+        store.read("lexicon", batch) if batch > 0 else None, settings.lexicon_min_docs)
     changed = cut(apply_decisions(decisions, corpus, lexicon, settings.preprocessors))
     memberships = cut(tenant_additions(decisions))
     now_ms = F.unix_millis(processed_at)
@@ -110,6 +113,7 @@ def run_batch(
     store.append("dead_letters", letters, batch)
     store.append("notices", notices, batch)
     store.append("tenant_docs", memberships, batch)
+    store.append("lexicon", word_sightings(arriving), batch)
     if decisions.index_rows is not None:
         store.add_to_index(decisions.index_rows, batch, settings.ingest.dedup)
     view = changed.select(F.col("document_id").alias("doc_id"), F.struct(*changed.columns).alias("doc"))

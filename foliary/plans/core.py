@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from foliary.functions.documents import merge_overrides, only_static
 from foliary.functions.text import normalize_text
 from foliary.operators.fold import fold_overrides
-from foliary.operators.ligatures import Lexicon, repair_ligatures
+from foliary.operators.ligatures import ArrivalLexicon, Lexicon, repair_ligatures
 from foliary.operators.tables import upsert
 from foliary.plans.ingest import Corpus, Decisions, stored_documents
 
@@ -23,19 +23,21 @@ def preprocess(documents: DataFrame, steps: Sequence[Preprocessor] = ()) -> Data
     return reduce(DataFrame.transform, steps, documents)
 
 
-def clean_texts(documents: DataFrame, lexicon: Lexicon, id_col: str = "doc_id") -> DataFrame:
+def clean_texts(
+    documents: DataFrame, lexicon: Lexicon | ArrivalLexicon, id_col: str = "doc_id", seq_col: str | None = None
+) -> DataFrame:
     """Repair ligatures, then normalise ``doc.extracted_text``."""
-    repaired = repair_ligatures(documents, lexicon, id_col, "doc.extracted_text")
+    repaired = repair_ligatures(documents, lexicon, id_col, "doc.extracted_text", seq_col)
     return repaired.withColumn(
         "doc", F.col("doc").withField("extracted_text", normalize_text(F.col("doc.extracted_text")))
     )
 
 
 def core_new(
-    new_documents: DataFrame, lexicon: Lexicon, steps: Sequence[Preprocessor] = ()
+    new_documents: DataFrame, lexicon: Lexicon | ArrivalLexicon, steps: Sequence[Preprocessor] = ()
 ) -> DataFrame:
-    """New documents ``(doc_id, doc, …)`` in their stored form: cleaned, then preprocessed."""
-    return preprocess(clean_texts(new_documents, lexicon), steps)
+    """New documents ``(doc_id, doc, seq, …)`` in their stored form: cleaned, then preprocessed."""
+    return preprocess(clean_texts(new_documents, lexicon, seq_col="seq"), steps)
 
 
 def core_update(documents: DataFrame, folded: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def core_update(documents: DataFrame, folded: DataFrame) -> DataFrame:
 
 
 def apply_decisions(
-    decisions: Decisions, corpus: Corpus, lexicon: Lexicon, steps: Sequence[Preprocessor] = ()
+    decisions: Decisions, corpus: Corpus, lexicon: Lexicon | ArrivalLexicon, steps: Sequence[Preprocessor] = ()
 ) -> DataFrame:
     """Rows of the corpus table a batch adds or replaces, in the corpus schema.
 
@@ -71,7 +73,7 @@ def apply_decisions(
     folded = fold_overrides(decisions.messages)
     rows = stored_documents(corpus, folded.select("target_id"))
     stored = rows.select(F.col("document_id").alias("doc_id"), F.struct(*rows.columns).alias("doc"))
-    fresh = core_new(decisions.new_documents.select("doc_id", "doc"), lexicon, steps)
+    fresh = core_new(decisions.new_documents.select("doc_id", "doc", "seq"), lexicon, steps).select("doc_id", "doc")
     return core_update(stored.unionByName(fresh), folded).select("doc.*")
 
 

@@ -49,9 +49,9 @@ def stored_documents(corpus: Corpus, ids: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class IngestSettings:
-    """``dedup=None`` switches duplicate detection off."""
+    """``dedup=None`` switches duplicate detection off; ``detector`` is a name or any function of the text's column."""
 
-    detector: str = "always_english"
+    detector: str | Callable[[Column], Column] = "always_english"
     dedup: NearDupSettings | None = field(default_factory=NearDupSettings)
 
 
@@ -202,7 +202,8 @@ def decide(
     messages = routed.where("_applies_to is not null").select(
         F.col("_applies_to").alias("target_id"), "seq", "overrides"
     )
-    new_documents = (
+    # wide rows, made once and read by all that follows
+    new_documents = land(
         accepted.join(first_new, (accepted["target_id"] == first_new["target_id"]) & (F.col("seq") == F.col("new_seq")))
         .where("error is null")
         .select("seq", accepted["target_id"].alias("doc_id"), merge_overrides(F.col("doc"), F.col("overrides")).alias("doc"), "overrides")

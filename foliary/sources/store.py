@@ -23,6 +23,7 @@ TABLES = {
     "search_view": f"{CORPUS}, tenants ARRAY<STRING>",
     "tenant_docs": TENANT_DOCS,
     "index_pieces": PIECES,
+    "lexicon": "word STRING, docs BIGINT",
     "pipeline_status": STATUS,
     "dead_letters": DEAD_LETTER,
     "notices": "topic STRING, key STRING, value STRING",
@@ -114,12 +115,13 @@ class CorpusStore:
         self.shingle_index(batch).add(sets, batch, settings)
 
     def compact(self, target_root: str) -> CorpusStore:
-        """Write the current state of corpus, tenants and index as one batch of a new store."""
+        """Write the current state of corpus, tenants, words and index as one batch of a new store."""
         fresh = CorpusStore(self.spark, target_root)
         batch = fresh.number(f"compacted from {self.root}")
         fresh.append("corpus", self.corpus(), batch)
         fresh.append("search_view", self.search_view(), batch)
         fresh.append("tenant_docs", self.tenant_docs(), batch)
+        fresh.append("lexicon", self.read("lexicon").groupBy("word").agg(F.sum("docs").alias("docs")), batch)
         index = self.shingle_index()
         for window, percent in index.laws:
             fresh.add_to_index(index.rows(), batch, NearDupSettings(window=window, threshold=percent))

@@ -103,7 +103,8 @@ def test_texts_and_view_do_not_depend_on_batches(spark, tmp_path):
     """Ids other than the key, split words, and several batches or one."""
     def doc(doc_id, words):
         return event(doc_id, words)
-    texts = ["the zaffi rot near here and a CONFL ICT " * 2, "one zaffirot was seen by all of them today", "another zaffirot came to the old town hall"]
+    texts = ["the zaffi rot near here and a CONFL ICT " * 2, "one zaffirot was seen by all of them today", "another zaffirot came to the old town hall",
+             "later on a zaffi rot and one more Zaffi rot", "zaffi, that is what two of them say", "others say zaffi, as well here", "now zaffi rot stays as it is"]
     events = [doc(str(i), t) for i, t in enumerate(texts)]
     one, many = (CorpusStore(spark, str(tmp_path / n)) for n in ("one", "many"))
     whole = feed(spark, events)
@@ -112,8 +113,15 @@ def test_texts_and_view_do_not_depend_on_batches(spark, tmp_path):
         run_batch(spark.createDataFrame([r], whole.schema), many, f"event {r.seq}", at())
     def rows(store):
         return sorted((r.document_id, r.extracted_text, r.labels, sorted(r.tenants or [])) for r in store.search_view().collect())
-    assert rows(one) == rows(many) and len(rows(one)) == 3
-    assert "CONFLICT" in rows(one)[0][1]
+    assert rows(one) == rows(many) and len(rows(one)) == 7
+    stored = [r[1] for r in rows(one)]
+    assert "CONFLICT" in stored[0] and "zaffi rot" in stored[0]  # nobody had used the word by then
+    assert stored[3] == "later on a zaffirot and one more Zaffirot" and stored[6] == texts[6]  # the left part is a word by then
+    few = CorpusStore(spark, str(tmp_path / "few"))
+    for first, last in ((0, 2), (2, 4), (4, 7)):
+        run_batch(whole.where(f"seq >= {first} and seq < {last}"), few, f"from {first}", at())
+    assert rows(few) == rows(one)
+    assert {r.word: r.docs for r in few.compact(str(tmp_path / "again")).read("lexicon").collect()}["zaffirot"] == 2
     assert {r.document_id for r in one.search_view(ids=spark.createDataFrame([("1",)], "document_id STRING")).collect()} == {"1"}
 
 

@@ -61,3 +61,38 @@ def test_lexicon_from_texts(spark):
 ])
 def test_language(spark, language, text):
     assert apply(spark, [text], detect_language) == [language]
+
+
+SENTENCES = {
+    "es": ["los barcos salen del puerto cuando sube la marea", "el panadero abre la tienda muy temprano", "ayer llovió sobre las montañas",
+           "mi hermana estudia música en la escuela", "los niños juegan en el jardín de la casa"],
+    "pt": ["os barcos saem do porto quando a maré sobe", "o padeiro abre a loja muito cedo", "ontem choveu sobre as montanhas",
+           "minha irmã estuda música na escola", "as crianças brincam no jardim da casa"],
+    "ru": ["корабли выходят из порта с приливом", "пекарь рано открывает лавку", "вчера в горах шёл дождь", "моя сестра учится музыке"],
+    "ar": ["تخرج السفن من الميناء مع المد", "يفتح الخباز دكانه باكرا", "هطل المطر أمس على الجبال", "تدرس أختي الموسيقى في المدرسة"],
+}
+
+
+def test_learned_languages(spark):
+    from foliary.functions.language import learn_languages
+
+    rows = [(lang, t) for lang, texts in SENTENCES.items() for t in texts] + [(None, "no label"), ("xx", None)]
+    model = learn_languages(spark.createDataFrame(rows, "lang STRING, text STRING").repartition(3))
+    assert model.languages == ("ar", "es", "pt", "ru")
+    texts = {"ES": "los niños salen de la escuela muy temprano", "PT": "as crianças saem da escola muito cedo", "RU": "дождь шёл в порту",
+             "AR": "المطر على الميناء"}
+    assert apply(spark, list(texts.values()), model.detect) == ["es", "pt", "ru", "ar"]
+    assert apply(spark, [None, "", "123 456", "漢字"], model.detect) == ["und"] * 4
+    long = "los barcos salen del puerto " * 20_000
+    assert apply(spark, [long], model.detect) == ["es"]
+    empty = learn_languages(spark.createDataFrame([], "lang STRING, text STRING"))
+    assert empty.languages == () and apply(spark, ["text"], empty.detect) == ["und"]
+
+
+def test_any_function_can_be_the_detector(spark):
+    from foliary.operators.routing import gate_language
+
+    frame = spark.createDataFrame([("a", ("hello there",)), ("b", ("bonjour",)), ("c", None)], "target_id STRING, doc STRUCT<extracted_text STRING>")
+    gated = gate_language(frame.withColumn("error", F.lit(None).cast("string")), lambda t: F.when(t.startswith("hello"), "en").otherwise("fr"))
+    assert {r.target_id: (r.lang, r.error) for r in gated.collect()} == {
+        "a": ("en", None), "b": ("fr", "fr is not supported for: b"), "c": (None, None)}

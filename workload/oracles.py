@@ -142,6 +142,29 @@ SELECT doc_id, string_agg(tok || CASE WHEN i = n OR glued THEN '' ELSE ' ' END,
   SELECT t.doc_id, i, len(k) AS n, k[i] AS tok, g.i IS NOT NULL AS glued
   FROM (SELECT doc_id, k, unnest(range(1, len(k) + 1)) AS i FROM toks) t LEFT JOIN glue g USING (doc_id, i)) GROUP BY doc_id"""
 
+# A word counts from the second document on that holds it.
+_LEX = LIGATURES[LIGATURES.index("lex AS ("):LIGATURES.index("glue AS (")]
+LIGATURES_IN_ORDER = LIGATURES.replace(_LEX, f"""lex AS (
+  SELECT w, min(since) AS since FROM (
+    SELECT w, doc_id AS since FROM heard QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id) = 2
+    UNION ALL SELECT unnest([{', '.join("'" + w + "'" for w in DEFAULT_WORDS)}]), -1) GROUP BY w),
+""").replace("JOIN ok USING (l, r))", """JOIN spots USING (l, r) JOIN lex m ON m.w = l || r AND m.since < s.doc_id
+  LEFT JOIN lex o ON o.w = l AND o.since < s.doc_id WHERE o.w IS NULL)""")
+
+LEARNED = r"""WITH words AS (
+  SELECT doc_id, lang, unnest(list_distinct(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}]+'))) AS w FROM documents),
+grams AS (
+  SELECT doc_id, lang, substr(' ' || w || ' ', i, 3) AS g FROM (
+    SELECT doc_id, lang, w, unnest(range(1, length(w) + 1)) AS i FROM words WHERE w <> '')),
+counted AS (SELECT lang, g, count(*) AS n FROM grams WHERE lang IS NOT NULL AND doc_id % 4 <> 2 GROUP BY ALL),
+chosen AS (SELECT DISTINCT g FROM (SELECT lang, g FROM counted QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, g) <= 1500)),
+langs AS (SELECT DISTINCT lang FROM counted JOIN chosen USING (g)),
+cells AS (SELECT g, lang, coalesce(n, 0) + 0.5 AS n FROM chosen CROSS JOIN langs LEFT JOIN counted USING (g, lang)),
+weights AS (SELECT g, lang, CAST(floor(1000 * ln(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY lang)) + 0.5) AS BIGINT) AS weight FROM cells),
+sums AS (SELECT doc_id, weights.lang AS l, sum(weight) AS s FROM grams JOIN weights USING (g) GROUP BY ALL),
+best AS (SELECT doc_id, l FROM sums QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, l) = 1),
+told AS (SELECT doc_id, doc_id % 4 = 2 AS held_out, coalesce(l, 'und') AS language FROM documents LEFT JOIN best USING (doc_id))"""
+
 # --- merges on stored documents -------------------------------------------------------------------
 
 ON_STORED = "WITH " + S.ROUTED_SQL + "," + S.STORED_SQL + """,
@@ -228,7 +251,11 @@ ORACLES = {
         LEFT JOIN codes ON codes.kind = e.kind AND codes.code = e.code""",
     "text_normalize": f"{DAMAGED} SELECT doc_id, {normalized('text')} AS text FROM damaged",
     "ligature_repair": LIGATURES,
+    "ligature_repair_in_order": LIGATURES_IN_ORDER,
     "language_id": f"SELECT doc_id, {S.language('text')} AS language FROM documents",
+    "language_learned": LEARNED + " SELECT * FROM told",
+    "language_agreement": LEARNED + """ SELECT lang, held_out, count(*) AS n, CAST(sum(CAST(language = lang AS INT)) AS BIGINT) AS agreeing,
+        100 * sum(CAST(language = lang AS INT)) >= 99 * count(*) AS good FROM told JOIN documents USING (doc_id) WHERE lang IS NOT NULL GROUP BY ALL""",
     "language_gate": f"{ROUTED} SELECT seq, target_id, lang3 AS lang, error FROM accepted",
     "preprocess_chain": f"{STORED} SELECT id AS doc_id, lower(text) AS text, {joined('''['stored', 'quality' || quality, 'seen']''')} AS labels FROM stored",
     "corpus_lookup": f"""{STORED} SELECT 'D' || d.doc_id AS doc_id, s.text AS text, CASE WHEN s.id IS NOT NULL THEN 'archive' END AS genre

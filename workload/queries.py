@@ -11,13 +11,14 @@ from foliary.functions import documents as D
 from foliary.functions import envelope as E
 from foliary.functions import news as N
 from foliary.functions import pulse as P
+from foliary.functions.language import learn_languages
 from foliary.functions.text import detect_language, normalize_text
 from foliary.operators import annotate as A
 from foliary.operators import outputs as O
 from foliary.operators import routing as R
 from foliary.operators import tables as T
 from foliary.operators.fold import change_log, fold_overrides
-from foliary.operators.ligatures import DEFAULT_WORDS, Lexicon, repair_ligatures
+from foliary.operators.ligatures import DEFAULT_WORDS, ArrivalLexicon, Lexicon, repair_ligatures
 from foliary.operators.neardup import NearDupSettings, copies_of, near_duplicates, shingle_sets
 from foliary.plans import core as C
 from foliary.plans.batch import BatchSettings
@@ -267,10 +268,35 @@ def ligature_repair(spark, sf):
     return repair_ligatures(texts, Lexicon(texts, 2, DEFAULT_WORDS))
 
 
+def ligature_repair_in_order(spark, sf):
+    """Each text with the words that two documents before it held."""
+    texts = damaged(spark, sf).withColumn("seq", F.col("doc_id").cast("bigint"))
+    lexicon = ArrivalLexicon(Lexicon(), texts)
+    return repair_ligatures(texts, lexicon, seq_col="seq").select("doc_id", "text")
+
+
 def language_id(spark, sf):
     return documents(spark, sf).select("doc_id", detect_language(F.col("text")).alias("language"))
 
 
+def language_learned(spark, sf):
+    """Every document's language by a model learned from three quarters of the labelled ones."""
+    docs = W.read(spark, sf, "documents")
+    held_out = F.pmod("doc_id", F.lit(4)) == 2
+    model = learn_languages(docs.where(~held_out))
+    return docs.select("doc_id", held_out.alias("held_out"), model.detect(F.col("text")).alias("language"))
+
+
+def language_agreement(spark, sf):
+    """How many documents of each label the learned model agrees with, apart for those it has not seen."""
+    labelled = W.read(spark, sf, "documents").select("doc_id", "lang").where("lang is not null")
+    told = language_learned(spark, sf).join(labelled, "doc_id")
+    right = (F.col("language") == F.col("lang")).cast("int")
+    return told.groupBy("lang", "held_out").agg(
+        F.count("*").alias("n"), F.sum(right).cast("bigint").alias("agreeing"),
+        (100 * F.sum(right) >= 99 * F.count("*")).alias("good"))
+
+
 def language_gate(spark, sf):
     return accepted(spark, sf).select("seq", "target_id", "lang", "error")
 
@@ -787,7 +813,10 @@ QUERIES = {
     "code_join": code_join,
     "text_normalize": text_normalize,
     "ligature_repair": ligature_repair,
+    "ligature_repair_in_order": ligature_repair_in_order,
     "language_id": language_id,
+    "language_learned": language_learned,
+    "language_agreement": language_agreement,
     "language_gate": language_gate,
     "preprocess_chain": preprocess_chain,
     "corpus_lookup": corpus_lookup,
