@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.llm.components import components
-from foliary.llm.frames import column, without, write_and_read
+from foliary.llm.frames import column, write_and_read
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -123,11 +123,13 @@ def judge_pages(
     seeds = places.join(judge(places, rules), ["host", "path"]).where("verdict = 'block'").select(F.col("key").alias("node"))
     blocked = alias.join(seeds.distinct(), "node").select("root").distinct().withColumn("blocked", F.lit(True))
     state = alias.join(blocked, "root", "left").select(F.col("node").alias("__key"), F.col("root").alias("alias_of"), "blocked")
-    own = without(pages, *names, "__key", "blocked")
+    # the pages' own columns stand aside under names of their own, so no column of theirs can clash
+    taken = {n.lower() for n in names}
+    kept = {c: f"__c{i}" for i, c in enumerate(pages.columns) if c.lower() not in taken}
     page = column(pages, url)
-    own = own.withColumns({"host": host_of(page), "path": path_of(page), "__key": url_key(page)})
+    own = pages.select(*[column(pages, c).alias(n) for c, n in kept.items()], host_of(page).alias("host"),
+                       path_of(page).alias("path"), url_key(page).alias("__key"))
     judged = own.join(judge(own, rules).withColumnRenamed("verdict", "ruled"), ["host", "path"], "left")
     judged = judged.join(state, "__key", "left")
     verdict = F.coalesce("ruled", F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow")))
-    return judged.withColumn("verdict", verdict).select(*[column(judged, c) for c in own.columns if c not in ("__key", "host", "path")],
-                                                        "host", "path", "rule", "verdict", "alias_of")
+    return judged.select(*[F.col(n).alias(c) for c, n in kept.items()], "host", "path", "rule", verdict.alias("verdict"), "alias_of")

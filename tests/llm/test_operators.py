@@ -384,6 +384,12 @@ def test_urls(spark):
         (9, "", "", None, "allow"), (9, "", "", None, "allow"), (10, "b.io", "/1", None, "allow"), (11, "b.io", "/2", None, "allow"),
         (12, "host", "", None, "allow"), (13, "c.io", "/s", None, "block")], key=repr)
     assert redirects.judge_pages(pages.where("false"), rules).count() == 0
+    own = pages.withColumns({n: F.lit(f"own {n}") for n in ("ruled", "blocked", "__key", "key", "root", "node", "__c0", "HOST")})
+    more = redirects.judge_pages(own, rules, moved)
+    assert more.columns == [c for c in own.columns if c not in ("verdict", "HOST")] + ["host", "path", "rule", "verdict", "alias_of"]
+    again = more.collect()
+    assert sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in again), key=repr) == got
+    assert {(r.ruled, r.blocked, r["__key"], r["__c0"]) for r in again} == {("own ruled", "own blocked", "own __key", "own __c0")}
 
 
 # --- 8: fingerprints ---------------------------------------------------------------------------
