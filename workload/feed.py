@@ -148,7 +148,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events ``(seq, doc_id, value)``, written down once like a landed feed."""
     docs = raw_documents(spark, sf_dir)
     quality = F.when(F.col("quality").isNotNull(), F.array(
-        F.concat(F.lit("quality"), F.col("quality").cast("string")),
+        F.concat(F.lit("quality"), F.coalesce(F.col("quality").cast("string"), F.lit("?"))),
         F.concat(F.lit("toxic"), F.col("toxic").cast("string")),
     ))
     metadata = F.when(
@@ -161,7 +161,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     again = F.struct(
         F.array(F.col("source"), F.lit("review")).alias("tenants"),
-        F.array(F.concat(F.lit("quality"), F.col("quality").cast("string"))).alias("labels"),
+        F.array(F.concat(F.lit("quality"), F.coalesce(F.col("quality").cast("string"), F.lit("?")))).alias("labels"),
         F.lit("revised").alias("genre"), (F.col("toxic") == 1).alias("reannotate"),
     )
     body = document_json(docs)
@@ -209,12 +209,20 @@ def processed_at() -> Column:
 
 def stored_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus table: the documents labelled toxic, as an earlier batch would have left them."""
-    docs = raw_documents(spark, sf_dir).where("toxic = 1")
+    return _stored_form(raw_documents(spark, sf_dir).where("toxic = 1"))
+
+
+def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in their stored form."""
+    return _stored_form(raw_documents(spark, sf_dir))
+
+
+def _stored_form(docs: DataFrame) -> DataFrame:
     stored = document_record(
         {"title": F.col("heading"), "original_language": F.col("lang"), "stated_genre": F.lit("archive")},
         document_id=_doc_key(F.col("doc_id")), capture_source=F.lit("Archive"),
         extracted_text=F.col("text"), source_uri=F.concat(F.lit("file:///"), F.col("source")),
-        timestamp=processed_at(), labels=F.array(F.lit("stored"), F.concat(F.lit("quality"), F.col("quality").cast("string"))),
+        timestamp=processed_at(), labels=F.array(F.lit("stored"), F.concat(F.lit("quality"), F.coalesce(F.col("quality").cast("string"), F.lit("?")))),
         annotations=F.array(*[_note(cls) for cls in ("derived", "static")]),
     )
     return docs.select(stored.alias("doc")).select("doc.*")
@@ -235,7 +243,16 @@ def _note(cls: str) -> Column:
 
 def stored_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Memberships of the stored documents: their source and the archive."""
-    return raw_documents(spark, sf_dir).where("toxic = 1").select(
+    return _memberships(raw_documents(spark, sf_dir).where("toxic = 1"))
+
+
+def archive_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Memberships of all documents."""
+    return _memberships(raw_documents(spark, sf_dir))
+
+
+def _memberships(docs: DataFrame) -> DataFrame:
+    return docs.select(
         F.explode(F.array(F.col("source"), F.lit("archive"))).alias("tenant"), _doc_key(F.col("doc_id")).alias("doc_id")
     )
 

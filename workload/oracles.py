@@ -11,6 +11,8 @@ FEED = "WITH " + S.FEED_SQL
 RAW = "WITH " + RAW_SQL
 ROUTED = "WITH " + S.ROUTED_SQL
 STORED = "WITH " + RAW_SQL + "," + S.STORED_SQL
+#: The same for all documents.
+ARCHIVED = STORED.replace(" WHERE toxic = 1)", ")")
 DECIDED = "WITH " + S.DECIDED_SQL
 t = S.text_of
 
@@ -257,7 +259,7 @@ ORACLES = {
     "language_agreement": LEARNED + """ SELECT lang, held_out, count(*) AS n, CAST(sum(CAST(language = lang AS INT)) AS BIGINT) AS agreeing,
         100 * sum(CAST(language = lang AS INT)) >= 99 * count(*) AS good FROM told JOIN documents USING (doc_id) WHERE lang IS NOT NULL GROUP BY ALL""",
     "language_gate": f"{ROUTED} SELECT seq, target_id, lang3 AS lang, error FROM accepted",
-    "preprocess_chain": f"{STORED} SELECT id AS doc_id, lower(text) AS text, {joined('''['stored', 'quality' || quality, 'seen']''')} AS labels FROM stored",
+    "preprocess_chain": f"{ARCHIVED} SELECT id AS doc_id, lower(text) AS text, {joined('''['stored', 'quality' || coalesce(CAST(quality AS VARCHAR), '?'), 'seen']''')} AS labels FROM stored",
     "corpus_lookup": f"""{STORED} SELECT 'D' || d.doc_id AS doc_id, s.text AS text, CASE WHEN s.id IS NOT NULL THEN 'archive' END AS genre
         FROM documents d LEFT JOIN stored s ON s.id = 'D' || d.doc_id""",
     "corpus_exists": f"""{STORED} SELECT 'D' || doc_id AS doc_id, {flag("'D' || doc_id IN (SELECT id FROM stored)")} AS stored FROM documents""",
@@ -272,7 +274,7 @@ ORACLES = {
     "needs_reannotate": f"""{ON_STORED} SELECT seq, {flag(f'''old_text IS DISTINCT FROM text OR old_title IS DISTINCT FROM
         CASE format WHEN 'news' THEN {t('title')} WHEN 'pulse' THEN coalesce({t('meta.title[0].results[0]')}, '') ELSE {t('extracted_metadata.Title')} END
         OR CASE format WHEN 'news' THEN {t('snippet')} WHEN 'pulse' THEN '' END IS NOT NULL''')} AS differs FROM pairs""",
-    "strip_derived": f"{STORED} SELECT id AS doc_id, 'note-static' AS kept FROM stored",
+    "strip_derived": f"{ARCHIVED} SELECT id AS doc_id, 'note-static' AS kept FROM stored",
     "fold_overrides": f"""{MESSAGES} SELECT target_id, {joined('list_distinct(list(label))')} AS labels, {joined('list_distinct(list(tenant))')} AS tenants,
         max_by(source_uri, seq) FILTER (source_uri IS NOT NULL) AS source_uri, max_by(genre, seq) AS genre,
         {flag('bool_or(run)')} AS run_annotators, max(seq) AS last_seq FROM msg GROUP BY target_id""",
@@ -299,7 +301,7 @@ ORACLES = {
     "tenant_add": f"{DECIDED}, {_MEMBERS} SELECT tenant, id AS doc_id FROM members",
     "ontology_mapping": f"""{STORED}, {ONTOLOGIES}, {STORED_TENANTS} SELECT 'D' || d.doc_id AS doc_id,
         coalesce((SELECT string_agg(tenant || '=' || ont.id, '|' ORDER BY tenant || '=' || ont.id) FROM st JOIN ont USING (tenant) WHERE st.id = 'D' || d.doc_id), '') AS ontologies FROM documents d""",
-    "notify_update": f"""{STORED}, {ONTOLOGIES} SELECT s.id AS key, s.id AS document_id, text, 'archive' AS genre, lang AS first_content,
+    "notify_update": f"""{ARCHIVED}, {ONTOLOGIES} SELECT s.id AS key, s.id AS document_id, text, 'archive' AS genre, lang AS first_content,
         'note-static' AS second_label, ont.id AS ontology FROM stored s LEFT JOIN ont ON ont.tenant = s.source""",
     "notify_annotation": ANNOTATE.replace("raw AS (", "notes AS (").replace("FROM raw)", "FROM notes)") + ", " + RAW_SQL + "," + S.STORED_SQL
         + ", " + ONTOLOGIES + """ SELECT r.doc_id AS key, r.label, ont.id AS ontology FROM results r
@@ -313,7 +315,7 @@ ORACLES = {
         CAST({PROCESSED_MS} AS BIGINT) AS start_ms, CAST({PROCESSED_MS} AS BIGINT) AS end_ms, message, count(*) AS n FROM status GROUP BY ALL""",
     "dup_status": f"""{DECIDED}, {_STATUS} SELECT doc_id, message, count(*) AS n FROM status
         WHERE stage = 'ingestion' AND status = 'FAILURE' GROUP BY ALL""",
-    "thin_view": f"""{STORED} SELECT id AS doc_id, CAST(i AS BIGINT) AS pos, ['note-derived', 'note-static'][i + 1] AS label, lang AS content
+    "thin_view": f"""{ARCHIVED} SELECT id AS doc_id, CAST(i AS BIGINT) AS pos, ['note-derived', 'note-static'][i + 1] AS label, lang AS content
         FROM stored, range(2) r(i)""",
     "dup_json": "SELECT doc_id, 'D' || first_duplicate AS duplicate, '1.00' AS score FROM (" + _similar("documents") + ")",
     "annotator_defs": f"""SELECT label, {_HOST}, port, {flag('size < 40')} AS post_process, 'annotate' AS path,
@@ -330,7 +332,7 @@ ORACLES = {
         CASE WHEN upper(text) = text THEN 'ValueError: all capitals' END AS error FROM documents WHERE length(text) > 0""",
     "tag_values": r"""SELECT doc_id, tag, value FROM (SELECT doc_id, 'E' AS tag, '😀' AS value FROM documents
         UNION ALL SELECT doc_id, 'W', regexp_extract(text, '^\S*') FROM documents)""",
-    "annotation_relabel": f"""{STORED} SELECT id AS doc_id, was, 'x-text' AS label, lang AS text FROM stored, (VALUES ('note-derived'), ('note-static')) v(was)""",
+    "annotation_relabel": f"""{ARCHIVED} SELECT id AS doc_id, was, 'x-text' AS label, lang AS text FROM stored, (VALUES ('note-derived'), ('note-static')) v(was)""",
     "annotation_nonempty": f"{ANNOTATE} SELECT doc_id, label, {flag('kept')} AS kept FROM raw WHERE given",
     "annotation_complete": "SELECT 'D' || doc_id AS doc_id, CAST(3 AS BIGINT) AS done, 'true' AS complete FROM documents WHERE length(text) > 0",
     "annotation_append": f"""{ANNOTATE} SELECT 'D' || d.doc_id AS doc_id, coalesce((SELECT string_agg(label, '|' ORDER BY position) FROM results r

@@ -102,6 +102,12 @@ def stored_docs(spark, sf):
     return stored.select(F.col("document_id").alias("doc_id"), F.struct(*stored.columns).alias("doc"))
 
 
+def archived(spark, sf):
+    """All documents in their stored form as ``(doc_id, doc)``."""
+    stored = _memo("archive", spark, sf, lambda: cut(W.archive(spark, sf)))
+    return stored.select(F.col("document_id").alias("doc_id"), F.struct(*stored.columns).alias("doc"))
+
+
 def ontologies(spark, sf):
     """An ontology per event type of a source's namesake user, versions by event: every source has
     as many versions as the events of the user with its number."""
@@ -306,7 +312,7 @@ def preprocess_chain(spark, sf):
         lambda d: d.withColumn("doc", F.col("doc").withField("extracted_text", F.lower("doc.extracted_text"))),
         lambda d: d.withColumn("doc", F.col("doc").withField("labels", F.array_append("doc.labels", F.lit("seen")))),
     ]
-    done = C.preprocess(stored_docs(spark, sf), steps)
+    done = C.preprocess(archived(spark, sf), steps)
     return done.select("doc_id", F.col("doc.extracted_text").alias("text"), joined(F.col("doc.labels")).alias("labels"))
 
 
@@ -362,7 +368,7 @@ def needs_reannotate(spark, sf):
 
 
 def strip_derived(spark, sf):
-    return stored_docs(spark, sf).select(
+    return archived(spark, sf).select(
         "doc_id", F.array_join(F.transform(D.only_static(F.col("doc.annotations")), lambda a: a["label"]), "|").alias("kept")
     )
 
@@ -488,7 +494,7 @@ def ontology_mapping(spark, sf):
 
 
 def notify_update(spark, sf):
-    notices = O.update_notices(stored_docs(spark, sf), tenants(spark, sf), ontologies(spark, sf))
+    notices = O.update_notices(archived(spark, sf), W.archive_tenants(spark, sf), ontologies(spark, sf))
     j = lambda path: F.get_json_object("value", path)
     return notices.select(
         "key", j("$.document.document_id").alias("document_id"), j("$.document.extracted_text").alias("text"),
@@ -536,7 +542,7 @@ def dup_status(spark, sf):
 
 
 def thin_view(spark, sf):
-    thin = O.thin_view(stored_docs(spark, sf))
+    thin = O.thin_view(archived(spark, sf))
     return thin.select("doc_id", F.posexplode("doc.annotations").alias("pos", "a")).select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("a.label").alias("label"), F.col("a.content").alias("content")
     )
@@ -670,7 +676,7 @@ def tag_values(spark, sf):
 
 def annotation_relabel(spark, sf):
     named = D.relabel(F.col("a"), F.concat(F.lit("x-"), F.col("a.type")))
-    rows = stored_docs(spark, sf).select("doc_id", F.explode("doc.annotations").alias("a"))
+    rows = archived(spark, sf).select("doc_id", F.explode("doc.annotations").alias("a"))
     return rows.select("doc_id", F.col("a.label").alias("was"), named["label"].alias("label"), F.col("a.text").alias("text"))
 
 
