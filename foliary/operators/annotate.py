@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from foliary.functions.documents import (
@@ -79,7 +80,8 @@ class Annotator:
     result), or ``function``, a Python callable on the document's JSON object.
 
     The callable returns an annotation object, returns None for no result, or raises; it is called
-    up to ``retry_count`` more times, with a pause growing by ``retry_pause_ms`` each time.
+    up to ``retry_count`` more times, in rounds over the failed documents of a batch, with a pause growing by
+    ``retry_pause_ms`` before each round.
     """
 
     label: str
@@ -90,22 +92,72 @@ class Annotator:
     retry_pause_ms: int = 1000
 
 
+#: A configuration has a few annotators; more rows than this are no configuration.
+MOST_ANNOTATORS = 1000
+
+
+def annotators_from_defs(
+    defs: DataFrame,
+    columns: Mapping[str, Callable[[Column], Column]] | None = None,
+    functions: Mapping[str, Callable[[dict, Row], dict | None]] | None = None,
+    enabled: str | None = None,
+) -> list[Annotator]:
+    """The annotators that definitions (see :func:`annotator_defs`) and the list of enabled labels ask for, by label.
+
+    What an annotator does is registered under its label: an expression of the document in ``columns``, or in
+    ``functions`` a callable that gets the document's JSON object and the definition (host, port, path). Post-processing
+    and retries come from the definition. A label without either, or defined twice, is an error.
+    """
+    columns, functions = columns or {}, functions or {}
+    rows = enabled_annotators(defs, enabled).orderBy("label").limit(MOST_ANNOTATORS + 1).collect()
+    if len(rows) > MOST_ANNOTATORS:
+        raise ValueError(f"more than {MOST_ANNOTATORS} annotators are defined")
+    made: dict[str, Annotator] = {}
+    for row in rows:
+        if row.label in made:
+            raise ValueError(f"{row.label} is defined twice")
+        if row.label not in columns and row.label not in functions:
+            raise ValueError(f"nothing is registered for the annotator {row.label}")
+        function = functions.get(row.label)
+        made[row.label] = Annotator(
+            row.label, columns.get(row.label),
+            None if function is None or row.label in columns else partial(_defined, function, row),
+            bool(row.post_process), row.retry_count, row.retry_pause_ms)
+    return list(made.values())
+
+
+def _defined(function: Callable[[dict, Row], dict | None], definition: Row, document: dict) -> dict | None:
+    return function(document, definition)
+
+
 _RAW = "doc_id STRING, position INT, label STRING, status STRING, answer STRING, error STRING, attempts INT"
 
 
-def _call(annotator: Annotator, document: dict) -> tuple[str, str | None, str | None, int]:
+def _attempt(annotator: Annotator, document: dict) -> tuple[str, str | None, str | None]:
+    try:
+        answer = annotator.function(document)
+        return (NONE, None, None) if answer is None else (RESULT, json.dumps(answer), None)
+    except Exception as failure:  # an annotator may fail in any way; the document goes on
+        return FAILED, None, f"{type(failure).__name__}: {failure}"
+
+
+def _call_in_rounds(annotators: Sequence[Annotator], documents: list[dict]) -> dict[tuple[int, int], tuple]:
+    """``(document, annotator) → (status, answer, error, attempts)`` for a batch of documents.
+
+    Each round asks again only where an annotator failed and has tries left, after one pause for the whole batch, the
+    longest that any of these annotators wants.
+    """
+    settled: dict[tuple[int, int], tuple] = {}
+    open_ = [(d, i) for d in range(len(documents)) for i in range(len(annotators))]
     attempt = 0
-    while True:
+    while open_:
         attempt += 1
-        try:
-            answer = annotator.function(document)
-            if answer is None:
-                return NONE, None, None, attempt
-            return RESULT, json.dumps(answer), None, attempt
-        except Exception as failure:  # an annotator may fail in any way; the document goes on
-            if attempt > annotator.retry_count:
-                return FAILED, None, f"{type(failure).__name__}: {failure}", attempt
-            time.sleep(annotator.retry_pause_ms * attempt / 1000)
+        if attempt > 1:
+            time.sleep(max(annotators[i].retry_pause_ms for i in {i for _, i in open_}) * (attempt - 1) / 1000)
+        for d, i in open_:
+            settled[d, i] = (*_attempt(annotators[i], documents[d]), attempt)
+        open_ = [k for k in open_ if settled[k][0] == FAILED and attempt <= annotators[k[1]].retry_count]
+    return settled
 
 
 def _settle(rows: DataFrame, annotators: Sequence[Annotator]) -> DataFrame:
@@ -157,12 +209,11 @@ def annotate(documents: DataFrame, annotators: Sequence[Annotator]) -> DataFrame
     if by_function:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                out = []
-                for doc_id, text, body in zip(batch["doc_id"], batch["text"], batch["body"]):
-                    document = json.loads(body)
-                    for a in by_function:
-                        status, answer, error, attempts = _call(a, document)
-                        out.append((doc_id, place[a.label], a.label, status, answer, error, attempts, text))
+                settled = _call_in_rounds(by_function, [json.loads(body) for body in batch["body"]])
+                out = [
+                    (doc_id, place[a.label], a.label, *settled[d, i], text)
+                    for d, (doc_id, text) in enumerate(zip(batch["doc_id"], batch["text"])) for i, a in enumerate(by_function)
+                ]
                 yield pd.DataFrame(out, columns=[
                     "doc_id", "position", "label", "status", "answer", "error", "attempts", "text"
                 ])

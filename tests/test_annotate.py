@@ -144,3 +144,37 @@ def test_document_json_and_back(spark):
     bad = spark.createDataFrame([("{}",), ("x",), ("[1]",)], "j STRING").select(
         document_from_json(F.col("j")).alias("d"), annotation_from_json(F.col("j")).alias("a")).collect()
     assert all(r.d is None and r.a is None for r in bad)
+
+
+def test_annotators_from_definitions(spark):
+    given = spark.createDataFrame([("b", None, 1, True, "x"), ("a", "own", 2, None, None), ("c", None, 3, False, "z")],
+                                  "label STRING, host STRING, port INT, post_process BOOLEAN, path STRING")
+    defs = A.annotator_defs(given, "shared", 2, 0)
+
+    def asked(document, definition):
+        return {"type": "text", "content": f"{definition.host}:{definition.port}/{definition.path} {document['document_id']}"}
+
+    def first(doc):
+        return F.from_json(F.to_json(F.struct(F.lit("text").alias("type"), F.upper(doc["extracted_text"]).alias("text"))), A.ANNOTATION)
+
+    made = A.annotators_from_defs(defs, {"a": first}, {"b": asked, "c": asked}, "b,a")
+    assert [(m.label, m.post_process, m.retry_count) for m in made] == [("a", False, 2), ("b", True, 2)]
+    got = results(spark, ["text"], *made)
+    assert (got["d0", "a"].annotation.text, got["d0", "b"].annotation.text) == ("TEXT", "shared:1/x d0")
+    assert A.annotators_from_defs(defs.where("false")) == []
+    with pytest.raises(ValueError, match="nothing is registered"):
+        A.annotators_from_defs(defs, {"a": first})
+    with pytest.raises(ValueError, match="twice"):
+        A.annotators_from_defs(defs.unionByName(defs.withColumn("port", F.lit(9))), {}, dict.fromkeys("abc", asked))
+
+
+def test_one_pause_a_round(monkeypatch):
+    pauses = []
+    monkeypatch.setattr(A.time, "sleep", pauses.append)
+    bad = A.Annotator("bad", function=failing, retry_count=2, retry_pause_ms=500)
+    slow = A.Annotator("slow", function=failing, retry_count=1, retry_pause_ms=2000)
+    calls = []
+    good = A.Annotator("good", function=calls.append)
+    settled = A._call_in_rounds([bad, good, slow], [{"document_id": str(i)} for i in range(50)])
+    assert pauses == [2.0, 1.0] and len(calls) == 50
+    assert {settled[d, i][3] for d in range(50) for i in (0,)} == {3} and settled[7, 2][3] == 2 and settled[7, 1] == ("none", None, None, 1)

@@ -326,6 +326,8 @@ ORACLES = {
     "annotator_fanout": """SELECT 'D' || doc_id AS doc_id, label, position FROM documents,
         (VALUES ('first-word', CAST(0 AS BIGINT)), ('shouts', 1), ('shape', 2)) v(label, position) WHERE length(text) > 0""",
     "annotate": f"{ANNOTATE} SELECT doc_id, label, status, content FROM results",
+    "annotate_from_defs": f"""{ANNOTATE} SELECT doc_id, lower(r_name) AS label, status, content FROM results
+        JOIN region ON r_regionkey = position WHERE lower(r_name) IN ('africa', 'america', 'asia')""",
     "annotate_retry": r"""SELECT 'D' || doc_id AS doc_id, CASE WHEN upper(text) = text THEN 'failed' WHEN NOT contains(text, chr(10)) THEN 'none' ELSE 'result' END AS status,
         CAST(CASE WHEN upper(text) = text THEN 3 ELSE 1 END AS BIGINT) AS attempts,
         CASE WHEN upper(text) <> text AND contains(text, chr(10)) THEN CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS VARCHAR) END AS words,

@@ -662,6 +662,22 @@ def annotate(spark, sf):
     )
 
 
+def annotate_from_defs(spark, sf):
+    """Annotators named after regions: definitions and the enabled list decide which of the registered ones run."""
+    regions = W.read(spark, sf, "region").select(
+        F.lower("r_name").alias("label"), F.lit(None).cast("string").alias("host"), F.col("r_regionkey").cast("int").alias("port"),
+        (F.col("r_regionkey") == 0).alias("post_process"), F.lit("annotate").alias("path"))
+    registered = {"africa": first_word, "america": shouts, "asia": shape, "europe": shape}
+    made = A.annotators_from_defs(A.annotator_defs(regions, "shared", 6, 1000), registered, enabled="africa,america,asia")
+    return A.annotate(_all_docs(spark, sf), made).select(
+        "doc_id", "label", "status",
+        F.coalesce(
+            F.get("annotation.tags", F.lit(0))["value"], F.array_join("annotation.facets.value", "|"),
+            F.element_at("annotation.dictionary", "lines"),
+        ).alias("content"),
+    )
+
+
 def tag_values(spark, sf):
     """Tags over UTF-16 offsets behind a character outside the basic plane."""
     rows = documents(spark, sf).select("doc_id", F.concat(F.lit("😀 "), "text").alias("text"))
@@ -862,6 +878,7 @@ QUERIES = {
     "annotation_queue": annotation_queue,
     "annotator_fanout": annotator_fanout,
     "annotate": annotate,
+    "annotate_from_defs": annotate_from_defs,
     "annotate_retry": annotate_retry,
     "tag_values": tag_values,
     "annotation_relabel": annotation_relabel,
