@@ -19,12 +19,12 @@ def repaired(spark, texts, lexicon=None):
 
 def test_normalize(spark):
     texts = [
-        "this is an annoying dash －", "this text has no issues", "a ,b  , c", "“q” ‘s’ ―", "so­ft​ly﻿",
+        "the bridge － closed at noon", "plain words stay as they were", "a ,b  , c", "“q” ‘s’ ―", "so­ft​ly﻿",
         "می‌خ", "a‌b", None, "",
     ]
     once = apply(spark, texts, normalize_text)
     assert once == [
-        "this is an annoying dash -", "this text has no issues", "a,b, c", "\"q\" 's' -", "softly",
+        "the bridge - closed at noon", "plain words stay as they were", "a,b, c", "\"q\" 's' -", "softly",
         "می‌خ", "ab", None, "",
     ]
     assert apply(spark, once, normalize_text) == once
@@ -32,12 +32,12 @@ def test_normalize(spark):
 
 def test_ligatures(spark):
     texts = [
-        "this is a ligature extraction error: confl ict", "an annoying dash －, and a ligature error: confl ict",
-        "Confl ict (confl ict), off ice staff ice", "this text has no issues", None, "ends with ff", "ff fl ow",
+        "after the storm the confl ict went on", "two marks － here: a confl ict",
+        "Confl ict (confl ict), off ice staff ice", "plain words stay as they were", None, "ends with ff", "ff fl ow",
     ]
     assert repaired(spark, texts) == [
-        "this is a ligature extraction error: conflict", "an annoying dash －, and a ligature error: conflict",
-        "Conflict (conflict), office staff ice", "this text has no issues", None, "ends with ff", "ff flow",
+        "after the storm the conflict went on", "two marks － here: a conflict",
+        "Conflict (conflict), office staff ice", "plain words stay as they were", None, "ends with ff", "ff flow",
     ]
 
 
