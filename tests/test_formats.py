@@ -17,9 +17,9 @@ CODES = [
     ("subject", "NCAT", "Content Types"),
 ]
 NEWS = {
-    "an": "A1", "title": "T", "snippet": "Lorem", "body": "Ipsum", "byline": "By Gene Epstein",
-    "publication_date": "1536796800000", "publication_datetime": "1536796800000",
-    "modification_datetime": "1536847807000", "region_codes": ",usa,balkz,",
+    "an": "A1", "title": "T", "snippet": "Short", "body": "Long", "byline": "By Ada Rowan",
+    "publication_date": "1546387200000", "publication_datetime": "1546387200000",
+    "modification_datetime": "1546434000000", "region_codes": ",usa,balkz,",
     "industry_codes": ",i1300006,isptech,", "subject_codes": "", "language_code": "en",
     "publisher_name": "publisher", "document_type": "article",
 }
@@ -57,11 +57,11 @@ def test_news_document(spark, lookup):
     [row] = convert(spark, [NEWS], lookup)
     doc, meta = row.doc, row.doc.extracted_metadata
     assert (row.format, row.error, row.target_id) == ("news", None, "k")
-    assert (doc.document_id, doc.source_uri, doc.extracted_text) == ("k", "A1", "Lorem\nIpsum")
+    assert (doc.document_id, doc.source_uri, doc.extracted_text) == ("k", "A1", "Short\nLong")
     assert (doc.capture_source, doc.content_type, meta.classification, meta.producer) == (
         "AutoCollection", "application/json", "UNCLASSIFIED", "Dow Jones")
-    assert (str(meta.creation_date), str(meta.modification_date)) == ("2018-09-13", "2018-09-13")
-    assert (meta.author, meta.description, meta.url, meta.subject, meta.creator) == ("Gene Epstein", "Lorem", "", "", "")
+    assert (str(meta.creation_date), str(meta.modification_date)) == ("2019-01-02", "2019-01-02")
+    assert (meta.author, meta.description, meta.url, meta.subject, meta.creator) == ("Ada Rowan", "Short", "", "", "")
     assert {a.label: [f.value for f in a.facets] for a in doc.annotations} == {
         "factiva-regions": ["United States", "Balkan States"],
         "factiva-industries": ["Pipeline Transportation", "Sports Technologies"],
