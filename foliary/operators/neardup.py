@@ -9,7 +9,8 @@ number of comparisons linear in its size:
 * shingles that occur in one class only cannot join anything, and a class that does not share
   enough shingles with others is out before any pair is formed;
 * the rest join on the rarest shingles of each set (prefix filtering; the shorter set of a pair
-  needs a shorter prefix), under the length condition the threshold implies;
+  needs a shorter prefix), under the length condition the threshold implies and where the shingles from
+  this one on can still make up the overlap the pair needs (positional filtering);
 * on each shingle, everyone is compared with the ``width`` earliest classes first. A class that
   finds its earliest copy there is settled on that shingle, so only what is left is compared with
   the remainder of the list. No candidate is dropped.
@@ -130,8 +131,9 @@ def _needed_by_shorter(n: Column, percent: int) -> Column:
 @dataclass(frozen=True)
 class ClassTokens:
     """``sets``: (cls, n, shared) of classes that may match at all, ``shared`` being the sorted
-    shingles they have in common with others. ``tokens``: (shingle, cls, n, short) rows to join
-    on; ``short`` marks those in the shorter prefix."""
+    shingles they have in common with others. ``tokens``: (shingle, cls, n, rest, short) rows to join
+    on; ``rest`` counts the set's shingles from this one on in the common order, ``short`` marks those in
+    the shorter prefix."""
 
     sets: DataFrame
     tokens: DataFrame
@@ -167,6 +169,7 @@ def class_tokens(classes: DataFrame, settings: NearDupSettings, asked: DataFrame
         )
         .select(
             F.col("col.shingle").alias("shingle"), "cls", "n",
+            (F.col("n") - F.col("unshared") - F.col("pos")).alias("rest"),
             (F.col("unshared") + F.col("pos") + 1 <= F.col("short_reach")).alias("short"),
         )
     )
@@ -196,10 +199,23 @@ def _lanes(tokens: DataFrame, asking: bool) -> DataFrame:
 
 
 def _fits(percent: int) -> Column:
+    """Whether two sets that share this shingle can be near copies by their sizes and its places in them.
+
+    On the first shingle that a pair shares, all it shares lies from there on in both sets. So a pair that could
+    reach the threshold passes there, and may fail on its later shingles without being lost.
+    """
     n, m = F.col("n"), F.col("asker_n")
-    return (F.col("cls") != F.col("asker")) & F.when(
-        F.col("lane") == 1, (n <= m) & (100 * n >= percent * m)
-    ).otherwise((m < n) & (100 * m >= percent * n))
+    sizes = F.when(F.col("lane") == 1, (n <= m) & (100 * n >= percent * m)).otherwise(
+        (m < n) & (100 * m >= percent * n)
+    )
+    enough = F.lit(100 + percent).cast("bigint") * F.least("rest", "asker_rest") >= F.lit(percent).cast("bigint") * (n + m)
+    return (F.col("cls") != F.col("asker")) & sizes & enough
+
+
+def _candidates(asking: DataFrame, found_by: DataFrame, percent: int, extra: Column | None = None) -> DataFrame:
+    """Pairs (asker, cls) that share a shingle on which they fit."""
+    fits = _fits(percent) if extra is None else _fits(percent) & extra
+    return asking.join(found_by.hint(MERGE), ["shingle", "lane"]).where(fits).select("asker", "cls").distinct()
 
 
 def two_earliest(entries: DataFrame, key: str) -> DataFrame:
@@ -247,11 +263,8 @@ def _beyond_leading(
         asking.drop("last_ask").join(rest_from.hint(MERGE), ["shingle", "lane"]).join(limits, "asker")
         .where(F.col("rest_seq") < F.col("until"))
     )
-    return (
-        open_tokens.join(found_by.drop("short").hint(MERGE), ["shingle", "lane"])
-        .where(_fits(percent) & (F.col("seq1") >= F.col("rest_seq")) & (F.col("seq1") < F.col("until")))
-        .select("asker", "cls").distinct()
-    )
+    open_ = (F.col("seq1") >= F.col("rest_seq")) & (F.col("seq1") < F.col("until"))
+    return _candidates(open_tokens, found_by.drop("short"), percent, open_)
 
 
 def earliest_hits(
@@ -268,7 +281,7 @@ def earliest_hits(
 
     found_by = _lanes(tokens.tokens.join(holders.select("cls", "seq1"), "cls"), asking=False)
     asking = _lanes(
-        tokens.tokens.select("shingle", F.col("cls").alias("asker"), F.col("n").alias("asker_n"), "short")
+        tokens.tokens.select("shingle", F.col("cls").alias("asker"), F.col("n").alias("asker_n"), F.col("rest").alias("asker_rest"), "short")
         .join(askers, "asker"),
         asking=True,
     ).drop("short")
@@ -281,11 +294,7 @@ def earliest_hits(
     rest_from = ranked.where(F.col("_rank") > settings.width).select(
         "shingle", "lane", F.col("seq1").alias("rest_seq")
     )
-    pairs = (
-        asking.join(leading.hint(MERGE), ["shingle", "lane"])
-        .where(_fits(percent) & (F.col("seq1") < F.col("last_ask")))
-        .select("asker", "cls").distinct()
-    )
+    pairs = _candidates(asking, leading, percent, F.col("seq1") < F.col("last_ask"))
     found = cut(_verified(pairs, tokens, percent))
 
     own = _as_entries(holders, "cls").withColumnRenamed("cls", "asker").join(
@@ -349,13 +358,10 @@ def copies_of(asked: DataFrame, docs: DataFrame, settings: NearDupSettings | Non
     tokens = class_tokens(classes, settings, asked=askers)
     asking = _lanes(
         tokens.tokens.join(askers, "cls", "left_semi")
-        .select("shingle", F.col("cls").alias("asker"), F.col("n").alias("asker_n"), "short"),
+        .select("shingle", F.col("cls").alias("asker"), F.col("n").alias("asker_n"), F.col("rest").alias("asker_rest"), "short"),
         asking=True,
     ).drop("short")
-    pairs = (
-        asking.join(_lanes(tokens.tokens, asking=False).drop("short").hint(MERGE), ["shingle", "lane"])
-        .where(_fits(percent)).select("asker", "cls").distinct()
-    )
+    pairs = _candidates(asking, _lanes(tokens.tokens, asking=False).drop("short"), percent)
     same = askers.select(F.col("cls").alias("asker"), "cls")
     reached = _verified(pairs, tokens, percent).unionByName(same)
     return (

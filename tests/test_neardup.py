@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from foliary.operators import neardup
 from foliary.operators.neardup import NearDupSettings, copies_of, near_duplicates, shingle_sets
 from foliary.plans.ingest import check_duplicates
 
@@ -164,6 +165,22 @@ def test_candidates_come_from_rare_shingles_only(spark):
     assert near_duplicates(docs, NearDupSettings(window=3, max_words=None)).count() == 0
 
 
+def test_a_common_passage_brings_no_pairs(spark):
+    """Short and long texts around one passage: they meet on its shingles, and places tell that none is a copy."""
+    def candidates(size):
+        rows = []
+        for i in range(size):
+            rows.append((2 * i, 104, [*range(99), *(1000 + 100 * i + j for j in range(5))]))
+            rows.append((2 * i + 1, 110, [*range(99), *(1050 + 100 * i + j for j in range(11))]))
+        classes = spark.createDataFrame(rows, "cls BIGINT, n INT, shingles ARRAY<BIGINT>")
+        tokens = neardup.class_tokens(classes, NearDupSettings()).tokens
+        asking = neardup._lanes(tokens.selectExpr("shingle", "cls AS asker", "n AS asker_n", "rest AS asker_rest", "short"), True)
+        found = neardup._lanes(tokens, False).drop("short")
+        met = asking.drop("short").join(found, ["shingle", "lane"]).where("asker_n <> n").count()
+        return met, neardup._candidates(asking.drop("short"), found, 90).where("asker % 2 <> cls % 2").count()
+    assert candidates(10) == (200, 0) and candidates(20) == (800, 0)  # each pair asks both ways
+
+
 def test_stored_index_reads_asked_slots_only(spark, tmp_path):
     """Many batches, merged pieces, and a probe that opens the slots of its own shingles only."""
     from foliary.operators.probe import SLOTS, list_rows
