@@ -8,6 +8,9 @@ from pyspark.sql.window import Window as W
 
 from foliary.schemas import ANNOTATION
 
+#: Fields of a stored document that may change after its first batch.
+CHANGING = ("labels", "source_uri", "extracted_metadata", "annotations", "tenants")
+
 
 def _empty_names() -> Column:
     return F.array().cast("array<string>")
@@ -102,6 +105,26 @@ def search_upsert(view: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+def merge_parts(parts: DataFrame, order: str) -> DataFrame:
+    """Documents from parts ``(document_id, …)``: of every field the value that the newest part by ``order`` sets.
+
+    A part leaves a field alone by a null; an empty list is a value. Of one document no two parts may have equal
+    ``order``.
+    """
+    fields = [c for c in parts.columns if c not in ("document_id", order)]
+    merged = parts.groupBy("document_id").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in fields])
+    return merged.select(*[c for c in parts.columns if c != order])
+
+
+def search_part(documents: DataFrame, whole: Column) -> DataFrame:
+    """Rows of the search view as parts: all fields where ``whole``, else those that updates and annotators change."""
+    kept = ("document_id", *CHANGING)
+    return documents.select(*[
+        F.col(c) if c in kept else F.when(whole, F.col(c)).alias(c) for c in documents.columns
+    ])
+
+
 def search_add_annotations(view: DataFrame, additions: DataFrame) -> DataFrame:
     """Append annotations in the view; a document without any gets a new list."""
     return append_annotations(view, additions)

@@ -19,7 +19,7 @@ from foliary.operators.annotate import (
 )
 from foliary.operators.ligatures import DEFAULT_WORDS, ArrivalLexicon, Lexicon, word_sightings
 from foliary.operators.routing import read_events
-from foliary.operators.tables import append_annotations
+from foliary.operators.tables import append_annotations, search_part
 from foliary.plans.core import Preprocessor, apply_decisions, tenant_additions
 from foliary.plans.ingest import Decisions, IngestSettings, decide
 from foliary.session import cut
@@ -77,7 +77,7 @@ def run_batch(
     lexicon = ArrivalLexicon(
         Lexicon(settings.lexicon_texts, settings.lexicon_min_docs, tuple(settings.lexicon_words)), arriving,
         store.read("lexicon", batch) if batch > 0 else None, settings.lexicon_min_docs)
-    changed = cut(apply_decisions(decisions, corpus, lexicon, settings.preprocessors))
+    changed = cut(apply_decisions(decisions, lexicon, settings.preprocessors))
     memberships = cut(tenant_additions(decisions))
     now_ms = F.unix_millis(processed_at)
 
@@ -117,7 +117,9 @@ def run_batch(
     if decisions.index_rows is not None:
         store.add_to_index(decisions.index_rows, batch, settings.ingest.dedup)
     view = changed.select(F.col("document_id").alias("doc_id"), F.struct(*changed.columns).alias("doc"))
-    store.append("search_view", O.search_rows(view, all_tenants), batch)
+    fresh = decisions.new_documents.select(F.col("doc_id").alias("document_id"), F.lit(True).alias("_new"))
+    parts = O.search_rows(view, all_tenants).join(fresh, "document_id", "left")
+    store.append("search_parts", search_part(parts, F.col("_new").isNotNull()), batch)
     store.append("corpus", changed, batch)
     return BatchResult(decisions, changed, rejected)
 

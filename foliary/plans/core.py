@@ -13,7 +13,7 @@ from foliary.functions.text import normalize_text
 from foliary.operators.fold import fold_overrides
 from foliary.operators.ligatures import ArrivalLexicon, Lexicon, repair_ligatures
 from foliary.operators.tables import upsert
-from foliary.plans.ingest import Corpus, Decisions, stored_documents
+from foliary.plans.ingest import Decisions
 
 Preprocessor = Callable[[DataFrame], DataFrame]
 
@@ -64,14 +64,14 @@ def core_update(documents: DataFrame, folded: DataFrame) -> DataFrame:
 
 
 def apply_decisions(
-    decisions: Decisions, corpus: Corpus, lexicon: Lexicon | ArrivalLexicon, steps: Sequence[Preprocessor] = ()
+    decisions: Decisions, lexicon: Lexicon | ArrivalLexicon, steps: Sequence[Preprocessor] = ()
 ) -> DataFrame:
     """Rows of the corpus table a batch adds or replaces, in the corpus schema.
 
     A NEW document that receives overrides later in the batch gets them, too.
     """
     folded = fold_overrides(decisions.messages)
-    rows = stored_documents(corpus, folded.select("target_id"))
+    rows = decisions.stored_targets
     stored = rows.select(F.col("document_id").alias("doc_id"), F.struct(*rows.columns).alias("doc"))
     fresh = core_new(decisions.new_documents.select("doc_id", "doc", "seq"), lexicon, steps).select("doc_id", "doc")
     return core_update(stored.unionByName(fresh), folded).select("doc.*")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,15 +37,30 @@ DEDUPLICATION = "deduplication"
 NO_TEXT = "deduplication failed - no text"
 ORIGINAL_NOT_STORED = "original not stored"
 
-# The stored documents: a corpus frame, or a function that gives those with the asked ids
-# (``document_id``) and can so look up a large table without ranking all of its versions.
-Corpus = DataFrame | Callable[[DataFrame], DataFrame]
+class Lookup(Protocol):
+    """Stored documents by id, for tables too large to be read (see :class:`foliary.sources.store.StoredCorpus`)."""
+
+    def known(self, ids: DataFrame) -> DataFrame:
+        """``(document_id, …)`` of those ``ids`` (document_id) that are stored."""
+
+    def __call__(self, ids: DataFrame) -> DataFrame:
+        """Rows of the stored documents among ``ids``, in the corpus schema."""
+
+
+Corpus = DataFrame | Lookup
 
 
 def stored_documents(corpus: Corpus, ids: DataFrame) -> DataFrame:
     """Rows of the corpus whose ``document_id`` is the first column of ``ids``."""
     asked = ids.toDF("document_id").distinct()
-    return corpus(asked) if callable(corpus) else corpus.join(asked, "document_id", "left_semi")
+    return corpus.join(asked, "document_id", "left_semi") if isinstance(corpus, DataFrame) else corpus(asked)
+
+
+def stored_ids_of(corpus: Corpus, ids: DataFrame) -> DataFrame:
+    """``(document_id)`` of the first column of ``ids`` that are stored, without reading documents."""
+    asked = ids.toDF("document_id").distinct()
+    found = corpus.join(asked, "document_id", "left_semi") if isinstance(corpus, DataFrame) else corpus.known(asked)
+    return found.select("document_id")
 
 
 @dataclass(frozen=True)
@@ -134,12 +150,14 @@ class Decisions:
     target_change (UPDATE/NOOP of the original a duplicate's overrides went to), operation, message,
     run_annotators, overrides. ``messages``: (target_id, seq, overrides, change) applied to
     stored documents. ``new_documents``: (seq, doc_id, doc, overrides), overrides merged into doc.
+    ``stored_targets``: the stored documents among the messages' targets, in the corpus schema.
     ``index_rows``: additions to the shingle index.
     """
 
     events: DataFrame
     messages: DataFrame
     new_documents: DataFrame
+    stored_targets: DataFrame
     index_rows: DataFrame | None
 
 
@@ -153,7 +171,7 @@ def decide(
     """Decide all events of a batch (see :func:`foliary.operators.routing.read_events`)."""
     settings = settings or IngestSettings()
     stored_ids = cut(
-        stored_documents(corpus, accepted.select("target_id")).select(F.col("document_id").alias("target_id"))
+        stored_ids_of(corpus, accepted.select("target_id")).toDF("target_id")
     )
     slim = accepted.select("seq", "doc_id", "target_id", "overrides", "error")
     events = slim.join(stored_ids.withColumn("_stored", F.lit(True)), "target_id", "left").withColumn(
@@ -186,13 +204,13 @@ def decide(
     # A duplicate's overrides go to its earliest match when that one is stored by then.
     duplicate = F.col("outcome") == "DUPLICATE"
     originals = (
-        stored_documents(corpus, placed.where(duplicate).select("hit_id"))
+        stored_ids_of(corpus, placed.where(duplicate).select("hit_id"))
         .select(F.col("document_id").alias("hit_id"), F.lit(-1).cast("bigint").alias("since"))
         .unionByName(first_new.select(F.col("target_id").alias("hit_id"), F.col("new_seq").alias("since")))
     )
     # Only duplicates take part in the join: the others have no match to look up.
     nowhere = F.lit(None).cast("string")
-    routed = (
+    routed = cut(
         placed.where(duplicate).join(originals, "hit_id", "left")
         .withColumn("_applies_to", F.when(F.col("since") < F.col("seq"), F.col("hit_id"))).drop("since")
         .unionByName(placed.where(~duplicate).withColumn(
@@ -208,9 +226,11 @@ def decide(
         .where("error is null")
         .select("seq", accepted["target_id"].alias("doc_id"), merge_overrides(F.col("doc"), F.col("overrides")).alias("doc"), "overrides")
     )
+    # the only read of stored documents: those that got a message
+    stored_targets = land(stored_documents(corpus, messages.select("target_id")))
     changes = cut(
         messages.join(
-            change_log(messages, target_state(messages, corpus, tenant_docs, new_documents)).select("target_id", "seq", "change"),
+            change_log(messages, target_state(messages, stored_targets, tenant_docs, new_documents)).select("target_id", "seq", "change"),
             ["target_id", "seq"],
         )
     )
@@ -231,11 +251,11 @@ def decide(
             "overrides",
         )
     )
-    return Decisions(cut(decided), changes, new_documents, check.index_rows)
+    return Decisions(cut(decided), changes, new_documents, stored_targets, check.index_rows)
 
 
 def target_state(
-    messages: DataFrame, corpus: Corpus, tenant_docs: DataFrame, new_documents: DataFrame
+    messages: DataFrame, stored_targets: DataFrame, tenant_docs: DataFrame, new_documents: DataFrame
 ) -> DataFrame:
     """State of every message target before the batch's first message: labels, tenants, source URI, genre."""
     targets = messages.select("target_id").distinct()
@@ -244,7 +264,7 @@ def target_state(
     def or_none(column: str) -> Column:
         return F.coalesce(F.col(column), names)
 
-    stored = stored_documents(corpus, targets).select(
+    stored = stored_targets.select(
         F.col("document_id").alias("target_id"), "labels", "source_uri",
         F.col("extracted_metadata.stated_genre").alias("genre"), names.alias("given"),
     )

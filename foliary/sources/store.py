@@ -3,24 +3,28 @@
 Each batch writes its rows to a folder of its own (``<table>/batch=<id>``), so repeating a batch
 after a failure replaces exactly its own rows, and no folder is read while it is written. Reading
 "as of" a batch leaves out that batch and later ones.
+
+The corpus and the search parts are kept in ``BUCKETS`` folders by a hash of the document's id, next to a slim table
+``versions`` that says which batches wrote a document. A lookup asks that table first, in the buckets of its
+own ids only, and then reads the rows it found from their buckets and batches; versions are never ranked as whole rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from foliary.operators.neardup import NearDupSettings
+from foliary.operators.tables import merge_parts
 from foliary.schemas import CORPUS, DEAD_LETTER, STATUS, TENANT_DOCS
+from foliary.session import cut
 from foliary.sources.index import PIECES, StoredIndex
 
 TABLES = {
     "corpus": CORPUS,
-    "search_view": f"{CORPUS}, tenants ARRAY<STRING>",
+    "versions": "document_id STRING",
+    "search_parts": f"{CORPUS}, tenants ARRAY<STRING>",
     "tenant_docs": TENANT_DOCS,
     "index_pieces": PIECES,
     "lexicon": "word STRING, docs BIGINT",
@@ -35,6 +39,16 @@ TABLES = {
     ),
 }
 
+#: Folders per batch of the tables that are looked up by document.
+BUCKETS = 64
+BUCKETED = ("corpus", "versions", "search_parts")
+#: A lookup that finds its rows in more batches than this reads all of them.
+MOST_BATCHES = 1000
+
+
+def bucket_of(document_id: str = "document_id") -> Column:
+    return F.pmod(F.xxhash64(document_id), F.lit(BUCKETS)).cast("int")
+
 
 class CorpusStore:
     """All tables of one corpus under ``root``, a folder every executor can reach."""
@@ -49,7 +63,16 @@ class CorpusStore:
     def append(self, table: str, rows: DataFrame, batch: int) -> None:
         """Write a batch's rows; a repeated batch replaces its earlier attempt."""
         columns = [f.name for f in self._empty(table).schema.fields]
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self._folder(table)}/batch={batch}")
+        rows = rows.select(*columns)
+        path = f"{self._folder(table)}/batch={batch}"
+        if table not in BUCKETED:
+            rows.write.mode("overwrite").parquet(path)
+            return
+        rows = rows.withColumn("bucket", bucket_of())
+        rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        if table == "corpus":  # by what was written, so the two agree
+            written = self.spark.read.schema(f"{TABLES[table]}, bucket INT").parquet(path)
+            self.append("versions", written, batch)
 
     def number(self, origin: str) -> int:
         """The batch number of an origin, such as a stream's checkpoint and micro-batch id.
@@ -72,36 +95,31 @@ class CorpusStore:
         return self.spark.createDataFrame([], TABLES[table])
 
     def read(self, table: str, before: int | None = None) -> DataFrame:
-        """All rows of a table with their ``batch``, up to but without batch ``before``."""
+        """All rows of a table with their ``batch`` (and ``bucket``), up to but without batch ``before``."""
         try:
-            rows = self.spark.read.schema(f"{TABLES[table]}, batch BIGINT").parquet(self._folder(table))
+            keys = "batch BIGINT, bucket INT" if table in BUCKETED else "batch BIGINT"
+            rows = self.spark.read.schema(f"{TABLES[table]}, {keys}").parquet(self._folder(table))
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self._empty(table).withColumn("batch", F.lit(None).cast("bigint"))
+            none = self._empty(table).withColumn("batch", F.lit(None).cast("bigint"))
+            return none.withColumn("bucket", F.lit(None).cast("int")) if table in BUCKETED else none
         return rows if before is None else rows.where(F.col("batch") < before)
 
     def corpus(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
-        """Newest version of every stored document; with ``ids`` (document_id) of those only.
-
-        The ids are matched before versions are ranked, so only the asked documents are shuffled.
-        """
-        return self._newest("corpus", before, ids)
+        """Newest version of every stored document; with ``ids`` (document_id) of those only."""
+        return StoredCorpus(self, before)(ids)
 
     def search_view(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
-        """The documents with all their annotations and tenants, as of the newest batch that touched them."""
-        return self._newest("search_view", before, ids)
-
-    def _newest(self, table: str, before: int | None, ids: DataFrame | None) -> DataFrame:
-        rows = self.read(table, before)
+        """The documents with all their annotations and tenants, each field as the newest batch that set it left it."""
+        parts = self.read("search_parts", before)
         if ids is not None:
-            rows = rows.join(ids, "document_id", "left_semi")
-        newest = W.partitionBy("document_id").orderBy(F.col("batch").desc())
-        return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", "batch")
+            parts = asked_buckets(parts, ids).join(ids, "document_id", "left_semi")
+        return merge_parts(parts.drop("bucket"), "batch")
 
-    def stored(self, before: int | None = None) -> Callable[[DataFrame], DataFrame]:
+    def stored(self, before: int | None = None) -> StoredCorpus:
         """Lookup of stored documents by id, as of a batch."""
-        return lambda ids: self.corpus(before, ids)
+        return StoredCorpus(self, before)
 
     def tenant_docs(self, before: int | None = None) -> DataFrame:
         return self.read("tenant_docs", before).drop("batch").distinct()
@@ -119,10 +137,43 @@ class CorpusStore:
         fresh = CorpusStore(self.spark, target_root)
         batch = fresh.number(f"compacted from {self.root}")
         fresh.append("corpus", self.corpus(), batch)
-        fresh.append("search_view", self.search_view(), batch)
+        fresh.append("search_parts", self.search_view(), batch)
         fresh.append("tenant_docs", self.tenant_docs(), batch)
         fresh.append("lexicon", self.read("lexicon").groupBy("word").agg(F.sum("docs").alias("docs")), batch)
         index = self.shingle_index()
         for window, percent in index.laws:
             fresh.add_to_index(index.rows(), batch, NearDupSettings(window=window, threshold=percent))
         return fresh
+
+
+def asked_buckets(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` in the buckets that hold the asked ids; a condition on folders, so others are not opened."""
+    buckets = [r.bucket for r in ids.select(bucket_of().alias("bucket")).distinct().collect()]
+    return rows.where(F.col("bucket").isin(buckets)) if len(buckets) < BUCKETS else rows
+
+
+class StoredCorpus:
+    """The documents of a store as of a batch: which are stored (``known``), and their newest rows (a call)."""
+
+    def __init__(self, store: CorpusStore, before: int | None = None):
+        self.store, self.before = store, before
+
+    def known(self, ids: DataFrame | None = None) -> DataFrame:
+        """``(document_id, batch, bucket)``: the batch that wrote the newest version; ``ids`` as in a call."""
+        versions = self.store.read("versions", self.before)
+        if ids is not None:
+            versions = asked_buckets(versions, ids).join(ids, "document_id", "left_semi")
+        return versions.groupBy("document_id", "bucket").agg(F.max("batch").alias("batch"))
+
+    def __call__(self, ids: DataFrame | None = None) -> DataFrame:
+        """Newest rows of the documents ``ids`` (document_id), or of all, in the corpus schema."""
+        rows = self.store.read("corpus", self.before)
+        places = self.known(ids)
+        if ids is not None:
+            places = cut(places)
+            found = places.agg(F.collect_set("bucket").alias("buckets"), F.slice(
+                F.collect_set("batch"), 1, MOST_BATCHES + 1).alias("batches")).first()
+            rows = rows.where(F.col("bucket").isin(found.buckets))
+            if len(found.batches) <= MOST_BATCHES:
+                rows = rows.where(F.col("batch").isin(found.batches))
+        return rows.join(places, ["document_id", "batch", "bucket"], "left_semi").drop("batch", "bucket")

@@ -76,7 +76,7 @@ def test_stored_document(spark):
 def test_duplicate_routes_its_overrides(spark):
     d, corpus, _ = run(spark, [event("a", TEXT), event("b", TEXT, labels=["x"], genre="g"), event("c", TEXT, genre="g"), event("b", TEXT)])
     assert outcomes(d) == [("NEW", None, None), ("DUPLICATE", "a", "UPDATE"), ("DUPLICATE", "a", "NOOP"), ("DUPLICATE", "a", "UPDATE")]
-    [doc] = C.apply_decisions(d, corpus, Lexicon()).collect()
+    [doc] = C.apply_decisions(d, Lexicon()).collect()
     assert (doc.document_id, doc.labels, doc.extracted_metadata.stated_genre) == ("a", ["x"], "unspecified")
     assert {r.key: json.loads(r.value) for r in O.duplicate_notices(d.events.where("seq = 1")).collect()} == {
         "b": {"doc_id": "b", "duplicated_docs": ["a"]}}
@@ -131,17 +131,17 @@ def test_core_processing(spark):
     d, corpus, tenants = run(
         spark, [event("n", "dash － confl ict " + OTHER, tenants=["t"]), event("a", OTHER, reannotate=True, labels=["1", "2"], source_uri="new")],
         ("a", TEXT, ["1"]))
-    docs = {r.document_id: r for r in C.apply_decisions(d, corpus, Lexicon()).collect()}
+    docs = {r.document_id: r for r in C.apply_decisions(d, Lexicon()).collect()}
     assert docs["n"].extracted_text.startswith("dash - conflict alpha")
     assert [a.label for a in docs["n"].annotations] == ["d", "s"]
     assert (docs["a"].extracted_text, docs["a"].source_uri, docs["a"].labels) == (TEXT, "new", ["label-3", "1", "2"])
-    after = C.corpus_after(corpus, C.apply_decisions(d, corpus, Lexicon()))
+    after = C.corpus_after(corpus, C.apply_decisions(d, Lexicon()))
     assert after.count() == 2
 
 
 def test_update_strips_derived_annotations(spark):
     d, corpus, _ = run(spark, [event("a", TEXT), event("a", TEXT, reannotate=True)])
-    [doc] = C.apply_decisions(d, corpus, Lexicon()).collect()
+    [doc] = C.apply_decisions(d, Lexicon()).collect()
     assert [a.label for a in doc.annotations] == ["s"]
 
 

@@ -473,7 +473,7 @@ def core_update(spark, sf):
 
 
 def corpus_upsert(spark, sf):
-    changed = C.apply_decisions(decisions(spark, sf), corpus(spark, sf), _lexicon(spark, sf))
+    changed = C.apply_decisions(decisions(spark, sf), _lexicon(spark, sf))
     after = C.corpus_after(corpus(spark, sf), changed)
     return after.select(
         "document_id", joined(F.col("labels")).alias("labels"), "source_uri",
