@@ -141,14 +141,18 @@ def _attempt(annotator: Annotator, document: dict) -> tuple[str, str | None, str
         return FAILED, None, f"{type(failure).__name__}: {failure}"
 
 
-def _call_in_rounds(annotators: Sequence[Annotator], documents: list[dict]) -> dict[tuple[int, int], tuple]:
+def _call_in_rounds(
+    annotators: Sequence[Annotator], documents: list[dict], asked: list[Sequence[str] | None]
+) -> dict[tuple[int, int], tuple]:
     """``(document, annotator) → (status, answer, error, attempts)`` for a batch of documents.
 
+    ``asked`` names a document's annotators; None stands for all.
+
     Each round asks again only where an annotator failed and has tries left, after one pause for the whole batch, the
     longest that any of these annotators wants.
     """
     settled: dict[tuple[int, int], tuple] = {}
-    open_ = [(d, i) for d in range(len(documents)) for i in range(len(annotators))]
+    open_ = [(d, i) for d, names in enumerate(asked) for i, a in enumerate(annotators) if names is None or a.label in names]
     attempt = 0
     while open_:
         attempt += 1
@@ -181,14 +185,17 @@ def _settle(rows: DataFrame, annotators: Sequence[Annotator]) -> DataFrame:
     )
 
 
-def annotate(documents: DataFrame, annotators: Sequence[Annotator]) -> DataFrame:
+def annotate(documents: DataFrame, annotators: Sequence[Annotator], asked: str | None = None) -> DataFrame:
     """Run annotators on ``(doc_id, doc)``; documents without text are left out.
 
+    ``asked`` is a column of ``documents``, the labels of the annotators to run on a document; null stands for all.
+
     Result, one row per document and annotator: doc_id, position, label, status (result, none,
     failed), annotation, error, attempts. Expression annotators of all kinds are evaluated in one
     pass over the documents, callables in one ``mapInPandas`` pass.
     """
-    ready = annotatable(documents)
+    names = F.lit(None).cast("array<string>") if asked is None else F.col(asked)
+    ready = annotatable(documents).select("doc_id", "doc", names.alias("asked"))
     parts = []
     place = {a.label: i for i, a in enumerate(annotators)}
     by_column = [a for a in annotators if a.column is not None]
@@ -200,7 +207,8 @@ def annotate(documents: DataFrame, annotators: Sequence[Annotator]) -> DataFrame
             )
             for a in by_column
         ])
-        evaluated = ready.select("doc_id", F.col("doc.extracted_text").alias("text"), F.inline(rows))
+        wanted = F.filter(rows, lambda r: F.col("asked").isNull() | F.array_contains("asked", r["label"]))
+        evaluated = ready.select("doc_id", F.col("doc.extracted_text").alias("text"), F.inline(wanted))
         parts.append(_settle(evaluated.withColumns({
             "status": F.when(F.col("annotation").isNull(), NONE).otherwise(RESULT),
             "error": F.lit(None).cast("string"), "attempts": F.lit(1),
@@ -209,17 +217,18 @@ def annotate(documents: DataFrame, annotators: Sequence[Annotator]) -> DataFrame
     if by_function:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                settled = _call_in_rounds(by_function, [json.loads(body) for body in batch["body"]])
+                settled = _call_in_rounds(by_function, [json.loads(body) for body in batch["body"]], list(batch["asked"]))
                 out = [
                     (doc_id, place[a.label], a.label, *settled[d, i], text)
                     for d, (doc_id, text) in enumerate(zip(batch["doc_id"], batch["text"])) for i, a in enumerate(by_function)
+                    if (d, i) in settled
                 ]
                 yield pd.DataFrame(out, columns=[
                     "doc_id", "position", "label", "status", "answer", "error", "attempts", "text"
                 ])
 
         sent = ready.select(
-            "doc_id", F.col("doc.extracted_text").alias("text"), document_to_json(F.col("doc")).alias("body")
+            "doc_id", F.col("doc.extracted_text").alias("text"), document_to_json(F.col("doc")).alias("body"), "asked"
         )
         answered = sent.mapInPandas(run, _RAW + ", text STRING")
         parts.append(_settle(
@@ -240,6 +249,37 @@ def annotation_complete(results: DataFrame, annotator_count: int) -> DataFrame:
     )
 
 
+# --- runs over several batches ----------------------------------------------------------------
+
+OPEN_RUNS = "doc_id STRING, label STRING, round INT"
+
+
+def run_rows(results: DataFrame, open_before: DataFrame) -> DataFrame:
+    """``(doc_id, label, status, round)`` of a batch's results.
+
+    ``open_before`` (doc_id, label, round) are the annotators this batch asked again; all others start a run, round 1.
+    """
+    return results.join(open_before.select("doc_id", "label", "round"), ["doc_id", "label"], "left").select(
+        "doc_id", "label", "status", (F.coalesce("round", F.lit(0)) + 1).cast("int").alias("round"))
+
+
+def open_runs(rows: DataFrame, rounds: int) -> DataFrame:
+    """``(doc_id, label, round)`` that a later batch asks again: failed, with rounds left."""
+    return rows.where((F.col("status") == FAILED) & (F.col("round") < rounds)).select("doc_id", "label", "round")
+
+
+def run_state(rows: DataFrame, annotator_count: int) -> DataFrame:
+    """``(doc_id, done, failed, complete)`` from the rows of all batches (``run_rows`` with their ``batch``).
+
+    An annotator stands as its newest answer has it; a run is complete when every annotator answered without failing.
+    """
+    failed = F.col("status") == FAILED
+    newest = rows.groupBy("doc_id", "label").agg(F.max_by("status", "batch").alias("status"))
+    return newest.groupBy("doc_id").agg(
+        F.count_if(~failed).alias("done"), F.count_if(failed).alias("failed"),
+    ).withColumn("complete", F.col("done") == annotator_count)
+
+
 def additions(results: DataFrame) -> DataFrame:
     """``(doc_id, seq, annotation)`` to append to the stored documents."""
     return results.where(F.col("status") == RESULT).select(

@@ -16,12 +16,14 @@ from foliary.operators.annotate import (
     annotation_errors,
     annotation_notices,
     annotation_queue,
+    open_runs,
+    run_rows,
 )
 from foliary.operators.ligatures import DEFAULT_WORDS, ArrivalLexicon, Lexicon, word_sightings
 from foliary.operators.routing import read_events
 from foliary.operators.tables import append_annotations, search_part
 from foliary.plans.core import Preprocessor, apply_decisions, tenant_additions
-from foliary.plans.ingest import Decisions, IngestSettings, decide
+from foliary.plans.ingest import Decisions, IngestSettings, decide, stored_documents
 from foliary.session import cut
 from foliary.sources.feeds import DEAD_LETTER_TOPIC, DUPLICATE_TOPIC, UPDATE_TOPIC
 from foliary.sources.store import CorpusStore
@@ -32,6 +34,8 @@ class BatchSettings:
     ingest: IngestSettings = field(default_factory=IngestSettings)
     preprocessors: Sequence[Preprocessor] = ()
     annotators: Sequence[Annotator] = ()
+    #: So many batches ask a failing annotator about a document before its run is given up.
+    annotation_rounds: int = 3
     stream_annotation_updates: bool = True
     lexicon_words: Sequence[str] = DEFAULT_WORDS
     #: More words to repair texts with, from ``(doc_id, text)``; they count from the start.
@@ -94,8 +98,19 @@ def run_batch(
     letters = O.dead_letters(decisions.events, now_ms)
 
     if settings.annotators:
-        queue = annotation_queue(_run_flags(decisions))
-        results = cut(annotate(documents.join(queue, "doc_id", "left_semi"), settings.annotators))
+        queue = cut(annotation_queue(_run_flags(decisions)).select("doc_id").distinct())
+        labels = [a.label for a in settings.annotators]
+        again = cut(store.open_runs(batch).where(F.col("label").isin(labels)).join(queue, "doc_id", "left_anti"))
+        waiting = stored_documents(corpus, again.select("doc_id")).join(
+            changed.select("document_id"), "document_id", "left_anti")
+        changed = cut(changed.unionByName(waiting))
+        documents = changed.select(F.col("document_id").alias("doc_id"), F.struct(*changed.columns).alias("doc"))
+        asked = queue.withColumn("asked", F.lit(None).cast("array<string>")).unionByName(
+            again.groupBy("doc_id").agg(F.collect_list("label").alias("asked")))
+        results = cut(annotate(documents.join(asked, "doc_id"), settings.annotators, "asked"))
+        runs = cut(run_rows(results, again))
+        store.append("annotation_runs", runs, batch)
+        store.set_open_runs(open_runs(runs, settings.annotation_rounds), batch)
         changed = append_annotations(changed, additions(results))
         notices = notices.unionByName(_topic(
             annotation_notices(documents, results, all_tenants, ontologies, settings.stream_annotation_updates), UPDATE_TOPIC

@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
+from foliary.operators.annotate import OPEN_RUNS
 from foliary.operators.neardup import NearDupSettings
 from foliary.operators.tables import merge_parts
 from foliary.schemas import CORPUS, DEAD_LETTER, STATUS, TENANT_DOCS
@@ -27,6 +29,8 @@ TABLES = {
     "search_parts": f"{CORPUS}, tenants ARRAY<STRING>",
     "tenant_docs": TENANT_DOCS,
     "index_pieces": PIECES,
+    "annotation_runs": "doc_id STRING, label STRING, status STRING, round INT",
+    "open_runs": OPEN_RUNS,
     "lexicon": "word STRING, docs BIGINT",
     "pipeline_status": STATUS,
     "dead_letters": DEAD_LETTER,
@@ -62,8 +66,10 @@ class CorpusStore:
 
     def append(self, table: str, rows: DataFrame, batch: int) -> None:
         """Write a batch's rows; a repeated batch replaces its earlier attempt."""
-        columns = [f.name for f in self._empty(table).schema.fields]
-        rows = rows.select(*columns)
+        untyped = {f.name for f in rows.schema.fields if isinstance(f.dataType, NullType)}
+        rows = rows.select(*[
+            F.col(f.name).cast(f.dataType) if f.name in untyped else F.col(f.name) for f in self._empty(table).schema.fields
+        ])
         path = f"{self._folder(table)}/batch={batch}"
         if table not in BUCKETED:
             rows.write.mode("overwrite").parquet(path)
@@ -124,6 +130,19 @@ class CorpusStore:
     def tenant_docs(self, before: int | None = None) -> DataFrame:
         return self.read("tenant_docs", before).drop("batch").distinct()
 
+    def open_runs(self, before: int | None = None) -> DataFrame:
+        """``(doc_id, label, round)`` to ask again, as the last batch with annotators left them.
+
+        Every batch writes all that is open then, with one row without a document, so that an empty state counts, too.
+        """
+        states = self.read("open_runs", before)
+        last = states.agg(F.max("batch")).first()[0]
+        return states.where((F.col("batch") == F.lit(last)) & F.col("doc_id").isNotNull()).drop("batch")
+
+    def set_open_runs(self, rows: DataFrame, batch: int) -> None:
+        marker = self.spark.createDataFrame([(None, None, None)], OPEN_RUNS)
+        self.append("open_runs", rows.unionByName(marker), batch)
+
     def shingle_index(self, before: int | None = None) -> StoredIndex:
         """The inverted index of the texts checked before a batch."""
         return StoredIndex(self, before)
@@ -139,6 +158,9 @@ class CorpusStore:
         fresh.append("corpus", self.corpus(), batch)
         fresh.append("search_parts", self.search_view(), batch)
         fresh.append("tenant_docs", self.tenant_docs(), batch)
+        fresh.append("annotation_runs", self.read("annotation_runs").groupBy("doc_id", "label").agg(
+            F.max_by("status", "batch").alias("status"), F.max_by("round", "batch").alias("round")), batch)
+        fresh.set_open_runs(self.open_runs(), batch)
         fresh.append("lexicon", self.read("lexicon").groupBy("word").agg(F.sum("docs").alias("docs")), batch)
         index = self.shingle_index()
         for window, percent in index.laws:

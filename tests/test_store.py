@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from foliary.functions.documents import document_record
 from foliary.operators import tables as T
-from foliary.operators.annotate import Annotator
+from foliary.operators.annotate import Annotator, run_state
 from foliary.plans.batch import BatchSettings, run_batch
 from foliary.plans.ingest import IngestSettings
 from foliary.sources.feeds import stream_files
@@ -125,6 +125,61 @@ def test_texts_and_view_do_not_depend_on_batches(spark, tmp_path):
     assert {r.document_id for r in one.search_view(ids=spark.createDataFrame([("1",)], "document_id STRING")).collect()} == {"1"}
 
 
+def test_failed_annotators_are_asked_again_by_later_batches(spark, tmp_path):
+    """A service that fails on one document: the next batch, of other documents, asks it again and completes the run."""
+    store = CorpusStore(spark, str(tmp_path / "runs"))
+
+    def annotator(down):
+        def call(document):
+            if document["document_id"] in down:
+                raise RuntimeError("down")
+            return {"type": "text", "content": "seen"}
+        return BatchSettings(ingest=IngestSettings(dedup=None), annotation_rounds=2,
+                             annotators=[Annotator("size", function=call, retry_count=0)])
+
+    def runs():
+        rows = store.read("annotation_runs")
+        return {r.doc_id: (r.done, r.failed, r.complete) for r in run_state(rows, 1).collect()}
+
+    run_batch(feed(spark, [event("a", TEXT), event("b", OTHER), event("g", OTHER)]), store, "first", at(), annotator({"a", "g"}))
+    assert runs() == {"a": (0, 1, False), "b": (1, 0, True), "g": (0, 1, False)}
+    for _ in range(2):  # a repeated batch sees the runs as of its own start
+        run_batch(feed(spark, [event("c", TEXT)]), store, "second", at(), annotator({"g"}))
+        assert {r.doc_id: r.round for r in store.read("annotation_runs", 2).where("batch = 1").collect()} == {"a": 2, "c": 1, "g": 2}
+    assert runs() == {"a": (1, 0, True), "b": (1, 0, True), "c": (1, 0, True), "g": (0, 1, False)}
+    assert store.open_runs().count() == 0  # two batches asked about g: given up
+    assert {r.document_id: [a.label for a in r.annotations][2:] for r in store.search_view().collect()} == {
+        "a": ["size"], "b": ["size"], "c": ["size"], "g": []}
+    written = {r.document_id for r in store.read("corpus").where("batch = 1").collect()}
+    assert written == {"a", "c", "g"}
+    assert {r.status for r in store.read("pipeline_status").where("batch = 1 and doc_id = 'a'").collect()} == {"SUCCESS"}
+
+
+def test_lookup_opens_asked_buckets_and_batches_only(spark, tmp_path):
+    store = CorpusStore(spark, str(tmp_path / "versions"))
+    rows = view(spark, *[(f"d{i}", f"text {i}", "u0", None) for i in range(200)]).drop("tenants")
+    store.append("corpus", rows, 0)
+    store.append("corpus", rows.where("document_id < 'd2'").withColumn("uri", F.lit("u1")), 1)
+    store.append("corpus", rows.where(F.lit(False)), 2)
+    ids = spark.createDataFrame([("d1",), ("none",)], "document_id STRING")
+    found = store.corpus(ids=ids)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert [(r.document_id, r.uri) for r in found.collect()] == [("d1", "u1")] and "Window" not in plan
+    (bucket,) = {r.bucket for r in store.stored().known(ids).collect()}
+    assert "(bucket#" in plan and f" = {bucket})" in plan and " = 1)" in plan
+    assert [r.uri for r in store.corpus(1, ids).collect()] == ["u0"] and store.corpus(0, ids).count() == 0
+    assert store.corpus().where("uri = 'u1'").count() == rows.where("document_id < 'd2'").count()
+    assert store.stored().known(ids.where("document_id = 'none'")).count() == 0
+
+
+def test_parts_leave_what_they_do_not_set(spark):
+    parts = spark.createDataFrame(
+        [("a", "t", ["x"], 0), ("a", None, [], 1), ("a", None, None, 2), ("b", None, None, 1), ("c", "late", ["z"], 9)],
+        "document_id STRING, t STRING, labels ARRAY<STRING>, batch BIGINT")
+    got = {r.document_id: (r.t, r.labels) for r in T.merge_parts(parts, "batch").collect()}
+    assert got == {"a": ("t", []), "b": (None, None), "c": ("late", ["z"])}
+
+
 def test_empty_store(spark, tmp_path):
     store = CorpusStore(spark, str(tmp_path / "none"))
     assert store.corpus().count() == 0 and store.shingle_index().rows().count() == 0

@@ -337,6 +337,17 @@ ORACLES = {
     "annotation_relabel": f"""{ARCHIVED} SELECT id AS doc_id, was, 'x-text' AS label, lang AS text FROM stored, (VALUES ('note-derived'), ('note-static')) v(was)""",
     "annotation_nonempty": f"{ANNOTATE} SELECT doc_id, label, {flag('kept')} AS kept FROM raw WHERE given",
     "annotation_complete": "SELECT 'D' || doc_id AS doc_id, CAST(3 AS BIGINT) AS done, 'true' AS complete FROM documents WHERE length(text) > 0",
+    "annotation_runs": """SELECT 'D' || doc_id AS doc_id, CAST(CASE WHEN bad OR lang = 'fr' THEN 1 ELSE 2 END AS BIGINT) AS done,
+        CAST(CASE WHEN bad OR lang = 'fr' THEN 1 ELSE 0 END AS BIGINT) AS failed,
+        CASE WHEN bad OR lang = 'fr' THEN 'false' ELSE 'true' END AS complete,
+        CAST(CASE WHEN bad OR lang = 'fr' THEN 3 WHEN lang = 'es' THEN 2 ELSE 1 END AS BIGINT) AS rounds
+        FROM (SELECT *, upper(text) = text AS bad FROM documents WHERE length(text) > 0)""",
+    "search_parts": f"""{ARCHIVED} SELECT id AS document_id, CASE WHEN quality IS NOT NULL THEN 'seen' ELSE 'quality?|stored' END AS labels,
+        CASE WHEN lang = 'en' THEN 'moved:' ELSE '' END || 'file:///' || source AS source_uri, text AS extracted_text,
+        CAST(CASE WHEN lang = 'en' THEN 0 ELSE 2 END AS BIGINT) AS notes, {joined("[source, 'archive']")} AS tenants FROM stored""",
+    "corpus_versions": f"""{ARCHIVED} SELECT id AS document_id, CAST(b AS BIGINT) AS before,
+        CASE WHEN b = 3 AND lang = 'en' THEN 'third' WHEN b > 1 THEN 'second' ELSE 'file:///' || source END AS source_uri
+        FROM stored, range(1, 4) r(b) WHERE quality IS NOT NULL""",
     "annotation_append": f"""{ANNOTATE} SELECT 'D' || d.doc_id AS doc_id, coalesce((SELECT string_agg(label, '|' ORDER BY position) FROM results r
         WHERE r.doc_id = 'D' || d.doc_id AND status = 'result'), '') AS annotations FROM documents d
         UNION ALL SELECT 'B' || doc_id, '' FROM labels""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import partial
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -708,6 +709,32 @@ def annotation_complete(spark, sf):
     return done.select("doc_id", "done", text(F.col("complete")).alias("complete"))
 
 
+def _asked_in_batch(document: dict, refused: tuple[str, ...]) -> dict | None:
+    """Callable annotator that fails on some languages, as a service does that is down for them."""
+    if document["labels"][0] in refused:
+        raise RuntimeError("not available")
+    return count_words(document)
+
+
+def annotation_runs(spark, sf):
+    """Runs of all documents over three batches; each asks again where the last one failed, the third gives French up."""
+    docs, rows, before = _all_docs(spark, sf), None, None
+    for batch, refused in enumerate((("es", "fr"), ("fr",), ("fr",))):
+        asking = docs.withColumn("asked", F.lit(None).cast("array<string>"))
+        if before is not None:
+            asking = docs.join(before.groupBy("doc_id").agg(F.collect_list("label").alias("asked")), "doc_id")
+        asked = [A.Annotator("first", column=first_word), A.Annotator(
+            "words", function=partial(_asked_in_batch, refused=refused), retry_count=0)]
+        none = spark.createDataFrame([], A.OPEN_RUNS)
+        made = cut(A.run_rows(A.annotate(asking, asked, "asked"), none if before is None else before))
+        before = A.open_runs(made, 3)
+        made = made.withColumn("batch", F.lit(batch))
+        rows = made if rows is None else rows.unionByName(made)
+    last = rows.where("label = 'words'").groupBy("doc_id").agg(F.max("round").cast("bigint").alias("rounds"))
+    return A.run_state(rows, 2).join(last, "doc_id").select(
+        "doc_id", "done", "failed", text(F.col("complete")).alias("complete"), "rounds")
+
+
 def _with_annotations(spark, sf):
     return T.append_annotations(_all_docs(spark, sf).select("doc.*"), A.additions(_annotated(spark, sf)))
 
@@ -766,6 +793,38 @@ def search_tenants(spark, sf):
     return after.select("document_id", joined(F.col("tenants")).alias("tenants"))
 
 
+def search_parts(spark, sf):
+    """All documents in the view, then new labels of the labelled ones, then new addresses of those in English, bare."""
+    store = CorpusStore(spark, f"{_landing(spark, 'parts')}/store")
+    stored = archived(spark, sf)
+    whole = O.search_rows(stored, W.archive_tenants(spark, sf))
+    none = F.lit(None)
+    labelled = W.read(spark, sf, "labels").select(F.concat(F.lit("D"), text(F.col("doc_id"))).alias("document_id")).distinct()
+    seen = whole.join(labelled, "document_id", "left_semi").withColumns(
+        {"labels": F.array(F.lit("seen")), "source_uri": none, "tenants": none})
+    moved = whole.where("extracted_metadata.original_language = 'en'").withColumns(
+        {"source_uri": F.concat(F.lit("moved:"), "source_uri"), "annotations": F.slice("annotations", 1, 0), "labels": none})
+    for batch, (rows, new) in enumerate(((whole, True), (seen, False), (moved, False))):
+        store.append("search_parts", T.search_part(rows, F.lit(new)), batch)
+    return store.search_view().select(
+        "document_id", joined(F.col("labels")).alias("labels"), "source_uri", "extracted_text",
+        F.size("annotations").cast("bigint").alias("notes"), joined(F.col("tenants")).alias("tenants"),
+    )
+
+
+def corpus_versions(spark, sf):
+    """All documents in three versions of a store; the labelled ones looked up by id, as of each batch."""
+    store = CorpusStore(spark, f"{_landing(spark, 'versions')}/store")
+    stored = archived(spark, sf).select("doc.*")
+    ids = W.read(spark, sf, "labels").select(F.concat(F.lit("D"), text(F.col("doc_id"))).alias("document_id")).distinct()
+    second = stored.join(ids, "document_id", "left_semi").withColumn("source_uri", F.lit("second"))
+    third = stored.where("extracted_metadata.original_language = 'en'").withColumn("source_uri", F.lit("third"))
+    for batch, rows in enumerate((stored, second, third)):
+        store.append("corpus", rows, batch)
+    found = [store.corpus(b, ids).select("document_id", "source_uri", F.lit(b).cast("bigint").alias("before")) for b in (1, 2, 3)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 # --- streaming ------------------------------------------------------------------------------
 
 def _land_and_drain(rows: DataFrame, folder: str, start) -> None:
@@ -884,11 +943,14 @@ QUERIES = {
     "annotation_relabel": annotation_relabel,
     "annotation_nonempty": annotation_nonempty,
     "annotation_complete": annotation_complete,
+    "annotation_runs": annotation_runs,
     "annotation_append": annotation_append,
     "search_get": search_get,
     "search_upsert": search_upsert,
     "search_annotation": search_annotation,
     "search_tenants": search_tenants,
+    "search_parts": search_parts,
+    "corpus_versions": corpus_versions,
     "stream_ingest": stream_ingest,
     "stream_dedup": stream_dedup,
 }
