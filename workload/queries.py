@@ -796,16 +796,18 @@ def search_tenants(spark, sf):
 def search_parts(spark, sf):
     """All documents in the view, then new labels of the labelled ones, then new addresses of those in English, bare."""
     store = CorpusStore(spark, f"{_landing(spark, 'parts')}/store")
-    stored = archived(spark, sf)
-    whole = O.search_rows(stored, W.archive_tenants(spark, sf))
+    first = W.archive(spark, sf).withColumn(
+        "tenants", F.array(F.regexp_replace("source_uri", "^file:///", ""), F.lit("archive")))
+    store.append("search_parts", T.search_part(first, F.lit(True)), 0)
+    whole = store.read("search_parts", 1).drop("batch", "bucket")
     none = F.lit(None)
     labelled = W.read(spark, sf, "labels").select(F.concat(F.lit("D"), text(F.col("doc_id"))).alias("document_id")).distinct()
     seen = whole.join(labelled, "document_id", "left_semi").withColumns(
         {"labels": F.array(F.lit("seen")), "source_uri": none, "tenants": none})
     moved = whole.where("extracted_metadata.original_language = 'en'").withColumns(
         {"source_uri": F.concat(F.lit("moved:"), "source_uri"), "annotations": F.slice("annotations", 1, 0), "labels": none})
-    for batch, (rows, new) in enumerate(((whole, True), (seen, False), (moved, False))):
-        store.append("search_parts", T.search_part(rows, F.lit(new)), batch)
+    for batch, rows in enumerate((seen, moved), 1):
+        store.append("search_parts", T.search_part(rows, F.lit(False)), batch)
     return store.search_view().select(
         "document_id", joined(F.col("labels")).alias("labels"), "source_uri", "extracted_text",
         F.size("annotations").cast("bigint").alias("notes"), joined(F.col("tenants")).alias("tenants"),
