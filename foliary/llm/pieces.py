@@ -8,10 +8,12 @@ of the source it stands for, so each piece of the normalised text projects back
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,15 @@ class CharacterMap:
             self.units = np.frombuffer(compiled[4:4 + size], "<u4")
             self.strings = compiled[4 + size:]
         self.trie = self.units.tolist()
+        starts = {b for b in range(256) if self._begins(b)} | {32}
+        #: Bytes from which on nothing is mapped and no space stands: they are written as they are.
+        self.plain = re.compile(b"[^" + b"".join(re.escape(bytes([b])) for b in sorted(starts)) + b"]+")
+
+    def _begins(self, first: int) -> bool:
+        if not self.trie:
+            return False
+        node = self._offset(self.trie[0]) ^ first
+        return node < len(self.trie) and self.trie[node] & 0x800000FF == first
 
     @staticmethod
     def _offset(unit: int) -> int:
@@ -76,7 +87,10 @@ def character_bytes(first: int) -> int:
 
 
 def normalise(text: str, chars: CharacterMap, rules: Rules) -> tuple[bytes, list[int]]:
-    """The normalised text, and for each of its bytes (and the end) the source byte it comes from."""
+    """The normalised text, and for each of its bytes (and the end) the source byte it comes from.
+
+    Stretches that no entry of the map can change are taken over at once, each byte from its own place.
+    """
     data = text.encode("utf-8", "replace")
     blank = MARK if rules.escape else b" "
     out, source = bytearray(), []
@@ -107,6 +121,12 @@ def normalise(text: str, chars: CharacterMap, rules: Rules) -> tuple[bytes, list
         write(blank, at)
     after_space = rules.remove_extra
     while at < n:
+        plain = chars.plain.match(data, at)
+        if plain is not None:
+            out.extend(plain.group())
+            source.extend(range(at, plain.end()))
+            at, after_space = plain.end(), False
+            continue
         size, piece = step(at)
         while after_space and piece.startswith(b" "):
             piece = piece[1:]
@@ -146,7 +166,6 @@ class Encoder:
         self.rules = Rules(spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces,
                            proto.trainer_spec.treat_whitespace_as_suffix)
         self.kind = [p.type for p in proto.pieces]
-        self.bytes = {i for i, p in enumerate(proto.pieces) if p.type == 6}
         self.size = [len(p.piece.encode()) for p in proto.pieces]
         self.unknown = self.library.unk_id()
         self.end_id = self.library.eos_id()
@@ -159,32 +178,31 @@ class Encoder:
         )
         self.cache = WordCache(self._heads, self._tails, lambda w: not w or SPACE_MARK in w, most=300_000)
 
-    def spans(self, text: str, ids: list[int]) -> np.ndarray:
-        """(begin, end) source bytes of every id, for ids of this text without control ids.
+    def edges(self, text: str, ids: list[int]) -> list[int]:
+        """Source bytes at which the pieces of this text (without control ids) begin, and where the last one ends.
 
-        Of the byte ids that spell one character, the last has its span and those before are empty. A
-        run of unknown characters is one id.
+        The text is normalised with its alignment, the pieces are laid along the normalised bytes, and what
+        the edges between them come from is looked up. Of the byte ids that spell one character, the last has
+        its span and those before are empty. A run of unknown characters is one id.
         """
         normal, source = normalise(text, self.chars, self.rules)
-        begins, ends, at, open_bytes = [], [], 0, 0
+        edges, at, open_bytes = [source[0]], 0, 0
         for k, i in enumerate(ids):
             if self.kind[i] == 6:  # a byte
-                if not open_bytes:
-                    open_bytes = character_bytes(normal[at])
-                open_bytes -= 1
-                begins.append(source[at])
+                open_bytes = (open_bytes or character_bytes(normal[at])) - 1
                 if not open_bytes:
                     at += character_bytes(normal[at])
-                ends.append(source[at])
-                continue
-            begins.append(source[at])
-            if i == self.unknown:
-                following = ids[k + 1] if k + 1 < len(ids) else None
-                at = self._unknown_end(normal, at, following)
+            elif i == self.unknown:
+                at = self._unknown_end(normal, at, ids[k + 1] if k + 1 < len(ids) else None)
             else:
                 at += self.size[i]
-            ends.append(source[at])
-        return np.array([begins, ends], np.uint32).T.reshape(-1, 2)
+            edges.append(source[at])
+        return edges
+
+    def spans(self, text: str, ids: list[int]) -> np.ndarray:
+        """(begin, end) source bytes of every id, see :meth:`edges`."""
+        edges = self.edges(text, ids)
+        return np.array([edges[:-1], edges[1:]], np.uint32).T.reshape(-1, 2)
 
     def _unknown_end(self, normal: bytes, at: int, following: int | None) -> int:
         stop = self.library.id_to_piece(following).encode() if following is not None else None
@@ -195,37 +213,20 @@ class Encoder:
 
     def whole(self, text: str) -> tuple[bytes, bytes, bytes]:
         """Ids, source bytes per id and decimals of a whole text."""
-        ids = self.library.encode(text)
-        spans = self.spans(text, ids)
-        return self._value(ids, spans, gap=0)
+        return self._value(text, self.library.encode(text), gap=0)
 
-    @staticmethod
-    def _value(ids: list[int], spans: np.ndarray, gap: int) -> tuple[bytes, bytes, bytes]:
-        ends = spans[:, 1].astype(np.int64)
-        sizes = np.diff(np.concatenate([[0], ends])).astype("<u4")
-        if len(sizes):
-            sizes[0] += gap
-        return np.array(ids, "<u4").tobytes(), sizes.tobytes(), " ".join(map(str, ids)).encode()
+    def _value(self, text: str, ids: list[int], gap: int) -> tuple[bytes, bytes, bytes]:
+        """``gap`` source bytes stand before ``text`` and count for its first piece, as does what is left out there."""
+        edges = self.edges(text, ids)
+        sizes = array("I", map(sub, edges[1:], edges))
+        if sizes:
+            sizes[0] += gap + edges[0]
+        return array("I", ids).tobytes(), sizes.tobytes(), " ".join(map(str, ids)).encode()
 
     def _words(self, words: list[str], gap: int) -> list[tuple[bytes, bytes, bytes]]:
-        """Values of words that are encoded apart; ``gap`` is 1 if a source space stands before them.
-
-        Nothing is rewritten here, so a piece stands for its own bytes, less the mark that the word's first
-        piece begins with. Only bytes that spell a character need the general way.
-        """
-        out = []
-        for word, ids in zip(words, self.library.encode(words, num_threads=1), strict=True):
-            sizes = [self.size[i] for i in ids]
-            sizes[0] += gap - len(MARK)
-            if not self.bytes.isdisjoint(ids):
-                data, at, left = word.encode("utf-8", "replace"), -gap, 0
-                for k, i in enumerate(ids):
-                    if i in self.bytes:
-                        left = (left or character_bytes(data[at])) - 1
-                        sizes[k] = 0 if left else character_bytes(data[at])
-                    at += sizes[k]
-            out.append((array("I", ids).tobytes(), array("I", sizes).tobytes(), " ".join(map(str, ids)).encode()))
-        return out
+        """Values of words that are encoded apart; ``gap`` is 1 if a source space stands before them."""
+        found = self.library.encode(words, num_threads=1)
+        return [self._value(word, ids, gap) for word, ids in zip(words, found, strict=True)]
 
     def _heads(self, words: list[str]) -> list[tuple]:
         return self._words(words, 0)

@@ -66,7 +66,8 @@ def op8_termprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = termprint.compare_edits(read(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", "n_chars", "edited_sha256", termprint.hex_print(F.col("simhash")).alias("fingerprint"),
-        termprint.hex_print(F.col("edited_simhash")).alias("edited_fingerprint"), "near_edited", "near_next")
+        termprint.hex_print(F.col("edited_simhash")).alias("edited_fingerprint"), "near_edited", "near_next",
+        "n_within")
 
 
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,14 +66,16 @@ def in_order(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 
     The successor of the last row is the first. Null ids come last; rows of equal ids are ordered by a
     hash of their text. Ids are cut at quantiles, and between them evenly, into buckets of about
-    ``BUCKET_ROWS`` rows; a window finds successors inside a bucket, and a join of last and first rows
-    those across. Whole texts are shuffled once.
+    ``BUCKET_ROWS`` rows, an id that fills more than a quantile by the hash of its texts; a window finds
+    successors inside a bucket, and a join of last and first rows those across. Whole texts are shuffled once.
     """
     own = docs.select(column(docs, id_column).cast("long").alias("id"), F.coalesce(column(docs, text), F.lit("")).alias("text"))
     known = own.where("id is not null")
     asked = F.percentile_approx("id", [i / QUANTILES for i in range(1, QUANTILES)], 10_000)
     row = known.agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"), asked.alias("cuts")).first()
-    cuts = sorted({*(row["cuts"] or []), *([row["lo"], row["hi"]] if row["n"] else [0])})
+    given = row["cuts"] or []
+    hot = sorted({a for a, b in zip(given, given[1:]) if a == b and a < (1 << 63) - 1})  # each between cuts of its own
+    cuts = sorted({*given, *[h + 1 for h in hot], *([row["lo"], row["hi"]] if row["n"] else [0])})
     per = max(1, -(-row["n"] // (len(cuts) * BUCKET_ROWS)))  # buckets between two cuts
     bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
     placed = own.withColumn("below", F.size(F.filter(bounds, lambda c: c <= F.col("id"))))  # 1 .. len(cuts)
@@ -85,7 +87,8 @@ def in_order(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     # doubles round the same way for equal ids and keep their order; a bucket is only a bucket
     share = (F.col("id").cast("double") - F.col("low")) / F.greatest(F.col("high").cast("double") - F.col("low"), F.lit(1.0))
     inside = F.least(F.floor(share * per), F.lit(per - 1)).cast("long")
-    placed = placed.withColumn("sub", F.when(F.col("id").isNull(), F.shiftright("tie", 48)).otherwise(per - 1 - inside).cast("long"))
+    by_text = F.col("id").isNull() | F.col("id").isin(hot)
+    placed = placed.withColumn("sub", F.when(by_text, F.shiftright("tie", 48)).otherwise(per - 1 - inside).cast("long"))
     placed = placed.select("part", "sub", "id", "tie", "text")
     order = Window.partitionBy("part", "sub").orderBy(F.col("id").desc_nulls_last(), "tie")
     rows = placed.select(
@@ -116,10 +119,12 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
-def compare_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def compare_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = 3) -> DataFrame:
     """Fingerprints of every text and of its edit with the next document, and how alike they are.
 
-    ``doc_id, n_chars, edited_sha256, simhash, edited_simhash, near_edited, near_next``. A null text is
+    ``doc_id, n_chars, edited_sha256, simhash, edited_simhash, near_edited, near_next, n_within``. The last is a
+    search of the rows whose id is divisible by 20 against all rows: how many other fingerprints, each counted once,
+    differ from the row's in ``radius`` bits or fewer; null in rows that do not ask. A null text is
     empty; repeated rows are rows of their own; a single row is its own successor; no rows, no result.
     """
     rows = in_order(docs, id_column, text)
@@ -145,10 +150,17 @@ def compare_edits(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     following = pairs.select(F.col("part").alias("next_part"), F.col("sub").alias("next_sub"),
                              F.col("at").alias("next_at"), F.col("simhash").alias("next_simhash"))
     both = pairs.join(following, ["next_part", "next_sub", "next_at"])
-    return both.select(
+    asks = F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))
+    found = both.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "simhash", "edited_simhash",
         likeness(F.col("simhash"), F.col("edited_simhash")).alias("near_edited"),
         likeness(F.col("simhash"), F.col("next_simhash")).alias("near_next"))
+    wanted = pairs.where(F.col("id") % 20 == 0).select("simhash")
+    within = within_radius(pairs.select("simhash"), wanted, radius).where("distance > 0")
+    counted = within.groupBy(F.col("query").alias("simhash")).agg(F.count("*").alias("n_within"))
+    told = found.where(asks).join(counted.hint("merge"), "simhash", "left").withColumn("n_within", F.coalesce("n_within", F.lit(0).cast("long")))
+    return told.select(*found.columns, "n_within").unionAll(
+        found.where(~asks).withColumn("n_within", F.lit(None).cast("long")))
 
 
 def blocks_for(radius: int, rows: int) -> int:
@@ -166,8 +178,9 @@ def within_radius(stored: DataFrame, asked: DataFrame, radius: int, blocks: int
 
     Both inputs have one column of signed longs. The bits are cut into ``blocks`` > ``radius``; for every choice of
     blocks - radius blocks there is a table keyed by them (the permuted tables: the chosen blocks
-    in front), and two fingerprints within the radius agree on at least one choice. Repeats and nulls
-    are left out; nothing is capped.
+    in front), and two fingerprints within the radius agree on at least one choice; the first such table
+    gives the pair. Repeats and nulls are left out; nothing is capped, so a crowd of fingerprints near each other
+    gives a row for each query in it and each member.
     """
     known = stored.select(F.col(stored.columns[0]).alias("found")).where("found is not null").distinct()
     wanted = asked.select(F.col(asked.columns[0]).alias("query")).where("query is not null").distinct()
@@ -182,6 +195,9 @@ def within_radius(stored: DataFrame, asked: DataFrame, radius: int, blocks: int
     def tables(value: Column) -> Column:
         return F.inline(F.array(*[F.struct(F.lit(i).alias("t"), value.bitwiseAND(F.lit(m).cast("long")).alias("k")) for i, m in enumerate(masks)]))
     index, probes = known.select("found", tables(F.col("found"))), wanted.select("query", tables(F.col("query")))
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("found")))
-    met = (index["t"] == probes["t"]) & (index["k"] == probes["k"]) & (distance <= radius)
-    return probes.join(index, met).select("query", "found", distance.alias("distance")).distinct()
+    differing = F.col("query").bitwiseXOR(F.col("found"))
+    first = F.lit(len(masks))
+    for i, m in reversed(list(enumerate(masks))):
+        first = F.when(differing.bitwiseAND(F.lit(m).cast("long")) == 0, i).otherwise(first)
+    met = (index["t"] == probes["t"]) & (index["k"] == probes["k"]) & (F.bit_count(differing) <= radius) & (probes["t"] == first)
+    return probes.join(index.hint("merge"), met).select("query", "found", F.bit_count(differing).alias("distance"))

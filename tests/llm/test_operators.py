@@ -421,6 +421,9 @@ def test_edits(spark):
         if a is not None:
             assert (got[r[0]].simhash, got[r[0]].edited_simhash) == (a, b)
             assert got[r[0]].near_next == 1 - ((a ^ c) & (2 ** 64 - 1)).bit_count() / 64
+    for i, r in got.items():
+        near = {o.simhash for o in got.values() if 0 < ((o.simhash ^ r.simhash) & (2 ** 64 - 1)).bit_count() <= 3}
+        assert r.n_within == (len(near) if i is not None and i % 20 == 0 else None)
     one = termprint.compare_edits(frame(spark, rows[:1])).first()
     assert one.near_next == 1.0
     assert termprint.compare_edits(frame(spark, [])).count() == 0
@@ -435,6 +438,38 @@ def test_order_across_buckets(spark, monkeypatch):
     assert got == {i: f"t{ids[k - 1]}" for k, i in enumerate(ids)}
 
 
+def test_one_id_on_half_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(termprint, "QUANTILES", 8)
+    rows = [(i, f"t{i}") for i in range(0, 120, 2)] + [(61, f"same {i}") for i in range(60)]
+    placed = termprint.in_order(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(placed) == 120
+    buckets = {(r.part, r.sub) for r in placed if r.id == 61}
+    assert len(buckets) > 40 and not buckets & {(r.part, r.sub) for r in placed if r.id != 61}
+    following = {r.text: r.next_text for r in placed}
+    at, seen = "t118", []
+    while at not in seen:
+        seen.append(at)
+        at = following[at]
+    ids = [61 if t.startswith("same") else int(t[1:]) for t in seen]
+    assert at == "t118" and len(seen) == 120 and ids == sorted(ids, reverse=True)
+
+
+def test_search_counts_near_prints(spark):
+    words = [f"word{i:03d}" for i in range(400)]
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        own = list(words) if i % 3 else rng.sample(words, 30)
+        for _ in range(i % 4):
+            own[rng.randrange(len(own))] = f"other{rng.randrange(9)}"
+        rows.append((i, " ".join(own), "en", "s", 1))
+    got = termprint.compare_edits(frame(spark, rows)).collect()
+    for r in got:
+        near = {o.simhash for o in got if 0 < ((o.simhash ^ r.simhash) & (2 ** 64 - 1)).bit_count() <= 3}
+        assert r.n_within == (None if r.doc_id % 20 else len(near))
+    assert any(r.n_within for r in got)
+
+
 def test_search_within_radius(spark):
     rng = random.Random(10)
     values = []
@@ -495,6 +530,22 @@ def test_encoded_documents(spark):
     assert pieces.encode_documents(frame(spark, []), tokenizer_file("piece_bpe_32k.model")).count() == 0
 
 
+@pytest.mark.parametrize("which", [0, 1, 2])
+def test_spans_of_documents_through_the_character_map(spark, which):
+    model = models()[which]
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_proto=model)
+    texts = ["\uff21\uff22c  \u2460 \ufb01ne", "plain words  apart", " a\u0301 \u00bd\t x ", "\U0001F600 \u4e2d\u6587 z", "", None, "\u3000 lead"] + [
+        " ".join(random.Random(i).choice(["fine", "\ufb01ne", "\u338f", "na\u00efve", "", "\u00a0"]) for _ in range(i)) for i in range(30)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in pieces.encode_documents(rows, model).collect():
+        want = library.encode(r.text or "", return_type="proto").pieces
+        assert r.ids == [*(p.id for p in want), library.eos_id()]
+        ends = [p.end for p in want]
+        assert r.span_ends == ends and r.spans_crc32 == zlib.crc32(np.array(ends, "<u4").tobytes())
+
+
 # --- 10: chat ----------------------------------------------------------------------------------
 
 def test_chat_round_trip(spark):
