@@ -277,10 +277,11 @@ def slow_phrases(text, known):
     return count
 
 
-def test_phrases_are_longest_matches():
+@pytest.mark.parametrize("places", [0, 1_000_000])
+def test_phrases_are_longest_matches(places):
     rng = random.Random(5)
     training = {"x": "".join(rng.choice("abc ") for _ in range(200)), "y": "".join(rng.choice("abd ") for _ in range(150))}
-    parser = crossparse.Parser(training, crossparse.Settings(window=64))
+    parser = crossparse.Parser(training, crossparse.Settings(window=64, table_places=places))
     for _ in range(200):
         row = parser.symbols("".join(rng.choice("abcdz ,") for _ in range(rng.randrange(1, 150))))
         windows = [row[i:i + 64] for i in range(0, len(row), 64)]
@@ -362,6 +363,41 @@ def test_contamination(spark):
     assert tiling.contaminated(docs.where("false"), bench).count() == 0
 
 
+def test_edges_are_few_whatever_the_alphabet():
+    rng = random.Random(13)
+    training = {}
+    for k in range(7):
+        letters = [chr(0x4E00 + 3000 * k + i) for i in range(3000)]
+        training[f"l{k}"] = " ".join("".join(rng.choices(letters, k=6)) for _ in range(1000))
+    parser = crossparse.Parser(training)
+    symbols = sum(len(parser.symbols(t)) for t in training.values())
+    edges = parser.edges
+    used = edges.keys[edges.keys != edges.EMPTY]
+    assert len(used) < 3 * symbols and edges.keys.nbytes + edges.to.nbytes + parser.fallback.nbytes < 40_000_000
+    assert parser.predict([training["l3"][50:90], training["l6"][:9], "", "?!"])[0] == ["l3", "l6", "und", "und"]
+
+
+def test_edges_find_what_was_put_in():
+    rng = np.random.default_rng(14)
+    keys = np.unique(rng.integers(0, 50_000, 9_000))
+    to = rng.integers(0, 1 << 20, len(keys))
+    asked = rng.integers(0, 50_000, 20_000)
+    want = dict(zip(keys.tolist(), to.tolist()))
+    assert crossparse.Edges(keys, to).find(asked).tolist() == [want.get(k, -1) for k in asked.tolist()]
+    assert crossparse.Edges(keys[:0], to[:0]).find(asked).tolist() == [-1] * len(asked)
+
+
+def test_training_sample_is_cut_before_the_driver(spark):
+    s = crossparse.Settings(languages=2, language_symbols=3_000)
+    rows = [(i, "alpha beta " * 100, "aa", "s", 1) for i in range(60)] + [(100 + i, "gamma " * 50, "bb", "s", 1) for i in range(30)]
+    rows += [(500, f"many {i} rows of one id " * 20, "bb", "s", 1) for i in range(200)] + [(900 + i, "rare", "cc", "s", 1) for i in range(9)]
+    found = crossparse.training_texts(frame(spark, rows), s)
+    assert set(found) == {"aa", "bb"} and all(len(t) <= 3_000 for t in found.values())
+    assert found["bb"].count("rows of one id") in (0, 20)
+    again = crossparse.training_texts(frame(spark, rows[::-1]), s)
+    assert again == found
+
+
 # --- 7: urls -----------------------------------------------------------------------------------
 
 def test_urls(spark):
