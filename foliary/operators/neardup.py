@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -370,3 +370,68 @@ def copies_of(asked: DataFrame, docs: DataFrame, settings: NearDupSettings | Non
         .where((F.col("duplicate_seq") < F.col("seq")) & (F.col("duplicate_id") != F.col("doc_id")))
         .select("doc_id", "duplicate_id", "duplicate_seq")
     )
+
+
+# --- whole lists ------------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class CopyLists:
+    """What the list of any document's near copies is read from, without a list of pairs of documents.
+
+    ``members``: (doc_id, seq, cls), a row per document with text. ``links``: (cls, other), a row per two classes of
+    different texts that are near copies, the later class first. Equal texts cost a row each; only texts that really
+    differ, and are near each other, cost a row per pair.
+    """
+
+    members: DataFrame
+    links: DataFrame
+
+    def write(self, path: str) -> None:
+        self.members.write.mode("overwrite").parquet(f"{path}/members")
+        self.links.write.mode("overwrite").parquet(f"{path}/links")
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> CopyLists:
+        return cls(spark.read.parquet(f"{path}/members"), spark.read.parquet(f"{path}/links"))
+
+    def earlier(self, asked: DataFrame) -> DataFrame:
+        """``(doc_id, seq, duplicate_id, duplicate_seq)``: all earlier near copies of the asked (doc_id), a row each."""
+        wanted = self.members.join(asked.select("doc_id").distinct(), "doc_id", "left_semi")
+        classes = wanted.select("cls").distinct()
+        forth = self.links.join(classes, "cls", "left_semi")
+        back = self.links.select(F.col("other").alias("cls"), F.col("cls").alias("other")).join(classes, "cls", "left_semi")
+        reached = forth.unionByName(back).unionByName(classes.select("cls", F.col("cls").alias("other")))
+        found = self.members.select(F.col("doc_id").alias("duplicate_id"), F.col("seq").alias("duplicate_seq"), F.col("cls").alias("other"))
+        return (
+            wanted.join(reached.hint(MERGE), "cls").join(found.hint(MERGE), "other")
+            .where((F.col("duplicate_seq") < F.col("seq")) & (F.col("duplicate_id") != F.col("doc_id")))
+            .select("doc_id", "seq", "duplicate_id", "duplicate_seq")
+        )
+
+    def lists(self, asked: DataFrame) -> DataFrame:
+        """``(doc_id, seq, duplicates)``: the ids of all earlier near copies in order of arrival, each once.
+
+        Only of documents that have one. A list is one value, so ask for the documents whose lists a message needs;
+        :meth:`earlier` gives rows.
+        """
+        once_each = self.earlier(asked).groupBy("doc_id", "seq", "duplicate_id").agg(F.min("duplicate_seq").alias("at"))
+        listed = F.array_sort(F.collect_list(F.struct("at", "duplicate_id")))
+        return once_each.groupBy("doc_id", "seq").agg(listed.getField("duplicate_id").alias("duplicates"))
+
+
+def copy_lists(docs: DataFrame, settings: NearDupSettings | None = None) -> CopyLists:
+    """The lists of all documents ``(seq, doc_id, text)``. Rows without text are in none; no rows, no lists."""
+    settings = settings or NearDupSettings()
+    percent = settings.threshold
+    sets = land(shingle_sets(docs, settings))
+    members, classes = text_classes(sets)
+    tokens = class_tokens(classes, settings)
+    asking = _lanes(
+        tokens.tokens.select(
+            "shingle", F.col("cls").alias("asker"), F.col("n").alias("asker_n"), F.col("rest").alias("asker_rest"), "short"),
+        asking=True,
+    ).drop("short")
+    # a class is asked for once in each pair, by the later one
+    pairs = _candidates(asking, _lanes(tokens.tokens, asking=False).drop("short"), percent, F.col("cls") < F.col("asker"))
+    links = _verified(cut(pairs), tokens, percent).select(F.col("asker").alias("cls"), F.col("cls").alias("other"))
+    return CopyLists(cut(members.select("doc_id", "seq", "cls")), cut(links))

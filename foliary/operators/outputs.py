@@ -46,14 +46,25 @@ def update_notices(documents: DataFrame, tenant_docs: DataFrame, ontologies: Dat
     return mapped.select(F.col("doc_id").alias("key"), F.to_json(body).alias("value"))
 
 
-def duplicate_notices(events: DataFrame) -> DataFrame:
-    """``(key, value)`` messages, one per DUPLICATE event, naming the copy its overrides went to.
-
-    A notice names the earliest copy. The full list of a document's copies is as long as its
-    group, so it is looked up where needed (``neardup.copies_of``) and not sent with every message.
+def with_lists(events: DataFrame, lists: DataFrame | None) -> DataFrame:
+    """``events`` with ``duplicates``: the whole list by ``seq`` (:meth:`neardup.CopyLists.lists`), else the earliest copy."""
+    earliest = F.when(F.col("duplicate_of").isNotNull(), F.array("duplicate_of"))
+    if lists is None:
+        return events.withColumn("duplicates", earliest)
+    given = lists.select("seq", "duplicates")
+    copied = events.where("outcome = 'DUPLICATE'").join(given, "seq", "left")
+    others = events.where("outcome <> 'DUPLICATE'").withColumn("duplicates", F.lit(None).cast("array<string>"))
+    return copied.withColumn("duplicates", F.coalesce("duplicates", earliest)).unionByName(others)
+
+
+def duplicate_notices(events: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+    """``(key, value)`` messages, one per DUPLICATE event, naming its earlier copies.
+
+    Without ``lists`` a notice names the earliest copy, the one its overrides went to: a full list is as long
+    as the group, and a batch need not send it with every message.
     """
-    body = F.struct(F.col("target_id").alias("doc_id"), F.array("duplicate_of").alias("duplicated_docs"))
-    return events.where("outcome = 'DUPLICATE'").select(
+    body = F.struct(F.col("target_id").alias("doc_id"), F.col("duplicates").alias("duplicated_docs"))
+    return with_lists(events, lists).where("outcome = 'DUPLICATE'").select(
         F.col("target_id").alias("key"), F.to_json(body).alias("value")
     )
 
@@ -115,15 +126,18 @@ def duplicate_status_message(doc_id: Column, duplicates: Column) -> Column:
     return F.concat(doc_id, F.lit(" duplicates: "), F.array_join(duplicates, ""))
 
 
-def core_status(events: DataFrame, at_ms: Column, scope: str = "corpus") -> DataFrame:
-    """Status rows of a batch's ingestion and core processing, several per event where due."""
+def core_status(events: DataFrame, at_ms: Column, scope: str = "corpus", lists: DataFrame | None = None) -> DataFrame:
+    """Status rows of a batch's ingestion and core processing, several per event where due.
+
+    A duplicate's row names its earliest copy, or with ``lists`` all of them, see :func:`with_lists`.
+    """
     blank = F.lit("")
     done = F.array(
         _entry("target_id", "ingestion", SUCCESS, blank), _entry("target_id", "core-processing", SUCCESS, blank)
     )
     copied = F.array(_entry(
         "target_id", "ingestion", FAILURE,
-        duplicate_status_message(F.col("target_id"), F.array("duplicate_of")),
+        duplicate_status_message(F.col("target_id"), F.col("duplicates")),
     ))
     original = F.array(
         _entry("duplicate_of", "ingestion", SUCCESS, blank), _entry("duplicate_of", "core-processing", SUCCESS, blank)
@@ -138,7 +152,7 @@ def core_status(events: DataFrame, at_ms: Column, scope: str = "corpus") -> Data
         .when(F.col("outcome") == "DUPLICATE", copied)
         .when(F.col("outcome") == "ERROR", failed)
     )
-    return _status(events.select(F.inline(rows)), at_ms, scope)
+    return _status(with_lists(events, lists).select(F.inline(rows)), at_ms, scope)
 
 
 def annotator_status(results: DataFrame, at_ms: Column, scope: str = "corpus") -> DataFrame:

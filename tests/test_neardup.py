@@ -255,3 +255,47 @@ def one_by_one(seen, rows):
 def shingles_of(text):
     words = text.split()
     return {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
+
+
+def all_copies(rows):
+    sets = {doc: shingles(text) for _, doc, text in rows}
+    return {doc: [d for s, d, _ in sorted(rows) if s < seq and sets[d] and similar(sets[doc], sets[d])] for seq, doc, _ in rows if sets[doc]}
+
+
+def test_whole_lists_of_copies(spark, tmp_path):
+    rows = feed(31, 150)
+    docs = spark.createDataFrame(rows, "seq long, doc_id string, text string")
+    lists = neardup.copy_lists(docs, NearDupSettings(window=WINDOW))
+    lists.write(str(tmp_path / "lists"))
+    lists = neardup.CopyLists.read(spark, str(tmp_path / "lists"))
+    want = {doc: copies for doc, copies in all_copies(rows).items() if copies}
+    got = {r.doc_id: r.duplicates for r in lists.lists(docs.select("doc_id")).collect()}
+    assert got == want and max(map(len, got.values())) > 50
+    asked = docs.where("seq % 20 = 0").select("doc_id")
+    assert {r.doc_id: r.duplicates for r in lists.lists(asked).collect()} == {
+        d: want[d] for (d,) in asked.collect() if d in want}
+    # links are between different texts only, once a pair
+    links = [tuple(r) for r in lists.links.collect()]
+    assert len(links) == len(set(links)) and all(a > b for a, b in links)
+
+
+def test_whole_lists_without_rows(spark):
+    none = spark.createDataFrame([(0, "a", None), (1, "b", " ")], "seq long, doc_id string, text string")
+    lists = neardup.copy_lists(none)
+    assert lists.members.count() == 0 and lists.lists(none.select("doc_id")).count() == 0
+
+
+def test_messages_name_the_whole_list(spark):
+    from foliary.operators import outputs
+
+    events = spark.createDataFrame(
+        [(0, "a", "NEW", None, None, None, None), (1, "b", "DUPLICATE", "a", None, None, None), (2, "c", "DUPLICATE", "a", "UPDATE", None, None),
+         (3, "e", "DUPLICATE", "x", None, "ingestion", "original not stored")],
+        "seq long, target_id string, outcome string, duplicate_of string, target_change string, operation string, message string")
+    lists = spark.createDataFrame([(1, ["a"]), (2, ["a", "b"])], "seq long, duplicates array<string>")
+    said = {r.key: r.value for r in outputs.duplicate_notices(events, lists).collect()}
+    assert said == {"b": '{"doc_id":"b","duplicated_docs":["a"]}', "c": '{"doc_id":"c","duplicated_docs":["a","b"]}',
+                    "e": '{"doc_id":"e","duplicated_docs":["x"]}'}
+    assert '"duplicated_docs":["a"]' in {r.key: r.value for r in outputs.duplicate_notices(events).collect()}["c"]
+    rows = outputs.core_status(events, F.lit(5), lists=lists).where("status = 'FAILURE' and stage = 'ingestion'").collect()
+    assert {r.doc_id: r.message for r in rows} == {"b": "b duplicates: a", "c": "c duplicates: ab", "e": "e duplicates: x"}

@@ -289,6 +289,9 @@ ORACLES = {
     "near_duplicate_turns": _similar("(SELECT conv_id * 10000 + turn AS doc_id, text FROM conversations)"),
     "copies_of": "WITH " + S.shingles("documents", "doc_id", None) + """ SELECT x AS doc_id, y AS duplicate_id FROM sim
         WHERE y < x AND x IN (SELECT doc_id FROM labels WHERE quality = 1)""",
+    "duplicate_lists": "WITH " + S.shingles("documents", "doc_id", None) + """ SELECT x AS doc_id, count(*) AS n,
+        string_agg(y, '|' ORDER BY y) AS duplicates, x || ' duplicates: ' || string_agg('D' || y, '' ORDER BY y) AS message
+        FROM sim WHERE y < x AND x % 20 = 0 GROUP BY x""",
     "ingest_outcome": f"{DECIDED} SELECT {_OUTCOME} FROM decided",
     "route_duplicates": f"""{DECIDED} SELECT m.id AS target_id, m.seq, {joined('labels')} AS labels, genre, c.change
         FROM msg m JOIN changes c ON c.seq = m.seq""",

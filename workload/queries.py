@@ -20,7 +20,7 @@ from foliary.operators import routing as R
 from foliary.operators import tables as T
 from foliary.operators.fold import change_log, fold_overrides
 from foliary.operators.ligatures import DEFAULT_WORDS, ArrivalLexicon, Lexicon, repair_ligatures
-from foliary.operators.neardup import NearDupSettings, copies_of, near_duplicates, shingle_sets
+from foliary.operators.neardup import NearDupSettings, copies_of, copy_lists, near_duplicates, shingle_sets
 from foliary.plans import core as C
 from foliary.plans.batch import BatchSettings
 from foliary.plans.ingest import Decisions, IngestSettings, decide
@@ -439,6 +439,18 @@ def copies_of_labelled(spark, sf):
     return copies_of(asked, _texts(spark, sf)).select("doc_id", "duplicate_id")
 
 
+def duplicate_lists(spark, sf):
+    """Whole lists of the documents whose id is divisible by 20, against all: as response and as status message."""
+    asked = documents(spark, sf).where("doc_id % 20 = 0").select("doc_id")
+    found = copy_lists(_texts(spark, sf)).lists(asked)
+    hits = F.transform("duplicates", lambda d: F.struct(text(d).alias("doc_id"), F.lit(1).cast("decimal(3,2)").alias("score")))
+    told = found.select(
+        "doc_id", O.duplicate_response_json(hits).alias("json"),
+        O.duplicate_status_message(text(F.col("doc_id")), F.transform("duplicates", lambda d: F.concat(F.lit("D"), text(d)))).alias("message"))
+    back = O.duplicate_response_from_json(F.col("json")).getField("doc_id")
+    return told.select("doc_id", F.size(back).cast("bigint").alias("n"), F.array_join(back, "|").alias("duplicates"), "message")
+
+
 def ingest_outcome(spark, sf):
     return decisions(spark, sf).events.select(
         "seq", "doc_id", "target_id", "outcome", "duplicate_of", "target_change", "operation", "message",
@@ -916,6 +928,7 @@ QUERIES = {
     "near_duplicates_whole_text": near_duplicates_whole,
     "near_duplicate_turns": near_duplicate_turns,
     "copies_of": copies_of_labelled,
+    "duplicate_lists": duplicate_lists,
     "ingest_outcome": ingest_outcome,
     "route_duplicates": route_duplicates,
     "core_new": core_new,
