@@ -76,7 +76,8 @@ class StoredIndex:
         known = [] if sets.isEmpty() else [(batch, batch)]
         if known:
             self._write("shingle_sets", known[0], set_rows(sets))
-            self._write("shingle_lists", known[0], list_rows(sets, "seq", settings))
+            written = self._read("shingle_sets", known).select("seq", "doc_id", "n", "shingles")
+            self._write("shingle_lists", known[0], list_rows(written, "seq", settings))
         made, size = list(known), FAN
         while (batch + 1) % size == 0:  # a run of batches is full: one piece instead
             first = batch + 1 - size

@@ -299,3 +299,35 @@ def test_messages_name_the_whole_list(spark):
     assert '"duplicated_docs":["a"]' in {r.key: r.value for r in outputs.duplicate_notices(events).collect()}["c"]
     rows = outputs.core_status(events, F.lit(5), lists=lists).where("status = 'FAILURE' and stage = 'ingestion'").collect()
     assert {r.doc_id: r.message for r in rows} == {"b": "b duplicates: a", "c": "c duplicates: ab", "e": "e duplicates: x"}
+
+
+def test_only_prefixes_leave_their_tasks(spark, monkeypatch):
+    """Of unrelated texts with copies a tenth of the shingles becomes rows, and no set is moved."""
+    docs = spark.createDataFrame(
+        [(s, f"d{s}", " ".join(f"u{s % 20}_{j}" for j in range(302))) for s in range(25)], "seq BIGINT, doc_id STRING, text STRING")
+    sizes, cut = [], neardup.cut
+
+    def counting(df):
+        done = cut(df)
+        sizes.append((done.columns, done.count()))
+        return done
+
+    monkeypatch.setattr(neardup, "cut", counting)
+    found = {r.doc_id: r.first_duplicate for r in near_duplicates(docs, NearDupSettings(window=3)).collect()}
+    assert found == {f"d{s}": f"d{s - 20}" for s in range(20, 25)}
+    tokens = [n for columns, n in sizes if "shingle" in columns]
+    assert max(tokens) == 20 * 31
+    assert not [n for columns, n in sizes if "shingles" in columns and n]
+
+
+def test_wide_rows_among_and_outside_few_ids(spark):
+    from foliary.session import among, outside
+
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e")], "k BIGINT, v STRING")
+    ids = spark.createDataFrame([(1,), (1,), (None,), (9,)], "k BIGINT")
+    assert sorted(r.v for r in among(rows, ids, "k").collect()) == ["a", "b"]
+    assert sorted(r.v for r in outside(rows, ids, "k").collect()) == ["c", "d", "e"]
+    none = ids.where("k = 0")
+    assert among(rows, none, "k").count() == 0 and outside(rows, none, "k").count() == 5
+    many = spark.range(3000).selectExpr("id * 7 AS k")
+    assert among(spark.range(9000).selectExpr("id AS k"), many, "k").count() == 1286
