@@ -305,19 +305,22 @@ def test_only_prefixes_leave_their_tasks(spark, monkeypatch):
     """Of unrelated texts with copies a tenth of the shingles becomes rows, and no set is moved."""
     docs = spark.createDataFrame(
         [(s, f"d{s}", " ".join(f"u{s % 20}_{j}" for j in range(302))) for s in range(25)], "seq BIGINT, doc_id STRING, text STRING")
-    sizes, cut = [], neardup.cut
+    sizes, cut, land = [], neardup.cut, neardup.land
 
-    def counting(df):
-        done = cut(df)
-        sizes.append((done.columns, done.count()))
-        return done
+    def counting(written):
+        def write(df):
+            done = written(df)
+            sizes.append((done.columns, done.count()))
+            return done
+        return write
 
-    monkeypatch.setattr(neardup, "cut", counting)
+    monkeypatch.setattr(neardup, "cut", counting(cut))
+    monkeypatch.setattr(neardup, "land", counting(land))
     found = {r.doc_id: r.first_duplicate for r in near_duplicates(docs, NearDupSettings(window=3)).collect()}
     assert found == {f"d{s}": f"d{s - 20}" for s in range(20, 25)}
     tokens = [n for columns, n in sizes if "shingle" in columns]
     assert max(tokens) == 20 * 31
-    assert not [n for columns, n in sizes if "shingles" in columns and n]
+    assert [n for columns, n in sizes if "shingles" in columns and n] == [25]  # all sets once
 
 
 def test_wide_rows_among_and_outside_few_ids(spark):
