@@ -1,13 +1,13 @@
 """Language of a text by character trigrams whose weights are learned from labelled texts.
 
 Learning counts, per language, the trigrams of each text's distinct words over all labelled rows, and keeps the most frequent
-ones. A model is a small table; as a column expression its table is one constant, in which a trigram's
-weights are looked up by its hash. Weights are whole numbers, so every engine adds them up alike.
+ones. A model is a small table, given to the tasks; Spark splits the texts into words, and a task adds up the weights of
+each word it meets once. Weights are whole numbers, so every engine adds them up alike.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,54 +17,61 @@ from pyspark.sql.window import Window as W
 from foliary.functions.once import once
 
 UNKNOWN = "und"
-BUCKETS = 4096
 
 
-def trigrams(text: Column) -> Column:
-    """Trigrams of the text's distinct words, each word with a space on both sides."""
-    words = F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), "")
-    return F.flatten(F.transform(words, lambda w: once(F.concat(F.lit(" "), w, F.lit(" ")), lambda framed: F.transform(
-        F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(framed, i, F.lit(3))))))
+def distinct_words(text: Column) -> Column:
+    return F.array_remove(F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")), "")
 
 
-def _bucket(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(BUCKETS)).cast("int")
+def trigrams_of(word: Column) -> Column:
+    """Trigrams of a word with a space on both sides."""
+    return once(F.concat(F.lit(" "), word, F.lit(" ")), lambda framed: F.transform(
+        F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(framed, i, F.lit(3))))
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``weights``: one number per language of ``languages`` for each trigram, with the bucket its hash names."""
+    """``weights``: one number per language of ``languages`` for each trigram."""
 
     languages: tuple[str, ...]
-    weights: tuple[tuple[str, int, tuple[int, ...]], ...]
+    weights: tuple[tuple[str, tuple[int, ...]], ...]
 
     def detect(self, text: Column) -> Column:
         """The language with the greatest sum of weights, the first of several; "und" without a known trigram."""
         if not self.languages:
             return F.lit(UNKNOWN)
-        table: list[list] = [[] for _ in range(BUCKETS)]
-        for gram, bucket, weights in self.weights:
-            table[bucket].append({"g": gram, "w": weights})
-        held = F.from_json(F.lit(json.dumps(table)), "array<array<struct<g:string,w:array<int>>>>")
-        n = len(self.languages)
+        return _best_language(self.languages, dict(self.weights))(distinct_words(F.coalesce(text, F.lit(""))))
 
-        def weights_of(gram: Column) -> Column:
-            return F.get(F.filter(F.get(held, _bucket(gram)), lambda entry: entry["g"] == gram), F.lit(0))["w"]
 
-        def add(sums: Column, weights: Column) -> Column:
-            return F.when(weights.isNull(), sums).otherwise(F.struct(
-                (sums["known"] + 1).alias("known"), *[(sums[f"s{i}"] + F.get(weights, F.lit(i))).alias(f"s{i}") for i in range(n)]))
+def _best_language(languages: tuple[str, ...], weights: dict[str, tuple[int, ...]]) -> Callable[[Column], Column]:
+    """Column function from a text's distinct words; a word's weights are added up once in a task."""
+    width, unknown, most = len(languages) + 1, UNKNOWN, 1 << 17
+    places: dict[str, int] = {}
+    sums: list = []
 
-        start = F.struct(
-            F.lit(0).cast("bigint").alias("known"), *[F.lit(0).cast("bigint").alias(f"s{i}") for i in range(n)])
-        looked_up = F.transform(trigrams(F.coalesce(text, F.lit(""))), weights_of)
+    def place(word: str) -> int:
+        framed = f" {word} "
+        found = [weights[g] for g in (framed[i:i + 3] for i in range(len(word))) if g in weights]
+        sums.append((len(found), *map(sum, zip(*found))) if found else (0,) * width)
+        places[word] = len(sums) - 1
+        return places[word]
 
-        def best(sums: Column) -> Column:
-            ranked = F.array_max(F.array(*[
-                F.struct(sums[f"s{i}"].alias("sum"), F.lit(-i).alias("rank"), F.lit(lang).alias("lang")) for i, lang in enumerate(self.languages)]))
-            return F.when(sums["known"] > 0, ranked["lang"]).otherwise(UNKNOWN)
+    def best(texts):
+        import numpy
+        import pandas
 
-        return once(F.aggregate(looked_up, start, add), best)
+        if len(places) > most:
+            places.clear()
+            sums.clear()
+        at = [[places[w] if w in places else place(w) for w in words] for words in texts]
+        table = numpy.array(sums, dtype="int64").reshape(len(sums), width)
+        told = []
+        for rows in at:
+            total = table[rows].sum(axis=0) if rows else None
+            told.append(unknown if total is None or not total[0] else languages[int(total[1:].argmax())])
+        return pandas.Series(told, dtype=object)
+
+    return F.pandas_udf(best, "string", F.PandasUDFType.SCALAR)
 
 
 def learn_languages(labelled: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1500) -> LanguageModel:
@@ -74,18 +81,19 @@ def learn_languages(labelled: DataFrame, text: str = "text", lang: str = "lang",
     ``per_language`` trigrams for each language.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = rows.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram")).groupBy("lang", "gram").agg(
-        F.count("*").alias("n"))
+    # a word's trigrams are made once for all texts that hold it
+    words = rows.select(F.col(lang).alias("lang"), F.explode(distinct_words(F.col(text))).alias("word")).groupBy(
+        "lang", "word").agg(F.count("*").alias("n"))
+    counts = words.select("lang", "n", F.explode(trigrams_of(F.col("word"))).alias("gram")).groupBy("lang", "gram").agg(
+        F.sum("n").alias("n"))
     ranked = counts.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram")))
     chosen = ranked.where(F.col("_rank") <= per_language).select("gram").distinct()
-    found = counts.join(chosen, "gram").select("lang", "gram", _bucket(F.col("gram")).alias("bucket"), "n").collect()
+    found = counts.join(chosen, "gram").select("lang", "gram", "n").collect()
     languages = tuple(sorted({r.lang for r in found}))
     grams: dict[str, dict[str, int]] = {}
-    buckets = {r.gram: r.bucket for r in found}
     for r in found:
         grams.setdefault(r.gram, {})[r.lang] = r.n
-    return LanguageModel(languages, tuple(
-        (gram, buckets[gram], weights) for gram, weights in _weights(grams, languages).items()))
+    return LanguageModel(languages, tuple(_weights(grams, languages).items()))
 
 
 def _weights(grams: dict[str, dict[str, int]], languages: tuple[str, ...]) -> dict[str, tuple[int, ...]]:

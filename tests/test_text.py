@@ -96,3 +96,23 @@ def test_any_function_can_be_the_detector(spark):
     gated = gate_language(frame.withColumn("error", F.lit(None).cast("string")), lambda t: F.when(t.startswith("hello"), "en").otherwise("fr"))
     assert {r.target_id: (r.lang, r.error) for r in gated.collect()} == {
         "a": ("en", None), "b": ("fr", "fr is not supported for: b"), "c": (None, None)}
+
+
+def test_a_words_weights_are_added_up_once_in_a_task(spark):
+    """Texts are told by their distinct words; no trigram of a text is looked up in Spark's expressions."""
+    from foliary.functions.language import learn_languages
+
+    taught = [("en", "the other thing"), ("en", "there they think"), ("de", "der dieser Dieb"), ("de", "den die dieb"), (None, "zzz")]
+    model = learn_languages(spark.createDataFrame(taught, "lang STRING, text STRING"))
+    weights = dict(model.weights)
+
+    def told(text):
+        words = {w for w in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()}
+        found = [weights[g] for w in words for g in (f" {w} "[i:i + 3] for i in range(len(w))) if g in weights]
+        sums = [sum(f) for f in zip(*found)]
+        return model.languages[sums.index(max(sums))] if found else "und"
+
+    texts = [None, "", "123", "zzz zz", "the the THE der", "die die other", "Dieb, think!", "a b c", "thé ther-der", "x" * 5000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING").select("i", model.detect(F.col("text")).alias("lang"))
+    assert {r.i: r.lang for r in rows.collect()} == {i: told(t) for i, t in enumerate(texts)}
+    assert "substring" not in rows._jdf.queryExecution().optimizedPlan().toString()
