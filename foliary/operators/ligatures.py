@@ -16,6 +16,11 @@ SPLIT_WORD = r"^\p{L}*(ff|fi|fl)$"
 MAYBE_SPLIT = r"(?i)(ff|fi|fl) \p{L}"
 LEADING_NONLETTERS = r"^[^\p{L}]+"
 TRAILING_AFTER_LETTERS = r"[^\p{L}].*$"
+# In lower case. The anchors (a word's start, or the last match's end within a word) keep letters from being tried anew
+# for every place in a word; they exclude no match.
+SPLIT_PART = r"f[fil] \p{L}"
+LEFT_PART = r"(?:(?<!\p{L})|\G)\p{L}*(ff|fi|fl) (\p{L})"
+LIGATED_WORD = r"(?<!\p{L})\p{L}*f[fil]\p{L}*"
 
 # A first choice of words that are often split; callers add their own.
 DEFAULT_WORDS = (
@@ -40,8 +45,9 @@ def heard_words(texts: DataFrame, *columns: str) -> DataFrame:
     A left part standing right before the letters it may have lost does not count, or common split errors would pass
     for words. Words without a ligature are never asked for, so they need not leave their document.
     """
-    heard = F.regexp_replace(F.lower("text"), r"\p{L}*(ff|fi|fl) (\p{L})", " $2")
-    ligated = F.filter(F.split(heard, r"[^\p{L}]+"), lambda w: w.rlike("ff|fi|fl"))
+    lowered = F.lower("text")
+    heard = F.when(lowered.rlike(SPLIT_PART), F.regexp_replace(lowered, LEFT_PART, " $2")).otherwise(lowered)
+    ligated = F.regexp_extract_all(heard, F.lit(LIGATED_WORD), F.lit(0))
     return texts.select(*columns, F.explode(F.array_distinct(ligated)).alias("word"))
 
 
@@ -155,7 +161,8 @@ def repair_ligatures(
 ) -> DataFrame:
     """Replace ``text_col`` by its repaired form.
 
-    Only documents with a suspicious spot are joined to anything; all others pass straight through.
+    Only documents with a suspicious spot are joined to anything; all others pass straight through. Without any such spot
+    no lexicon is looked up.
     ``text_col`` may be a field of a struct column. ``seq_col`` numbers the documents for an :class:`ArrivalLexicon`.
     """
     suspected = F.coalesce(F.col(text_col).rlike(MAYBE_SPLIT), F.lit(False))
@@ -168,6 +175,8 @@ def repair_ligatures(
     candidates = cut(pairs.select(
         F.explode(F.array("left", F.concat("left", "right"))).alias("word")
     ).distinct())
+    if candidates.isEmpty():
+        return docs
     merges = (
         mergeable_spots(spots, cut(lexicon.since(candidates)))
         .groupBy("id").agg(F.collect_set(F.struct("left", "right")).alias("_merge"))

@@ -1,10 +1,12 @@
 """Clean-up and language identification."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from foliary.functions.text import detect_language, normalize_text
-from foliary.operators.ligatures import Lexicon, repair_ligatures
+from foliary.operators.ligatures import Lexicon, heard_words, repair_ligatures
 
 
 def apply(spark, texts, function):
@@ -116,3 +118,42 @@ def test_a_words_weights_are_added_up_once_in_a_task(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING").select("i", model.detect(F.col("text")).alias("lang"))
     assert {r.i: r.lang for r in rows.collect()} == {i: told(t) for i, t in enumerate(texts)}
     assert "substring" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+class _NeverAsked:
+    def since(self, candidates):
+        raise AssertionError("a lexicon was looked up though no text has a suspicious spot")
+
+
+def test_texts_without_a_split_word_ask_no_lexicon(spark):
+    texts = ["a-ff b", "stiff", "no such word", None, ""]  # the first looks split to the first test only
+    assert repaired(spark, texts, _NeverAsked()) == texts
+
+
+def _heard(text):
+    """The words with a ligature, told letter by letter."""
+    seen, words = re.sub(r"[^\W\d_]*(ff|fi|fl) ([^\W\d_])", r" \2", text.lower()), set()
+    for word in re.split(r"[\W\d_]+", seen):
+        if re.search("ff|fi|fl", word):
+            words.add(word)
+    return words
+
+
+def test_heard_words_are_those_of_every_place(spark):
+    texts = [
+        "off affi x ff fi a", "staff ices of the office", "Offer, sUFFer ff1 fl-at flat", "x ff ff ffl fla éffi ñ", "no such word",
+        "a" * 30 + "ffi " + "b" * 30 + "fl", "ff ", "fl o1fl o", "",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING")
+    found = {i: set() for i in range(len(texts))}
+    for row in heard_words(frame, "i").collect():
+        found[row.i].add(row.word)
+    assert found == {i: _heard(t) for i, t in enumerate(texts)}
+
+
+def test_script_letters_are_looked_for_once(spark):
+    frame = spark.createDataFrame([("привет the мир",), ("مرحبا",), ("the and of",), ("1 € 2",), (None,)], "t STRING")
+    told = frame.select(detect_language(F.col("t")).alias("o"))
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE(") + plan.count("RLIKE [") + plan.count("rlike(") <= 1
+    assert [r.o for r in told.collect()] == ["rus", "ara", "eng", "und", "und"]
