@@ -334,3 +334,17 @@ def test_wide_rows_among_and_outside_few_ids(spark):
     assert among(rows, none, "k").count() == 0 and outside(rows, none, "k").count() == 5
     many = spark.range(3000).selectExpr("id * 7 AS k")
     assert among(spark.range(9000).selectExpr("id AS k"), many, "k").count() == 1286
+
+
+def test_shingles_are_hashed_without_slices(spark):
+    texts = ["a b c d e", "a b", "a", " a  b\nc ", "x y z x y z x y", "", None]
+    docs = spark.createDataFrame([(i, str(i), t) for i, t in enumerate(texts)], "seq BIGINT, doc_id STRING, text STRING")
+    sets = shingle_sets(docs, NearDupSettings(window=WINDOW))
+    assert "slice(" not in sets._jdf.queryExecution().optimizedPlan().toString()
+    want = {}
+    for i, t in enumerate(texts):
+        if t and t.split():
+            w = F.transform(F.array(*[F.lit(x) for x in t.split()]), lambda x: F.xxhash64(x))
+            runs = [F.xxhash64(F.slice(w, k, WINDOW)) for k in range(1, max(len(t.split()) - WINDOW + 1, 1) + 1)]
+            want[i] = sorted(set(spark.range(1).select(F.array(*runs)).first()[0]))
+    assert {r.seq: r.shingles for r in sets.collect()} == want
