@@ -12,8 +12,10 @@ repeated rows are stored as often as they occur. No documents, no files.
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +25,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliary.llm.frames import held, new_folder, slices
-from foliary.llm.words import GAP, ColumnIds
+from foliary.llm.words import ENDS, GAP, LONGEST_CACHED, MARKS, ColumnIds
 from foliary.session import ship_package
 
 BLOCK_BITS = 512
 SHARD_TOKENS = 1 << 21
 END_ID = 0
+#: Letters that stay one piece next to each other, and words of them.
+LETTERS = "".join(sorted(c for c in ENDS if "9" < c < "\u0500"))
+LETTERED = re.compile(f"[{LETTERS}]+").fullmatch
+#: Byte-level vocabularies write the bytes without a printable sign as U+0100 and up, in order.
+BYTE_SIGNS = {b: chr(0x100 + 33 + i) for i, b in enumerate([*range(0x7F, 0xA1), 0xAD])}
+LETTER_SIGNS = {c: c.encode().decode("latin-1").translate(BYTE_SIGNS) for c in LETTERS}
+SPACE_SIGN = "\u0120"
 
 FILE_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("shard", T.IntegerType()),
@@ -59,7 +68,7 @@ class WaveletMatrix:
             packed = np.packbits(bit, bitorder="little")
             planes.append(packed.tobytes())
             ranks.append(block_ranks(packed).tobytes())
-            low, high = row[~bit], row[bit]
+            low, high = row[np.flatnonzero(~bit)], row[np.flatnonzero(bit)]  # places are faster than masks
             zeros.append(len(low))
             row = np.concatenate([low, high])
         return cls(len(ids), zeros, planes, ranks)
@@ -139,8 +148,8 @@ class WaveletMatrix:
         for level in range(len(self.zeros) - 1, -1, -1):
             bit = np.unpackbits(self.bits[level], count=self.n, bitorder="little").view(bool)
             back, zeros = np.empty(self.n, kind), self.zeros[level]
-            back[~bit] = row[:zeros]
-            back[bit] = row[zeros:] | kind(1 << (len(self.zeros) - 1 - level))
+            back[np.flatnonzero(~bit)] = row[:zeros]
+            back[np.flatnonzero(bit)] = row[zeros:] | kind(1 << (len(self.zeros) - 1 - level))
             row = back
         return row.astype(np.uint32)
 
@@ -153,12 +162,18 @@ def block_ranks(packed: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sums)]).astype("<u4")
 
 
+def signs(letters: str) -> str:
+    """The signs of a byte-level vocabulary for the UTF-8 bytes of letters."""
+    return letters if letters.isascii() else "".join(map(LETTER_SIGNS.__getitem__, letters))
+
+
 def byte_pair_ids(model: bytes) -> ColumnIds:
     """A tokenizer of the ``tokenizers`` library behind a cache of words."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.models import BPE
 
     tokenizer = Tokenizer.from_buffer(model)
 
@@ -166,6 +181,32 @@ def byte_pair_ids(model: bytes) -> ColumnIds:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    before = tokenizer.pre_tokenizer
+    pieces = [p for p, _ in before.pre_tokenize_str(" " + LETTERS)] if before and not tokenizer.normalizer else []
+    by_letters = (
+        pieces == [SPACE_SIGN + signs(LETTERS)] and isinstance(tokenizer.model, BPE)
+        and all(set(t) - set(" " + LETTERS) for t in added))
+
+    def lettered(words: list[str], space: str, others: Callable) -> list[bytes]:
+        """Short words of letters are one piece to the tokenizer, so its model is asked at once; the rest as before."""
+        plain = [
+            by_letters and w.isalpha() and len(w) <= LONGEST_CACHED and (w.isascii() or LETTERED(w) is not None)
+            for w in words]
+        rest = [w for w, p in zip(words, plain, strict=True) if not p]
+        made = iter(others(rest) if rest else [])
+        if len(rest) == len(words):
+            return list(made)
+        merge = tokenizer.model.tokenize
+        ids: list[int] = []
+        stops = []
+        for word in compress(words, plain):
+            ids += [token.id for token in merge(space + signs(word))]
+            stops.append(len(ids) * 4)
+        raw = np.array(ids, "<u4").tobytes()
+        cut = iter([raw[x:y] for x, y in zip([0, *stops[:-1]], stops, strict=True)])
+        return [next(cut if p else made) for p in plain]
+
     # a token of a byte-level vocabulary has a letter per byte; added tokens stand for themselves
     size = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
     for token, i in tokenizer.get_vocab(with_added_tokens=False).items():
@@ -188,10 +229,13 @@ def byte_pair_ids(model: bytes) -> ColumnIds:
         return b"".join(encode(GAP.split(text)))
 
     # parts of words are encoded apart only if the tokenizer itself cuts there
-    probe = tokenizer.pre_tokenizer.pre_tokenize_str("ab1.;\nCd?!\n2,") if tokenizer.pre_tokenizer else []
+    probe = before.pre_tokenize_str("ab1.;\nCd?!\n2,") if before else []
     cuts = {0, *(end for _, (_, end) in probe)} >= {0, 3, 5, 6, 8, 10, 11, 12, 13}
-    held_back = any(c in ".,;:!?\n" for t in tokenizer.get_added_tokens_decoder().values() for c in t.content)
-    return ColumnIds(encode, tails, whole, cuts and not held_back)
+    cuts = cuts and all(before.pre_tokenize_str(c + m)[0][1] == (0, 1) for c in "a1" for m in MARKS)
+    held_back = any(c in MARKS + "\n" for t in added for c in t)
+    return ColumnIds(
+        lambda words: lettered(words, "", encode), lambda words: lettered(words, SPACE_SIGN, tails), whole,
+        cuts and not held_back)
 
 
 def write_shards(

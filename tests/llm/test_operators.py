@@ -11,7 +11,8 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from foliary.llm import chat, crossparse, dealing, pieces, pigeonring, quality, redirects, termprint, tiling, wavelet
+from foliary.llm import (
+    chat, crossparse, dealing, pieces, pigeonring, quality, redirects, termprint, tiling, wavelet, words)
 from foliary.llm.components import components
 from foliary.llm.frames import new_folder
 from foliary.llm.queries import tokenizer_file
@@ -53,6 +54,40 @@ def test_token_columns_equal_the_library():
     assert coder.values(pa.array([], pa.string())) == []
 
 
+def test_letters_and_marks_equal_the_library():
+    from tokenizers import Tokenizer
+
+    model = tokenizer_file("byte_bpe_50k.json")
+    coder, whole = wavelet.byte_pair_ids(model), Tokenizer.from_buffer(model)
+    rng = np.random.default_rng(6)
+    ends = np.array(sorted(words.ENDS) + list("abcdefghij" * 2000))
+    stems = ["".join(rng.choice(ends, rng.integers(1, 12))) for _ in range(1500)]
+    marks = ["", "", "", *words.MARKS, "###", "$$$", "&&&.", "***", ".%%%", "'s.", "_", "\n", ".\nAnd", "***\nIn,", "<|endoftext|>."]
+    texts = [" ".join(s + m for s, m in zip(rng.choice(stems, 9), rng.choice(marks, 9), strict=True)) for _ in range(500)]
+    texts += [" ".join(stems), wavelet.LETTERS, "x " + wavelet.LETTERS * 3, "y" * words.LONGEST_CACHED + " " + "y" * 400 + "."]
+    texts += ["\U0001E030. \U0001E030.\n", "#a ## #. .# ...", "a\t. b\t\t, ", ""]
+    for most in (10**6, 40):
+        coder.known[0].most = coder.known[1].most = most
+        for lo in range(0, len(texts), 300):
+            part = texts[lo:lo + 300]
+            want = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(part, add_special_tokens=False)]
+            assert coder.values(pa.array(part)) == want
+            assert coder.values(pa.array(["cut off", *part])[1:]) == want
+    assert len(coder.known[1].words) == len(coder.known[1].values) == len(coder.known[1].asked) < 6000
+
+
+def test_a_stem_is_encoded_once_whatever_marks_follow():
+    coder, asked = wavelet.byte_pair_ids(tokenizer_file("byte_bpe_50k.json")), []
+    heads, tails = coder.encode
+    coder.encode = (heads, lambda ws: (asked.extend(ws), tails(ws))[1])
+    first = coder.values(pa.array(["x blorft, blorft. blorft### blorft", "y blorft*** \u00dcnorf&&&"]))
+    assert sorted(asked) == ["blorft", "x", "y", "\u00dcnorf"]
+    assert coder.values(pa.array(["x blorft, blorft. blorft### blorft", "y \u00dcnorf%%%"]))[0] == first[0]
+    assert len(asked) == 4
+    wide = pa.array(["x blorft, blorft. blorft### blorft"], pa.large_string())
+    assert coder.values(wide) == first[:1]
+
+
 def test_wavelet_matrix():
     rng = random.Random(1)
     for n in (0, 1, 7, 8, 511, 512, 513, 2000):
